@@ -1,9 +1,13 @@
 """The queries and oracle SQL of this subpackage."""
 
+from glossweave.llm.bpe import op5_bpe
 from glossweave.llm.mixing import op7_mixing
+from glossweave.llm.pii import op3_pii
 from glossweave.llm.secrets import op8_secrets
 
 QUERIES = {
+    "op3_pii": op3_pii,
+    "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
 }
