@@ -77,3 +77,14 @@ def values_bytes(column: pa.Array):
     data = column.buffers()[2]
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def open_shared(path: str, write: bool = False):
+    """A file of the shared folder, from driver or executor; path is a URI or a local path."""
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if not write:
+        return system.open_input_file(place)
+    system.create_dir(place.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(place)

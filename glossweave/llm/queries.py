@@ -4,12 +4,14 @@ from glossweave.llm.bpe import op5_bpe
 from glossweave.llm.mixing import op7_mixing
 from glossweave.llm.pii import op3_pii
 from glossweave.llm.secrets import op8_secrets
+from glossweave.llm.token_files import op10_token_files
 
 QUERIES = {
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL = {
