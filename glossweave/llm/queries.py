@@ -1,12 +1,14 @@
 """The queries and oracle SQL of this subpackage."""
 
 from glossweave.llm.bpe import op5_bpe
+from glossweave.llm.media import op1_media
 from glossweave.llm.mixing import op7_mixing
 from glossweave.llm.pii import op3_pii
 from glossweave.llm.secrets import op8_secrets
 from glossweave.llm.token_files import op10_token_files
 
 QUERIES = {
+    "op1_media": op1_media,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
