@@ -4,6 +4,7 @@ from glossweave.llm.bpe import op5_bpe
 from glossweave.llm.media import op1_media
 from glossweave.llm.mixing import op7_mixing
 from glossweave.llm.pii import op3_pii
+from glossweave.llm.quality import op6_quality
 from glossweave.llm.secrets import op8_secrets
 from glossweave.llm.token_files import op10_token_files
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_media": op1_media,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op10_token_files": op10_token_files,
