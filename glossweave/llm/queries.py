@@ -7,6 +7,7 @@ from glossweave.llm.pii import op3_pii
 from glossweave.llm.quality import op6_quality
 from glossweave.llm.secrets import op8_secrets
 from glossweave.llm.token_files import op10_token_files
+from glossweave.llm.topk import op9_topk
 
 QUERIES = {
     "op1_media": op1_media,
@@ -15,10 +16,23 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_topk": op9_topk,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL = {
+    "op9_topk": r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
     "op7_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
