@@ -3,6 +3,7 @@
 from glossweave.llm.bpe import op5_bpe
 from glossweave.llm.media import op1_media
 from glossweave.llm.mixing import op7_mixing
+from glossweave.llm.neardup import op2_neardup
 from glossweave.llm.pii import op3_pii
 from glossweave.llm.quality import op6_quality
 from glossweave.llm.secrets import op8_secrets
@@ -11,6 +12,7 @@ from glossweave.llm.topk import op9_topk
 
 QUERIES = {
     "op1_media": op1_media,
+    "op2_neardup": op2_neardup,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
