@@ -6,6 +6,7 @@ from glossweave.llm.mixing import op7_mixing
 from glossweave.llm.neardup import op2_neardup
 from glossweave.llm.pii import op3_pii
 from glossweave.llm.quality import op6_quality
+from glossweave.llm.repeats import op4_repeats
 from glossweave.llm.secrets import op8_secrets
 from glossweave.llm.token_files import op10_token_files
 from glossweave.llm.topk import op9_topk
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_media": op1_media,
     "op2_neardup": op2_neardup,
     "op3_pii": op3_pii,
+    "op4_repeats": op4_repeats,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
