@@ -17,10 +17,8 @@ Empty tables give no rows. Other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.llm.common import materialise, open_shared, read_table, shared_dir, small_batches, text_or_empty
+from glossweave.llm.pretokens import distinct_spans, plain_texts, word_bpe_spans
 from glossweave.llm.wavelet import WaveletMatrix, write_matrix
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,14 +34,9 @@ END = 1
 SHARD_TOKENS = 2 << 20
 #: Words whose ids a worker keeps; when it has that many it begins anew.
 KEPT_WORDS = 300_000
-SOME_TEXT = 1 << 20
+SOME_TEXT = 4 << 20
 MANIFEST = "part int, shard int, path string, n_docs long, n_tokens long, n_bytes long"
 
-#: The characters on which case and classes are as the pattern below says, and the splitting pattern on them.
-UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u017f]|<\\|")
-SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u017f]+|[0-9]|[^\\sa-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u017f0-9]+")
-
-
 def tokenizer_file(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -61,16 +55,36 @@ def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
     """The ids of each text, without the end id."""
     tokenizer, known = load(path)
     kind = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-    words = [None if UNUSUAL.search(t) else SPLIT.findall(t.lower()) for t in texts]
-    new = [w for w in set(chain.from_iterable(w for w in words if w)) if w not in known]
-    if new:
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list(set(chain.from_iterable(w for w in words if w)))
-        for word, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, kind).tobytes()
-    odd = iter(tokenizer.encode_batch([t for t, w in zip(texts, words, strict=True) if w is None], add_special_tokens=False))
-    return [np.array(next(odd).ids, kind) if w is None else np.frombuffer(b"".join(map(known.__getitem__, w)), kind) for w in words]
+    raw = [t.lower().encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    # texts with the start of a special token's name go to the library as well
+    plain = plain_texts(np.frombuffer(b"".join(raw), np.uint8), offsets) & np.array([b"<|" not in r for r in raw], bool)
+    out: list = [None] * len(texts)
+    odd = np.flatnonzero(~plain).tolist()
+    for i, e in zip(odd, tokenizer.encode_batch([texts[i] for i in odd], add_special_tokens=False) if odd else (), strict=True):
+        out[i] = np.array(e.ids, kind)
+    at = np.flatnonzero(plain)
+    joined = b"".join(raw[i] for i in at)
+    data, offsets = np.frombuffer(joined, np.uint8), np.cumsum([0, *[len(raw[i]) for i in at]])
+    starts, ends = word_bpe_spans(data, offsets)
+    first, word_of = distinct_spans(data, starts, ends)
+    words = [joined[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    new = [w for w in words if w not in known]
+    if len(known) + len(new) > KEPT_WORDS:
+        known.clear()
+        new = words
+    for word, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False) if new else (), strict=True):
+        known[word] = np.array(e.ids, kind).tobytes()
+    found = [known[w] for w in words]
+    ids = np.frombuffer(b"".join(found), kind)
+    size = np.array([len(f) // kind().itemsize for f in found], np.int64)
+    start_of, n = np.cumsum(size) - size, size[word_of]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    flat = ids[np.repeat(start_of[word_of] - upto[:-1], n) + np.arange(upto[-1])]
+    edges = upto[np.searchsorted(starts, offsets)]
+    for i, a, b in zip(at.tolist(), edges[:-1], edges[1:], strict=True):
+        out[i] = flat[a:b]
+    return out
 
 
 def _shards(path: str, folder: str, most: int):
