@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text in one block at most, unless one text alone is longer.
 BLOCK_BYTES = 16 << 20
+#: Bits of a bitmap of hashed keys, whatever the number of keys: half a megabyte.
+BITS = 1 << 22
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bitmap(keys: DataFrame, name: str) -> bytes:
+    """The buckets, of BITS, that the longs in column `name` fall in. At most BITS / 32 rows come to the driver."""
+    import numpy as np
+
+    word = F.shiftright(F.col(name).bitwiseAND(BITS - 1), 5).cast("int").alias("word")
+    bit = F.expr(f"shiftleft(1L, cast({name} & 31 AS int))")
+    bits = np.zeros(BITS // 32, "<u4")
+    for r in keys.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        bits[r.word] = r.bits
+    return bits.tobytes()
+
+
+def bitmap_flags(bits: bytes):
+    import numpy as np
+
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 

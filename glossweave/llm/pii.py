@@ -9,7 +9,7 @@ pair needs `SUPPORT` documents.
 
 Scale. The contexts are a few words for each entity found, so the pairs grow with the entities, not with documents
 times words. n(t) is counted over all words of all documents, but only words whose hash falls in a bucket of a
-candidate term leave the scan; the buckets are a bitmap of `BUCKETS` bits, whatever the corpus. A document meets only the
+candidate term leave the scan; the buckets are a bitmap of fixed size, whatever the corpus. A document meets only the
 terms of its own contexts, by a hash of its text, so an entity that is in a third of all documents fans nothing out.
 Texts without a digit or @ hold no base entity and take no part in the join.
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossweave.llm.common import materialise, read_table, small_batches, text_or_empty, values_bytes
+from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, small_batches, text_or_empty, values_bytes
 from glossweave.llm.words import HASH_BYTES, hashed_words
 
 BASE = ("email", "ip", "card", "phone")
@@ -37,7 +37,8 @@ CONTEXT = 10
 SUPPORT = 3
 GENERALISE = 0.75
 REMOVE = 0.95
-BUCKETS = 1 << 18
+#: Terms that a task counts before it sends their counts on.
+COUNTED_AT_ONCE = 1 << 18
 SPANS = "array<struct<kind:string,start:bigint,stop:bigint>>"
 
 #: The characters before an @, and the forms. Look-behinds keep every search linear and change no match.
@@ -133,20 +134,33 @@ def _observe(batches):
             yield pa.RecordBatch.from_arrays([pa.array(th, pa.int64()), pa.array(entity, pa.int64()), pa.array(terms, pa.list_(pa.int64()))], names=["th", "entity", "terms"])
 
 
-def _term_counter(bitmap: bytes):
+def _term_counter(bits: bytes):
+    """Documents by term, for the terms in the bitmap's buckets: a row for each term and task, or a few if there are very many."""
+
     def run(batches):
-        wanted = np.unpackbits(np.frombuffer(bitmap, np.uint8)).astype(bool)
+        wanted, counts = bitmap_flags(bits), {}
+
+        def emit():
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+            counts.clear()
+            return out
+
         for batch in small_batches(batches, most=HASH_BYTES):
             data, offsets = values_bytes(batch.column("text"))
             h, _, _, firsts = hashed_words(data, offsets, True)
             doc = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-            hit = wanted[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
+            hit = wanted[(h & np.uint64(BITS - 1)).astype(np.int64)]
             h, doc = h[hit], doc[hit]
             order = np.lexsort((doc, h))
             h, doc = h[order], doc[order]
             new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
-            terms, counts = np.unique(h[new], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts.astype(np.int64))], names=["term", "n"])
+            terms, n = np.unique(h[new], return_counts=True)
+            for t, c in zip(terms.view(np.int64).tolist(), n.tolist(), strict=True):
+                counts[t] = counts.get(t, 0) + c
+            if len(counts) >= COUNTED_AT_ONCE:
+                yield emit()
+        if counts:
+            yield emit()
 
     return run
 
@@ -159,10 +173,7 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT, generalise: float
     with_entity = seen.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = seen.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
     pairs = materialise(pairs, "pii-pairs")
-    # at most BUCKETS rows come to the driver, whatever the corpus
-    bits = np.zeros(BUCKETS, bool)
-    bits[[r[0] for r in pairs.select(F.col("term").bitwiseAND(BUCKETS - 1)).distinct().collect()]] = True
-    counted = texts.select("text").mapInArrow(_term_counter(np.packbits(bits).tobytes()), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+    counted = texts.select("text").mapInArrow(_term_counter(bitmap(pairs, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
     bits_of_entity = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = 1 + F.log2(F.col("n_te") / F.col("n_t")) / bits_of_entity
     judged = pairs.join(counted, "term").join(with_entity, "entity").where(bits_of_entity > 0).withColumn("share", share).where(F.col("share") >= generalise)
@@ -205,7 +216,7 @@ def find(docs: DataFrame, **thresholds) -> DataFrame:
 
 
 def _redacted(text: str | None, spans) -> str | None:
-    if not spans:
+    if text is None or spans is None or not len(spans):
         return text
     out, at = [], 0
     for s in sorted(spans, key=lambda x: (x["start"], -x["stop"])):
