@@ -3,20 +3,20 @@
 The components of the vectors are split into `LISTS` lists; an object's score is the sum of its partial scores in
 all lists. For each query:
 
-1. each list gives its k best partial scores and its least one; sums over what was seen, unseen lists at their least,
-   give k objects a lower bound, and the k-th of these is the cutoff t;
-2. an object whose score reaches t has a list in which its partial score is at least least + (t - sum of leasts) / lists.
-   This cutoff goes to every block of candidates, which returns the objects that reach it in some list and
-   whose upper bound reaches t;
-3. the lower bounds collected sharpen t; what can still reach it is resolved: exact scores, then the k best.
+1. each list of each block of candidates gives its k best partial scores; the objects so found have real scores, and the k-th best
+   of these over all blocks is a cutoff t that the k best of all cannot be below;
+2. t goes to every block. An object whose score reaches t has a partial score of t / lists at least in some list, so the
+   entries that reach this uniform threshold in some list are sufficient;
+3. the partial scores that these objects lack are added, so that their scores are exact, and those of t or more go on to
+   the k best of each query.
 
 Candidates and queries are dealt as blocks of vectors, each pair of blocks is one row of a join on block numbers, and
-numpy computes the partial scores of a pair at once. Only cutoffs (a few numbers for each query) and few entries are shuffled. Of
+numpy computes the partial scores of a pair at once. Only cutoffs (a number for each query) and objects that reach them are shuffled. Of
 equal vectors only the k + 1 with the least ids can be among the k best of a query, so others are set
 aside first; this is exact, and a vector that a third of all rows hold costs as much as any other.
 
 Rows. A null id or vector, or one with a null or non-finite component, takes no part. A repeated id counts once,
-with the least of its vectors. Components count up to 2**23, so that no score overflows; larger ones are as non-finite. Shorter vectors count as padded
+with the least of its vectors. Components count up to 2**20, so that no score overflows; larger ones are as non-finite. Shorter vectors count as padded
 with zeros. Equal scores are ordered by id. Fewer than k candidates give fewer rows; an empty table none.
 """
 
@@ -34,14 +34,15 @@ QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 4096
 #: Groups of candidate blocks by which the pairs of blocks are dealt besides the query block.
 DEALS = 64
-ENTRY = "qid long, list int, id long, part long, least long"
-BOUNDS = "qid long, id long, lower long, upper long"
+#: Candidates whose entries are looked at together.
+ENTRIES_AT_ONCE = 1024
+SCORES = "qid long, id long, score long"
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
     """id, v: floor(256 * x) of every component."""
     x = F.col("embedding").cast("array<double>")
-    good = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) < float(1 << 23), F.lit(False)))
+    good = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) < float(1 << 20), F.lit(False)))
     kept = vectors.select(F.col("vec_id").cast("long").alias("id"), F.when(good, F.transform(x, lambda c: F.floor(c * 256).cast("long"))).alias("v"))
     return kept.where("v IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
 
@@ -87,56 +88,61 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return q @ c.T
 
 
+def _sides(row, width: int):
+    return np.array(row["q_ids"], np.int64), np.array(row["ids"], np.int64), _matrix(row["q_matrix"], width), _matrix(row["matrix"], width)
+
+
+def _scores(q_ids, ids, scores) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(q_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.int64())], names=["qid", "id", "score"])
+
+
 def _local_lists(k: int, width: int):
-    """Phase 1: of each list the k best entries in a block of candidates, and the least partial score."""
+    """Phase 1: the objects of the k best entries of each list, and of these the k best with their scores."""
 
     def run(batches):
-        step = width // LISTS
+        step, none = width // LISTS, np.iinfo(np.int64).min
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids = np.array(row["q_ids"], np.int64), np.array(row["ids"], np.int64)
-                q, c = _matrix(row["q_matrix"], width), _matrix(row["matrix"], width)
+                q_ids, c_ids, q, c = _sides(row, width)
+                own = q_ids[:, None] == c_ids[None, :]
+                n = min(k, len(c))
+                found = np.zeros(own.shape, bool)
                 for j in range(LISTS):
                     p = _products(q[:, j * step : (j + 1) * step], c[:, j * step : (j + 1) * step])
-                    least = p.min(1)
-                    own = q_ids[:, None] == c_ids[None, :]
-                    p = np.where(own, np.iinfo(np.int64).min, p)
-                    n = min(k, p.shape[1])
-                    best = np.argpartition(-p, n - 1, axis=1)[:, :n] if n < p.shape[1] else np.tile(np.arange(n), (len(p), 1))
-                    part = np.take_along_axis(p, best, 1)
-                    real = part > np.iinfo(np.int64).min
-                    size = real.sum()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, n)[real.ravel()]), pa.array(np.full(size, j, np.int32)), pa.array(c_ids[best][real]), pa.array(part[real]), pa.array(np.repeat(least, n)[real.ravel()])], names=["qid", "list", "id", "part", "least"])
+                    p[own] = none
+                    np.put_along_axis(found, np.argpartition(-p, n - 1, axis=1)[:, :n], True, 1)
+                i, x = np.nonzero(found & ~own)
+                score = np.einsum("ij,ij->i", q[i], c[x])
+                order = np.lexsort((c_ids[x], -score, i))
+                i, x, score = i[order], x[order], score[order]
+                place = np.arange(len(i)) - np.searchsorted(i, i)
+                yield _scores(q_ids[i[place < k]], c_ids[x[place < k]], score[place < k])
 
     return run
 
 
-def _entries(k: int, width: int):
-    """Phase 2: entries that reach the uniform cutoff in some list and may reach t, with their bounds."""
+def _entries(width: int):
+    """Phases 2 and 3: objects that reach the uniform threshold in some list, with their scores where these reach t."""
 
     def run(batches):
         step = width // LISTS
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids, c_ids = np.array(row["q_ids"], np.int64), np.array(row["ids"], np.int64)
-                q, c = _matrix(row["q_matrix"], width), _matrix(row["matrix"], width)
-                cut = {x["qid"]: x for x in row["cuts"]}
-                known = [i for i, x in enumerate(q_ids.tolist()) if x in cut]
-                q_ids, q = q_ids[known], q[known]
-                least = np.array([cut[i]["leasts"] for i in q_ids.tolist()], np.int64).reshape(-1, LISTS)
-                t = np.array([cut[i]["t"] for i in q_ids.tolist()], np.int64)
-                # floor keeps the cutoff safe
-                level = least + ((t - least.sum(1)) // LISTS)[:, None]
-                any_list = np.zeros((len(q), len(c)), bool)
-                lower, upper = np.zeros((len(q), len(c)), np.int64), np.zeros((len(q), len(c)), np.int64)
-                for j in range(LISTS):
-                    p = _products(q[:, j * step : (j + 1) * step], c[:, j * step : (j + 1) * step])
-                    sent = p >= level[:, j : j + 1]
-                    any_list |= sent
-                    lower += np.where(sent, p, least[:, j : j + 1])
-                    upper += np.where(sent, p, level[:, j : j + 1])
-                i, x = np.nonzero(any_list & (upper >= t[:, None]) & (q_ids[:, None] != c_ids[None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(c_ids[x]), pa.array(lower[i, x]), pa.array(upper[i, x])], names=["qid", "id", "lower", "upper"])
+                q_ids, c_ids, q, c = _sides(row, width)
+                cut = {x["qid"]: x["t"] for x in row["cuts"]}
+                for a in range(0, len(c), ENTRIES_AT_ONCE):
+                    part, ids = c[a : a + ENTRIES_AT_ONCE], c_ids[a : a + ENTRIES_AT_ONCE]
+                    # a query that found fewer than k objects has no cutoff: all its entries are sufficient
+                    free = np.array([cut.get(i) is None for i in q_ids.tolist()])
+                    t = np.array([cut.get(i) or 0 for i in q_ids.tolist()], np.int64)
+                    level = -(-t // LISTS)
+                    sent = np.repeat(free[:, None], len(part), 1)
+                    for j in range(LISTS):
+                        sent |= _products(q[:, j * step : (j + 1) * step], part[:, j * step : (j + 1) * step]) >= level[:, None]
+                    i, x = np.nonzero(sent & (q_ids[:, None] != ids[None, :]))
+                    score = np.einsum("ij,ij->i", q[i], part[x])
+                    good = free[i] | (score >= t[i])
+                    yield _scores(q_ids[i[good]], ids[x[good]], score[good])
 
     return run
 
@@ -161,31 +167,13 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         return dealt.join(spread.hint("shuffle_hash"), ["q_block", "deal"])
 
     named = query_blocks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
-    seen = pairs(named).mapInArrow(_local_lists(k, width), ENTRY)
-    # the lists as a whole: k best and the least, from those of the blocks
-    best = Window.partitionBy("qid", "list").orderBy(F.col("part").desc(), "id")
-    lists = materialise(seen, "topk-lists")
-    tops = lists.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    leasts = lists.groupBy("qid", "list").agg(F.min("least").alias("least"))
-    base = leasts.groupBy("qid").agg(F.transform(F.sort_array(F.collect_list(F.struct("list", "least"))), lambda x: x["least"]).alias("leasts"))
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
-    above = tops.drop("least").join(leasts, ["qid", "list"]).groupBy("qid", "id").agg(F.sum(F.col("part") - F.col("least")).alias("above"))
-    kth = Window.partitionBy("qid").orderBy(F.col("above").desc())
-    bound = above.withColumn("place", F.row_number().over(kth)).where(F.col("place") <= k).groupBy("qid").agg(F.count("*").alias("n"), F.min("above").alias("above"))
-    # fewer than k seen: nothing may be cut off
-    cuts = base.join(bound, "qid").select("qid", "leasts", (total(F.col("leasts")) + F.when(F.col("n") >= k, F.col("above")).otherwise(0)).alias("t"))
-    place = named.select("q_block", F.explode("q_ids").alias("qid"))
-    grouped = place.join(cuts, "qid").groupBy("q_block").agg(F.collect_list(F.struct("qid", "leasts", "t")).alias("cuts"))
-    bounds = materialise(pairs(named.join(grouped, "q_block")).mapInArrow(_entries(k, width), BOUNDS), "topk-bounds")
-    sharper = Window.partitionBy("qid").orderBy(F.col("lower").desc(), "id")
-    level = bounds.withColumn("place", F.row_number().over(sharper)).where(F.col("place") == k).select("qid", F.col("lower").alias("level"))
-    left = bounds.join(level, "qid", "left").where(F.col("level").isNull() | (F.col("upper") >= F.col("level"))).select("qid", "id")
-    q, c = rows.select(F.col("id").alias("qid"), F.col("v").alias("qv")), rows.select("id", F.col("v").alias("cv"))
-    n = F.least(F.size("qv"), F.size("cv"))
-    products = F.zip_with(F.slice("qv", 1, n), F.slice("cv", 1, n), lambda a, b: a * b)
-    exact = left.join(q, "qid").join(c, "id").select("qid", "id", total(products).alias("score"))
-    order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
-    return exact.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    seen = materialise(ranked(pairs(named).mapInArrow(_local_lists(k, width), SCORES)), "topk-lists")
+    cuts = seen.where(F.col("rank") == k).select("qid", F.col("score").alias("t"))
+    grouped = named.select("q_block", F.explode("q_ids").alias("qid")).join(cuts, "qid", "left").groupBy("q_block").agg(F.collect_list(F.struct("qid", "t")).alias("cuts"))
+    found = pairs(named.join(grouped, "q_block")).mapInArrow(_entries(width), SCORES)
+    return ranked(found).select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
 def op9_topk(spark, sf_dir: str) -> DataFrame:
