@@ -198,7 +198,7 @@ def phrase_candidates(elements: Column, joiner: str) -> Column:
     three = F.flatten(F.transform(others, lambda k: F.transform(F.filter(others, lambda m: m > k), lambda m: F.array_sort(F.array(k, m, head)))))
     by_length = F.concat(F.array_sort(three), F.array_sort(two), one)
     phrase = lambda idx: F.array_join(F.transform(idx, lambda k: F.get(elements, k)["word"]), joiner)
-    return F.when(head.isNotNull() & (n > 0), F.transform(by_length, lambda idx: F.struct(idx.alias("idx"), phrase(idx).alias("phrase")))).otherwise(F.array().cast("array<struct<idx:array<int>,phrase:string>>"))
+    return F.when(head.isNotNull() & (n > 0), F.transform(by_length, lambda idx: F.struct(idx.alias("idx"), phrase(idx).alias("phrase"))).cast("array<struct<idx:array<int>,phrase:string>>")).otherwise(F.array().cast("array<struct<idx:array<int>,phrase:string>>"))
 
 
 def longest_match(candidates: DataFrame, listed: DataFrame) -> DataFrame:

@@ -63,9 +63,9 @@ def src_corpus(spark, d):
 def src_wordlist(spark, d):
     """Every word is written twice, the second time with the next id, and each part begins with a header."""
     path, listed = work_dir(spark, "src-wordlist"), _listed(spark, d)
-    rows = listed.select(F.explode(F.array("id", F.col("id") + 1)).cast("string").alias("id"), "word", F.lit("f").alias("invalid"), F.lit("en").alias("lang"), "pos")
+    rows = listed.select(F.explode(F.array(F.col("id").cast("string"), (F.col("id") + 1).cast("string"))).alias("id"), "word", F.lit("f").alias("invalid"), F.lit("en").alias("lang"), "pos")
     header = listed.select("pos").distinct().select(F.lit("id").alias("id"), F.lit("word").alias("word"), F.lit("invalid").alias("invalid"), F.lit("en").alias("lang"), "pos")
-    rows.unionByName(header).sort("id").write.partitionBy("lang", "pos").options(escape='"').csv(path)
+    rows.unionByName(header).sort("id").write.partitionBy("lang", "pos").options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return files.read_wordlist(spark, path)
 
 
@@ -188,7 +188,7 @@ def sink_new_wordlist(spark, d):
     return spark.read.parquet(path).select("pos", "word", "id")
 
 
-@query("corpus", "SELECT id || ',' || length(s1) AS record FROM corpus WHERE length(s1) > length(s2)")
+@query("corpus", "SELECT id, id || ',' || length(s1) AS record FROM corpus WHERE length(s1) > length(s2)")
 def sink_quarantine(spark, d):
     """Rows whose first sentence is the longer one are written with two fields only, and come back as rejected records."""
     path = work_dir(spark, "quarantine")
@@ -196,7 +196,7 @@ def sink_quarantine(spark, d):
     broken = F.concat_ws(",", "id", F.length("s1"))
     whole = F.concat_ws(",", "id", F.lit("a"), F.lit("b"), F.lit("{}"), F.lit("False"))
     c.select(F.when(F.length("s1") > F.length("s2"), broken).otherwise(whole).alias("value")).write.text(path)
-    return files.split_arity(files.read_corpus(spark, path))[1].withColumnRenamed("_bad", "record")
+    return files.split_arity(files.read_corpus(spark, path))[1]
 
 
 # --- projections and filters
@@ -351,9 +351,9 @@ def _ja_field(word, at: int):
 
 
 def _ja_morphemes(word):
-    """midasi is 症 for every sixteenth word, which is glued to nouns; repname is upper/lower for every other."""
+    """midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other."""
     midasi = F.when(inp.md5_digit(word, 6) == "0", "症").otherwise(word)
-    repname = F.when(inp.md5_digit(word, 7) < "8", F.concat(F.upper(word), F.lit("/"), F.lower(word))).otherwise(word)
+    repname = F.when(inp.md5_digit(word, 7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
     return F.struct(midasi.alias("midasi"), repname.alias("repname"), *[_ja_field(word, i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
 
 
@@ -368,7 +368,7 @@ def _ja_case(at: int) -> str:
 
 JA_MORPHEMES = f"""_jw AS (SELECT row_pos, unnest(t) AS word, generate_subscripts(t, 1) - 1 AS idx FROM (SELECT row_pos, regexp_extract_all(replace(replace(replace(s1, ' ', ' |'), '@', ''), ' ', ''), '[\\p{{L}}\\p{{N}}]+|[^\\s]') AS t FROM corpus)),
 _j AS (SELECT row_pos, idx, word, CASE WHEN substr(md5(lower(word)), 6, 1) = '0' THEN '症' ELSE word END AS midasi,
-  CASE WHEN substr(md5(lower(word)), 7, 1) < '8' THEN upper(word) || '/' || lower(word) ELSE word END AS repname,
+  CASE WHEN substr(md5(lower(word)), 7, 1) < '8' THEN reverse(word) || '/' || lower(word) ELSE word END AS repname,
   {_ja_case(0)} AS hinsi, {_ja_case(1)} AS bunrui, {_ja_case(2)} AS katuyou1, {_ja_case(3)} AS katuyou2, {_ja_case(4)} AS genkei
   FROM (SELECT *, substr(md5(lower(word)), 5, 1) AS x FROM _jw))"""
 _RULE = """CASE WHEN z.midasi = '症' AND (s.cp = '名詞' OR s.last = '語幹') THEN 2 WHEN z.hinsi = '接尾辞' AND z.bunrui <> '動詞性接尾辞' THEN 3
