@@ -24,12 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from glossweave.llm.common import read_table, small_batches, text_or_empty
+from glossweave.llm.common import gathered, read_table, short_batches, text_or_empty, values_bytes
+from glossweave.llm.pretokens import byte_bpe_starts, distinct_spans, plain_texts
+from glossweave.llm.words import HASH_BYTES
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Words encoded at a time; their ids go back in one row for each block.
 WORDS_AT_ONCE = 1 << 16
+#: Bytes of text in a block: the larger, the fewer words leave several blocks.
+BLOCK = 14 << 20
+#: Documents whose sequences are packed together.
+DOCS_AT_ONCE = 256
+#: Rows decoded at a time.
+DECODED_AT_ONCE = 512
 
 
 def rank_file(name: str = RANKS) -> str:
@@ -62,67 +71,121 @@ def splitter():
     return regex.compile(public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    plain = plain_texts(data, offsets)
+    if plain.all():
+        return byte_bpe_starts(data, offsets)
+    find, raw, parts = splitter().findall, data.tobytes(), [np.zeros(0, np.int64)]
+    edges = np.flatnonzero(np.r_[True, plain[1:] != plain[:-1], True])
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if plain[a]:
+            parts.append(byte_bpe_starts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) + offsets[a])
+            continue
+        for i in range(a, b):
+            sizes = [len(w.encode()) for w in find(raw[offsets[i] : offsets[i + 1]].decode())]
+            parts.append(np.cumsum([0, *sizes[:-1]]) + offsets[i] if sizes else np.zeros(0, np.int64))
+    return np.concatenate(parts)
+
+
+def starts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pre-tokens begin in texts that lie end to end, a few megabytes at a time; they cover every byte."""
+    parts, i = [np.zeros(0, np.int32)], 0
+    while i < len(offsets) - 1:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + HASH_BYTES, "right")) - 1)
+        parts.append((_starts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) + offsets[i]).astype(np.int32))
+        i = j
+    return np.concatenate(parts)
+
+
 def blocks(batches):
-    """(batch, name of the block, its distinct words in order, the sequence of places for each text)."""
+    """(batch, name of the block, its distinct words by falling count, their places in order, the first of each text)."""
     import xxhash
 
-    find = splitter().findall
-    for batch in small_batches(batches):
-        texts = batch.column("text")
-        name, places, sequences = xxhash.xxh64(), {}, []
-        for text in texts:
-            text = text.as_py()
-            name.update(text.encode())
-            name.update(b"\xff")
-            sequences.append(np.array([places.setdefault(w, len(places)) for w in find(text)], dtype=np.uint32))
-        yield batch, name.intdigest() - (1 << 63), places, sequences
+    for batch in gathered(batches, "text", BLOCK):
+        data, offsets = values_bytes(batch.column("text"))
+        raw = data.tobytes()
+        name = xxhash.xxh64(raw)
+        name.update(offsets.tobytes())
+        starts = starts_of(data, offsets)
+        ends = np.append(starts[1:], np.int32(len(data))) if len(starts) else starts
+        first, kind = distinct_spans(data, starts, ends)
+        order = np.argsort(-np.bincount(kind, minlength=len(first)), kind="stable")
+        place = np.empty(len(first), np.uint32)
+        place[order] = np.arange(len(first), dtype=np.uint32)
+        words = [raw[a:b] for a, b in zip(starts[first[order]].tolist(), ends[first[order]].tolist(), strict=True)]
+        del ends
+        yield batch, name.intdigest() - (1 << 63), words, place[kind], np.searchsorted(starts, offsets)
 
 
 def _words(batches):
-    for _, block, places, _ in blocks(batches):
-        words = list(places)
+    for _, block, words, _, _ in blocks(batches):
         for i in range(0, len(words), WORDS_AT_ONCE):
             part = words[i : i + WORDS_AT_ONCE]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array(np.full(len(part), block)), pa.array(np.arange(i, i + len(part), dtype=np.int32))], names=["word", "block", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array(np.full(len(part), block)), pa.array(np.arange(i, i + len(part), dtype=np.int32))], names=["word", "block", "place"])
+
 
+def _planes(values: np.ndarray, pack) -> bytes:
+    """Unsigned numbers as byte planes, low bytes first, compressed."""
+    return pack(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
-def _packed(sequence: np.ndarray) -> bytes:
-    """Two bytes for each place where they suffice, else four; the last byte says which."""
-    narrow = bool(not len(sequence) or sequence.max() < 1 << 16)
-    return sequence.astype(np.uint16 if narrow else np.uint32).tobytes() + bytes([narrow])
+
+def _unplanes(packed: bytes, unpack) -> np.ndarray:
+    return np.frombuffer(unpack(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
 def _sequences(batches):
+    """Documents by DOCS_AT_ONCE: their other columns, the lengths of their sequences and these end to end."""
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch, block, _, sequences in blocks(batches):
-        kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "text"]
-        names = [n for n in batch.schema.names if n != "text"]
-        packed = pa.array([pack(_packed(s)) for s in sequences], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, block)), packed, *kept], names=["_block", "_sequence", *names])
+    for batch, block, _, places, firsts in blocks(batches):
+        kept = batch.select([n for n in batch.schema.names if n != "text"])
+        rows = []
+        for i in range(0, batch.num_rows, DOCS_AT_ONCE):
+            part = kept.slice(i, DOCS_AT_ONCE)
+            edges = firsts[i : i + part.num_rows + 1]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            rows.append((sink.getvalue().to_pybytes(), _planes(np.diff(edges), pack), _planes(places[edges[0] : edges[-1]], pack)))
+        yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), *[pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]], names=["_block", "rows", "counts", "sequence"])
 
 
 def _encoder(path: str):
     def run(batches):
-        encode = whole_word_encoder(path).encode_ordinary
-        last, ids = None, b""
+        import zstandard
+
+        encode, pack = whole_word_encoder(path).encode_ordinary, zstandard.ZstdCompressor(level=1).compress
+        last, ids = None, ()
+        found, blocks, places = [], [], []
+
+        def emit():
+            block, place = np.concatenate(blocks), np.concatenate(places)
+            order = np.lexsort((place, block))
+            edges = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0, True])
+            names, columns = [], ([], [], [])
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                at = order[a:b]
+                names.append(block[at[0]])
+                columns[0].append(_planes(np.diff(place[at], prepend=0), pack))
+                columns[1].append(_planes(np.array([len(found[i]) for i in at]), pack))
+                columns[2].append(_planes(np.fromiter((x for i in at for x in found[i]), np.uint32), pack))
+            found.clear()
+            blocks.clear()
+            places.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *[pa.array(x, pa.binary()) for x in columns]], names=["_block", "places", "lengths", "tokens"])
+
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            found = []
-            for word in words:
+            for word in batch.column("word").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(encode(word), dtype=np.uint32)
+                    last, ids = word, encode(word)
                 found.append(ids)
-            block, place = batch.column("block").to_numpy(), batch.column("place").to_numpy()
-            order = np.argsort(block, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0, True]) if len(order) else [0]
-            rows = [order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block[[r[0] for r in rows]] if rows else block)]
-                + [pa.array([make(r) for r in rows], pa.binary()) for make in (lambda r: place[r].tobytes(), lambda r: np.array([len(found[i]) for i in r], np.uint32).tobytes(), lambda r: np.concatenate([found[i] for i in r]).tobytes())],
-                names=["_block", "places", "lengths", "ids"],
-            )
+            blocks.append(batch.column("block").to_numpy())
+            places.append(batch.column("place").to_numpy())
+            if len(found) >= WORDS_AT_ONCE:
+                yield emit()
+        if found:
+            yield emit()
 
     return run
 
@@ -132,28 +195,27 @@ def _assemble(schema: pa.Schema):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
-        read = lambda name, kind: np.frombuffer(b"".join(right.column(name).to_pylist()), dtype=kind)
-        place, length, ids = read("places", np.int32), read("lengths", np.uint32).astype(np.int64), read("ids", np.uint32)
-        starts = np.cumsum(length) - length
+        read = lambda name: [_unplanes(x, unpack) for x in right.column(name).to_pylist()]
+        place = np.concatenate([np.cumsum(x) for x in read("places")] or [np.zeros(0, np.int64)])
+        length = np.concatenate(read("lengths") or [place])
+        ids = np.concatenate(read("tokens") or [place]).astype(np.int32)
         # equal blocks send the same words twice; each place then gets the same ids
         size = int(place.max()) + 1 if len(place) else 0
         start_of, length_of = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        start_of[place], length_of[place] = starts, length
-        out, ends, total = [], [0], 0
-        for packed in left.column("_sequence").to_pylist():
-            raw = unpack(packed)
-            seq = np.frombuffer(raw[:-1], dtype=np.uint16 if raw[-1] else np.uint32).astype(np.int64)
+        start_of[place], length_of[place] = np.cumsum(length) - length, length
+        batches = []
+        for packed, counts, sequence in zip(*[left.column(n).to_pylist() for n in ("rows", "counts", "sequence")], strict=True):
+            seq, counts = _unplanes(sequence, unpack), _unplanes(counts, unpack)
             if len(seq) and (seq.max() >= size or not length_of[seq].all()):
                 raise ValueError("a block's words did not come back: its two scans differ")
             n = length_of[seq]
-            upto = np.cumsum(n)
-            total += int(upto[-1]) if len(seq) else 0
-            ends.append(total)
-            if len(seq):
-                out.append(ids[np.repeat(start_of[seq] - (upto - n), n) + np.arange(upto[-1])].astype(np.int32))
-        lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
-        columns = [left.column(n) for n in left.column_names if n not in ("_block", "_sequence")]
-        return pa.Table.from_arrays([*columns, lists.cast(schema.field("ids").type)], names=[*[n for n in left.column_names if n not in ("_block", "_sequence")], "ids"])
+            upto = np.concatenate([[0], np.cumsum(n)])
+            flat = ids[np.repeat(start_of[seq] - upto[:-1], n) + np.arange(upto[-1])].astype(np.int32)
+            ends = upto[np.concatenate([[0], np.cumsum(counts)])]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            kept = next(iter(pa.ipc.open_stream(packed)))
+            batches.append(pa.RecordBatch.from_arrays([*kept.columns, lists], names=[*kept.schema.names, "ids"]))
+        return pa.Table.from_batches(batches) if batches else pa.Table.from_batches([], schema=schema)
 
     return run
 
@@ -161,16 +223,16 @@ def _assemble(schema: pa.Schema):
 def encode(docs: DataFrame, keep=("doc_id",), path: str | None = None) -> DataFrame:
     """The columns `keep` of docs and ids, the token ids of its text, as array<int>."""
     path = path or rank_file()
+    short_batches(docs.sparkSession)
     kept = [F.col(c) for c in keep]
-    texts = docs.select(text_or_empty().alias("text"))
+    # both scans read the same columns, so that Spark deals and orders their rows alike
+    texts = docs.select(text_or_empty().alias("text"), *kept)
     words = texts.mapInArrow(_words, "word string, block long, place int")
-    back = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(path), "_block long, places binary, lengths binary, ids binary")
+    back = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(path), "_block long, places binary, lengths binary, tokens binary")
     fields = [docs.schema[c] for c in keep]
-    # the same scan with the same texts in the same order: other columns do not change the blocks
-    sequences = docs.select(text_or_empty().alias("text"), *kept).mapInArrow(_sequences, T.StructType([T.StructField("_block", T.LongType()), T.StructField("_sequence", T.BinaryType()), *fields]))
+    sequences = texts.mapInArrow(_sequences, "_block long, rows binary, counts binary, sequence binary")
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    arrow = pa.schema([("ids", pa.list_(pa.int32()))])
-    return sequences.groupBy("_block").cogroup(back.groupBy("_block")).applyInArrow(_assemble(arrow), schema)
+    return sequences.groupBy("_block").cogroup(back.groupBy("_block")).applyInArrow(_assemble(to_arrow_schema(schema)), schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -178,11 +240,12 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or rank_file()
 
     def run(batches):
-        table = token_bytes(path)
+        table = np.array([token_bytes(path).get(i) for i in range(max(token_bytes(path)) + 1)], dtype=object)
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            texts = [None if x is None else b"".join(map(table.__getitem__, x)) for x in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
+            for i in range(0, batch.num_rows, DECODED_AT_ONCE):
+                part = batch.slice(i, DECODED_AT_ONCE)
+                texts = [b"".join(table[x.values.to_numpy()].tolist()) if x.is_valid else None for x in part.column(part.schema.get_field_index("ids"))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 

@@ -80,6 +80,31 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most:
             start = stop
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Joins Arrow batches so that `column` holds about `most` bytes in each, and slices what is larger."""
+
+    def joined(parts):
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    held, size = [], 0
+    for batch in small_batches(batches, column, most):
+        offsets = value_offsets(batch.column(batch.schema.get_field_index(column)))
+        if held and size + offsets[-1] - offsets[0] > most:
+            yield joined(held)
+            held, size = [], 0
+        held.append(batch)
+        size += offsets[-1] - offsets[0]
+    if held:
+        yield joined(held)
+
+
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Lowers the session's rows in an Arrow batch, which the JVM and Python hold at the same time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(rows))
+
+
 def value_offsets(column: pa.Array):
     """Offsets of a string or binary column's values, as Python integers, one more than its rows."""
     import numpy as np

@@ -287,17 +287,18 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with
     kept_text is the text itself, white space and all, where nothing was removed.
     """
     kept = [docs.schema[c] for c in keep]
-    texts = docs.select(text_or_empty().alias("text"))
+    # both scans of an exchange read the same columns, so that Spark deals and orders their rows alike
+    texts = docs.select(text_or_empty().alias("text"), *keep)
     buckets = buckets_for(texts)
     back = judge(texts.mapInArrow(_send_symbols(window, buckets), SENT))
-    rows = docs.select(text_or_empty().alias("text"), *keep).mapInArrow(_packed_blocks, "block long, rows binary")
+    rows = texts.mapInArrow(_packed_blocks, "block long, rows binary")
     fields = [*kept, T.StructField("n_words", T.LongType()), T.StructField("done", T.StringType()), T.StructField("text", T.StringType()), T.StructField("ranges", T.BinaryType())]
     judged = rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_find_possible(window, buckets, _arrow(fields)), T.StructType(fields))
     judged = materialise(judged, "repeats-possible")
     names = [*keep, "n_words"]
     finished = judged.where("done IS NOT NULL").select(*names, F.lit(0).cast("long").alias("n_removed"), F.col("done").alias("kept_sha256"))
     left = judged.where("done IS NULL").select(*names, "text", "ranges")
-    answers = judge(left.select("text", "ranges").mapInArrow(_send_windows(window, buckets), SENT))
+    answers = judge(left.mapInArrow(_send_windows(window, buckets), SENT))
     fields = [*kept, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     fields += [T.StructField("kept_text", T.StringType())] if with_text else []
     blocks = left.mapInArrow(_packed_blocks, "block long, rows binary")

@@ -10,7 +10,7 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text to hash at once: arrays of 8 bytes for each stay small.
-HASH_BYTES = 2 << 20
+HASH_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=2)
