@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossweave.config import BE_FORMS, SUBWORD_LIMIT, Negators, PairConfig
-from glossweave.plans.storage import lookup
+from glossweave.plans.storage import lookup, stored
 
 LINKS = "array<struct<i:int,j:int>>"
 #: Rows of the table of vectors up to which every task holds it.
@@ -253,7 +253,9 @@ def group_candidates(groups: DataFrame, config: PairConfig, norm) -> DataFrame:
 
 def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm) -> DataFrame:
     """Facts of sentence pairs with links: the composition of the operators above."""
-    candidates = group_candidates(aligned_groups(rows, config), config, norm)
+    # stored: both sides read the candidates, and each step is planned over columns instead of nested expressions
+    groups = stored(aligned_groups(rows, config), "groups")
+    candidates = stored(group_candidates(groups, config, norm), "candidates")
     one = longest_match(candidates.where("side = 1"), listed1)
     two = longest_match(candidates.where("side = 2"), listed2)
     return antonym_filter(emit_facts(one.unionByName(two)), exceptions)
