@@ -2,11 +2,12 @@ r"""Near-duplicates by a signature-coordinate inverted join.
 
 A document is the set of its 5-word shingles (A-Z as a-z), as 64-bit hashes. Equal sets are one class.
 Each class has a signature of `COORDINATES` MinHash values and is posted under the pairs (coordinate, value) of the
-first `POSTED` of them, the prefix. Two classes at the least similarity agree in none of these with a chance of 0.15 ** 8, below 3 in
-10 million. A posting list of up to `SHORT` classes is gathered whole. Longer lists are skipped in that
-merge and split by the values of `REFINED` more coordinates; a pair has a chance of 0.15 ** 2 to be parted in one list and below 1 in a million in
-all lists that it shares. Within a list, collisions are counted over whole signatures, of which one bit a coordinate is kept: a
-pair stays up to `APART` bits of difference (a link has more about 3 times in a million), unless it has met in an earlier list.
+first of them, the prefix. A posting list of up to `SHORT` classes is gathered whole. Longer lists are skipped in that
+merge and split by the values of `REFINED` more coordinates, which each posted coordinate has for itself. So two classes of similarity s
+are together in the list of one coordinate with a chance of s (1 - (1 - s) ** REFINED) at least, and the lists miss them independently.
+Within a list, collisions are counted over whole signatures, of which one bit a coordinate is kept: a
+pair stays up to `apart` bits of difference, unless it has met in an earlier list. `fitted` derives the length of the prefix and `apart` from the
+least similarity, so that of links at just that similarity all lists together miss `LOST` at most, even if all are long, and the count `OVER` at most.
 Of what stays in a list a shortest spanning forest is confirmed first, on the full sets, by integer arithmetic. Where all its
 edges are links, every pair of the list is connected. The lists that have an edge that is none are looked at once more,
 for all pairs that are not connected yet. So a large group of copies costs its size, and no link between components is lost.
@@ -21,6 +22,9 @@ Very long texts are processed whole. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -32,9 +36,10 @@ from glossweave.llm.words import HASH_BYTES, hashed_words, mix
 
 SHINGLE = 5
 COORDINATES = 1024
-POSTED = 8
 REFINED = 2
-APART = 117
+#: The chances that a link at the least similarity is in no list together, and that it differs in more bits than are let through.
+LOST = 1e-6
+OVER = 4e-6
 #: The similarity, as a share of 100, from which documents are linked.
 LEAST = 85
 SHORT = 64
@@ -42,6 +47,41 @@ BLOCK = 2048
 SKETCH = "doc_id long, th long, set binary, n_shingles long, post array<int>, sig binary"
 
 
+class Fit(NamedTuple):
+    """Posted coordinates, and the bits of difference up to which a pair is confirmed."""
+
+    posted: int
+    apart: int
+
+    @property
+    def width(self) -> int:
+        """Values of a class that its lists need: the posted ones, then those that refine the first, the second, ..."""
+        return self.posted * (1 + REFINED)
+
+    def refining(self, at: int) -> slice:
+        return slice(self.posted + at * REFINED, self.posted + (at + 1) * REFINED)
+
+
+def fitted(least: int) -> Fit:
+    """What finds links from `least`, a share of 100, with the chances LOST and OVER of missing one."""
+    if not 0 < least <= 100:
+        raise ValueError("the least similarity is a share of 100")
+    s = least / 100
+    missed = 1 - s * (1 - (1 - s) ** REFINED)
+    fit = Fit(max(1, math.ceil(math.log(LOST) / math.log(missed))) if missed > 0 else 1, 0)
+    if fit.width > COORDINATES:
+        raise ValueError(f"a least similarity of {least} needs more than {COORDINATES} coordinates")
+    # a bit differs where the values do, every other time
+    q, apart = (1 - s) / 2, 0
+    chances = [math.comb(COORDINATES, k) * q**k * (1 - q) ** (COORDINATES - k) for k in range(COORDINATES // 2)] if q else [1.0]
+    while math.fsum(chances[apart + 1 :]) > OVER:
+        apart += 1
+    return fit._replace(apart=apart)
+
+
+FIT = fitted(LEAST)
+
+
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
     x = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return (x[:COORDINATES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (x[COORDINATES:] >> np.uint64(32)).astype(np.uint32)
@@ -85,31 +125,34 @@ def one_bit(values: np.ndarray) -> bytes:
     return np.packbits((values * np.uint32(0x9E3779B1)) >> np.uint32(31)).tobytes()
 
 
-def _sketch(batches):
-    import xxhash
+def _sketch(width: int):
+    def run(batches):
+        import xxhash
+
+        a, b = _coefficients()
+        held = np.empty((64, COORDINATES), np.uint32)
+        for batch in small_batches(batches, most=HASH_BYTES):
+            sets = shingle_sets(*values_bytes(batch.column("text")))
+            sigs = [signature(s, a, b, held) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("th"),
+                    pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s[:width].view(np.int32) for s in sigs], pa.list_(pa.int32())),
+                    pa.array([one_bit(s) for s in sigs], pa.binary()),
+                ],
+                names=["doc_id", "th", "set", "n_shingles", "post", "sig"],
+            )
 
-    a, b = _coefficients()
-    held = np.empty((64, COORDINATES), np.uint32)
-    for batch in small_batches(batches, most=HASH_BYTES):
-        sets = shingle_sets(*values_bytes(batch.column("text")))
-        sigs = [signature(s, a, b, held) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("th"),
-                pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s[: POSTED + REFINED].view(np.int32) for s in sigs], pa.list_(pa.int32())),
-                pa.array([one_bit(s) for s in sigs], pa.binary()),
-            ],
-            names=["doc_id", "th", "set", "n_shingles", "post", "sig"],
-        )
-
-
-def _collisions(left, right, at: int, by: int | None, same: bool):
-    """Index pairs that differ in APART bits at most and have not met before.
-
-    They have met if they share an earlier coordinate and some refining one: in whichever list they were, it brought them
+    return run
+
+
+def _collisions(left, right, at: int, by: int | None, same: bool, fit: Fit = FIT):
+    """Index pairs that differ in fit.apart bits at most and have not met before.
+
+    They have met if they share an earlier coordinate and some that refines it: split or not, its list brought them
     together. by: the refining coordinate of this list, if it is split.
     """
     (post_l, sig_l), (post_r, sig_r) = left, right
@@ -119,15 +162,15 @@ def _collisions(left, right, at: int, by: int | None, same: bool):
         near = np.zeros((p.shape[0], q.shape[1]), np.uint16)
         for k in range(sig_l.shape[1]):
             near += np.bitwise_count(sig_l[i : i + 64, None, k] ^ sig_r[None, :, k])
-        x, y = np.nonzero(near <= APART)
+        x, y = np.nonzero(near <= fit.apart)
         if same:
             x, y = x[y > i + x], y[y > i + x]
         p, q = post_l[i + x], post_r[y]
-        before = (p[:, :at] == q[:, :at]).any(1)
-        fine = p[:, POSTED:] == q[:, POSTED:]
-        met = before & fine.any(1)
+        same_values, met = p == q, np.zeros(len(p), bool)
+        for k in range(at):
+            met |= same_values[:, k] & same_values[:, fit.refining(k)].any(1)
         if by is not None:
-            met |= fine[:, :by].any(1)
+            met |= same_values[:, fit.refining(at)][:, :by].any(1)
         out.append(np.column_stack([i + x[~met], y[~met], near[x, y][~met]]))
     return np.concatenate(out)
 
@@ -151,17 +194,17 @@ def _forest(pairs: np.ndarray, n: int, second: int) -> list[tuple[int, int]]:
     return out
 
 
-def _chosen(left, right, at: int, by: int | None, same: bool, labels) -> list[tuple[int, int]]:
+def _chosen(left, right, at: int, by: int | None, same: bool, labels, fit: Fit = FIT) -> list[tuple[int, int]]:
     """First a forest of the pairs; with labels (of left, of right), the pairs whose labels differ."""
-    pairs = _collisions(left, right, at, by, same)
+    pairs = _collisions(left, right, at, by, same, fit)
     if labels is None:
         n = len(left[1])
         return _forest(pairs, n if same else n + len(right[1]), 0 if same else n)
     return [(x, y) for x, y in pairs[:, :2].tolist() if labels[0][x] != labels[1][y]]
 
 
-def _parts(posts, sigs):
-    return np.array(posts, np.int32).reshape(-1, POSTED + REFINED), np.frombuffer(b"".join(sigs), np.uint64).reshape(-1, COORDINATES // 64)
+def _parts(posts, sigs, fit: Fit):
+    return np.array(posts, np.int32).reshape(-1, fit.width), np.frombuffer(b"".join(sigs), np.uint64).reshape(-1, COORDINATES // 64)
 
 
 def _pairs_batch(pairs, key: dict) -> pa.RecordBatch:
@@ -173,29 +216,29 @@ def _pairs_batch(pairs, key: dict) -> pa.RecordBatch:
 PAIRS = "u binary, v binary, at int, value int, by int, more int, i int, j int"
 
 
-def _short_lists(labelled: bool):
+def _short_lists(labelled: bool, fit: Fit):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 members = row["members"]
-                side, names = _parts([m["post"] for m in members], [m["sig"] for m in members]), [m["set"] for m in members]
+                side, names = _parts([m["post"] for m in members], [m["sig"] for m in members], fit), [m["set"] for m in members]
                 labels = [m["root"] for m in members]
-                found = _chosen(side, side, row["at"], None, True, (labels, labels) if labelled else None)
+                found = _chosen(side, side, row["at"], None, True, (labels, labels) if labelled else None, fit)
                 if found:
                     yield _pairs_batch([(names[x], names[y]) for x, y in found], {"at": row["at"], "value": row["value"]})
 
     return run
 
 
-def _block_pairs(labelled: bool):
+def _block_pairs(labelled: bool, fit: Fit):
     def run(table: pa.Table) -> pa.Table:
         key = {n: table.column(n)[0].as_py() for n in ("at", "value", "by", "more", "i", "j")}
         sides, block = [], table.column("b").to_numpy()
         for b in sorted({key["i"], key["j"]}):
             part = table.filter(pa.array(block == b))
-            sides.append((part.column("set").to_pylist(), _parts(part.column("post").to_pylist(), part.column("sig").to_pylist()), part.column("root").to_pylist()))
+            sides.append((part.column("set").to_pylist(), _parts(part.column("post").to_pylist(), part.column("sig").to_pylist(), fit), part.column("root").to_pylist()))
         (u, left, roots_l), (v, right, roots_r) = sides[0], sides[-1]
-        found = _chosen(left, right, key["at"], key["by"], key["i"] == key["j"], (roots_l, roots_r) if labelled else None) if u and v else []
+        found = _chosen(left, right, key["at"], key["by"], key["i"] == key["j"], (roots_l, roots_r) if labelled else None, fit) if u and v else []
         return pa.Table.from_batches([_pairs_batch([(u[x], v[y]) for x, y in found], key)])
 
     return run
@@ -206,12 +249,13 @@ class Lists:
 
     KEY, PART = ["at", "value"], ["at", "value", "by", "more", "i", "j"]
 
-    def __init__(self, classes: DataFrame):
-        self.classes = classes
-        self.every = classes.select("set", F.posexplode(F.slice("post", 1, POSTED)).alias("at", "value"))
+    def __init__(self, classes: DataFrame, fit: Fit):
+        self.classes, self.fit = classes, fit
+        self.every = classes.select("set", F.posexplode(F.slice("post", 1, fit.posted)).alias("at", "value"))
         self.sizes = materialise(self.every.groupBy(*self.KEY).agg(F.count("*").alias("n")).where("n > 1"), "neardup-lists")
-        # a long list is split by each refining coordinate; the rows go without signatures until the parts are known
-        split = classes.select("set", F.slice("post", POSTED + 1, REFINED).alias("fine"), F.posexplode(F.slice("post", 1, POSTED)).alias("at", "value"))
+        # a long list is split by each coordinate that refines it; the rows go without signatures until the parts are known
+        posted = [F.struct(F.col("post")[k].alias("value"), F.slice("post", fit.refining(k).start + 1, REFINED).alias("fine")) for k in range(fit.posted)]
+        split = classes.select("set", F.posexplode(F.array(*posted)).alias("at", "of")).select("set", "at", "of.value", "of.fine")
         split = split.join(self.sizes.where(F.col("n") > SHORT).drop("n"), self.KEY).select("set", "at", "value", F.posexplode("fine").alias("by", "more"))
         split = materialise(split, "neardup-split")
         parts = split.groupBy("at", "value", "by", "more").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -228,8 +272,8 @@ class Lists:
             long = long.join(again.where("i IS NOT NULL").select(*self.PART).distinct(), self.PART, "left_semi")
             rows = self.classes.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
         whole = short.join(rows, "set").groupBy(*self.KEY).agg(F.collect_list(F.struct("set", "post", "sig", "root")).alias("members"))
-        found = whole.mapInArrow(_short_lists(roots is not None), PAIRS)
-        return found.unionByName(long.join(rows, "set").groupBy(*self.PART).applyInArrow(_block_pairs(roots is not None), PAIRS))
+        found = whole.mapInArrow(_short_lists(roots is not None, self.fit), PAIRS)
+        return found.unionByName(long.join(rows, "set").groupBy(*self.PART).applyInArrow(_block_pairs(roots is not None, self.fit), PAIRS))
 
 
 def _fetch(bits: bytes):
@@ -277,13 +321,14 @@ def confirm(pairs: DataFrame, owners: DataFrame, texts: DataFrame, least: int) -
 
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, component_id, kept: one row for each row of docs."""
+    fit = fitted(least)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("th", F.xxhash64("text"))
-    sketches = materialise(texts.mapInArrow(_sketch, SKETCH), "neardup-sketches")
+    sketches = materialise(texts.mapInArrow(_sketch(fit.width), SKETCH), "neardup-sketches")
     full = sketches.where("n_shingles > 0")
     classes = full.groupBy("set").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("rows"), F.min("th").alias("th"), F.first("post").alias("post"), F.first("sig").alias("sig"))
     classes = materialise(classes, "neardup-classes")
     owners, fetch = classes.select("set", "th"), texts.select("th", "text")
-    lists = Lists(classes.select("set", "post", "sig"))
+    lists = Lists(classes.select("set", "post", "sig"), fit)
     forests = materialise(lists.pairs(), "neardup-forests")
     links = materialise(confirm(forests.select("u", "v").distinct(), owners, fetch, least), "neardup-links")
     failed = materialise(forests.join(links, ["u", "v"], "left_anti"), "neardup-failed")
