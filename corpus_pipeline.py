@@ -22,9 +22,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score(docs, model).where("quality_score >= 0.5").select(*docs.columns)
 
 
+#: The similarity, as a share of 100, from which two documents are near-duplicates here; op2 has a contract of its own.
+NEAR = 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    return keep_one(docs)
+    return keep_one(docs, NEAR)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,22 @@ def test_large_groups_of_distinct_near_copies(spark, least, edits):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, least).collect()}
     assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_pipeline_keeps_one_from_0_8(spark):
+    import corpus_pipeline
+
+    # five edits leave 0.77, four 0.81
+    texts = near_copy_group(random.Random(1), 3, 4, "a") + near_copy_group(random.Random(2), 3, 5, "b")
+    root = brute_components(texts, 80)
+    assert root == [0, 0, 0, 0, 4, 5, 6, 7]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == sorted(set(root))
+
+
+def test_fitted_to_the_least_similarity():
+    assert neardup.fitted(85) == (8, 117)
+    assert all(neardup.fitted(a).posted >= neardup.fitted(a + 1).posted and neardup.fitted(a).apart > neardup.fitted(a + 1).apart for a in range(20, 100))
+    for least in (0, 5, 101):
+        with pytest.raises(ValueError):
+            neardup.fitted(least)
