@@ -71,10 +71,13 @@ def blocks(vectors: DataFrame, size: int, width: int, label: str) -> DataFrame:
         if ids:
             yield emit()
 
-    packed = materialise(vectors.select("id", "v").mapInArrow(run, "ids array<long>, matrix binary"), label)
-    # numbers in a row need an order; that of the ids is as good as any, over a row for each block
-    order = Window.orderBy("ids", "matrix")
-    return materialise(packed.withColumn("block", F.row_number().over(order) - 1), f"{label}-numbered")
+    packed = vectors.select("id", "v").mapInArrow(run, "ids array<long>, matrix binary").withColumn("at", F.monotonically_increasing_id())
+    packed = materialise(packed.withColumn("part", F.shiftright("at", 33)), label)
+    # where each task's blocks begin is a running sum over a row for each task; the matrices stay where they lie
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = packed.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    tasks = materialise(tasks.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")), f"{label}-numbered")
+    return packed.join(F.broadcast(tasks), "part").select("ids", "matrix", (F.col("at") + F.col("shift")).cast("int").alias("block"))
 
 
 def _matrix(raw: bytes, width: int) -> np.ndarray:

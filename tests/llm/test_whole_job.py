@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from glossweave.llm import neardup
+from glossweave.llm import neardup, topk
 
 
 def near_copy_group(rng, copies, edits, at):
@@ -68,3 +68,15 @@ def test_fitted_to_the_least_similarity():
     for least in (0, 5, 101):
         with pytest.raises(ValueError):
             neardup.fitted(least)
+
+
+def test_blocks_are_numbered_without_their_matrices(spark, monkeypatch):
+    plans, write = [], topk.materialise
+    monkeypatch.setattr(topk, "materialise", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    vectors = spark.createDataFrame([(i, [i, 1]) for i in range(60)], "id long, v array<long>").repartition(5)
+    got = topk.blocks(vectors, 4, 4, "test")
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    rows = got.collect()
+    assert sorted(r.block for r in rows) == list(range(len(rows))) and len(rows) >= 15
+    assert sorted(i for r in rows for i in r.ids) == list(range(60))
+    assert not any("Window" in p and "matrix" in p for p in plans)
