@@ -16,7 +16,7 @@ equal vectors only the k + 1 with the least ids can be among the k best of a que
 aside first; this is exact, and a vector that a third of all rows hold costs as much as any other.
 
 Rows. A null id or vector, or one with a null or non-finite component, takes no part. A repeated id counts once,
-with the least of its vectors. Components count up to 2**20, so that no score overflows; larger ones are as non-finite. Shorter vectors count as padded
+with the least of its vectors. Every finite component counts; a table whose scores could leave 64 bits raises an error. Shorter vectors count as padded
 with zeros. Equal scores are ordered by id. Fewer than k candidates give fewer rows; an empty table none.
 """
 
@@ -42,7 +42,7 @@ SCORES = "qid long, id long, score long"
 def integer_vectors(vectors: DataFrame) -> DataFrame:
     """id, v: floor(256 * x) of every component."""
     x = F.col("embedding").cast("array<double>")
-    good = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) < float(1 << 20), F.lit(False)))
+    good = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)))
     kept = vectors.select(F.col("vec_id").cast("long").alias("id"), F.when(good, F.transform(x, lambda c: F.floor(c * 256).cast("long"))).alias("v"))
     return kept.where("v IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
 
@@ -153,7 +153,11 @@ def _entries(width: int):
 def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of every row whose vec_id is divisible by `every`."""
     rows = materialise(integer_vectors(vectors), "topk-vectors")
-    width = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
+    largest = F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))
+    width, largest = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(largest), F.lit(0.0))).first()
+    # the cast of a component beyond 64 bits gives the largest long, which is refused here as well
+    if width * largest * largest >= 2.0**63:
+        raise ValueError(f"{width} components of up to {largest:.0f} / 256 can have scores beyond 64 bits")
     width = max(LISTS, -(-width // LISTS) * LISTS)
     of_vector = Window.partitionBy("v").orderBy("id")
     candidates = rows.withColumn("copy", F.row_number().over(of_vector)).where(F.col("copy") <= k + 1).drop("copy")

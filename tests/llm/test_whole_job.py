@@ -80,3 +80,13 @@ def test_blocks_are_numbered_without_their_matrices(spark, monkeypatch):
     assert sorted(r.block for r in rows) == list(range(len(rows))) and len(rows) >= 15
     assert sorted(i for r in rows for i in r.ids) == list(range(60))
     assert not any("Window" in p and "matrix" in p for p in plans)
+
+
+def test_large_components_count_or_raise(spark):
+    schema = "vec_id long, embedding array<float>"
+    rows = [(50, [1.0, 0.0]), (1, [float(1 << 21), 1.0]), (2, [-float(1 << 22), 0.0]), (3, [float("inf"), 0.0]), (4, [2.0, 0.0])]
+    got = [tuple(r) for r in topk.search(spark.createDataFrame(rows, schema)).orderBy("rank").collect()]
+    assert got == [(50, 1, 1, 1 << 37), (50, 2, 4, 1 << 17), (50, 3, 2, -(1 << 38))]
+    for x in (1e10, -1e30):
+        with pytest.raises(ValueError, match="64 bits"):
+            topk.search(spark.createDataFrame([(50, [1.0]), (1, [x])], schema))
