@@ -14,7 +14,7 @@ from glossweave.functions.text import strip_marks, tokenize, tokens
 from glossweave.plans.storage import read_table
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
-#: Sentences of a document at most, for row positions.
+#: Sentence pairs of a document at most, for row positions; a longer document raises an error.
 SENTENCES = 1 << 20
 #: Scale of the integer dot product and the threshold on it, for vectors of unit length times 256.
 SCALE = 10.0 / 65536
@@ -34,7 +34,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SENTENCE), 0).alias("ss"))
     pairs = F.zip_with(F.slice("ss", F.lit(1), F.greatest(F.size("ss") - 1, F.lit(0))), F.slice("ss", F.lit(2), F.greatest(F.size("ss") - 1, F.lit(0))), lambda a, b: F.struct(a.alias("s1"), b.alias("s2")))
     rows = docs.select("doc_id", "lang", F.posexplode(pairs).alias("j", "p"))
-    return rows.select((F.col("doc_id") * SENTENCES + F.col("j")).alias("row_pos"), F.concat_ws("-", "doc_id", "j").alias("id"), "p.s1", "p.s2", F.lit("{}").alias("commands"), F.lit("False").alias("invalid"), "lang")
+    passed = F.raise_error(F.concat(F.lit(f"more than {SENTENCES} sentence pairs in document "), F.col("doc_id").cast("string")))
+    row_pos = F.when(F.col("j") >= SENTENCES, passed.cast("long")).otherwise(F.col("doc_id") * SENTENCES + F.col("j"))
+    return rows.select(row_pos.alias("row_pos"), F.concat_ws("-", "doc_id", "j").alias("id"), "p.s1", "p.s2", F.lit("{}").alias("commands"), F.lit("False").alias("invalid"), "lang")
 
 
 def lexicon_code(word: Column) -> Column:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from glossweave.llm import neardup, topk
+from glossweave.plans import inputs
 
 
 def near_copy_group(rng, copies, edits, at):
@@ -90,3 +91,12 @@ def test_large_components_count_or_raise(spark):
     for x in (1e10, -1e30):
         with pytest.raises(ValueError, match="64 bits"):
             topk.search(spark.createDataFrame([(50, [1.0]), (1, [x])], schema))
+
+
+def test_documents_beyond_the_row_positions_raise(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "SENTENCES", 2)
+    for name, text in (("fits", "a. b. c."), ("passes", "a. b. c. d.")):
+        spark.createDataFrame([(1, "en", text), (2, "en", "x. y.")], "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    assert sorted(r.row_pos for r in inputs.corpus(spark, f"{tmp_path}/fits").collect()) == [2, 3, 4]
+    with pytest.raises(Exception, match="more than 2 sentence pairs in document 1"):
+        inputs.corpus(spark, f"{tmp_path}/passes").collect()
