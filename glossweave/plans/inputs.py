@@ -175,7 +175,7 @@ _ignored AS (
   UNION ALL SELECT row_pos, side, idx + 1 FROM tokens WHERE side = 2 AND word = 'to'
   UNION ALL SELECT row_pos, side, idx - 1 FROM tokens WHERE side = 2 AND word = 'de'
   UNION ALL SELECT a.row_pos, a.side, a.idx FROM tokens a JOIN tokens b ON a.row_pos = b.row_pos AND a.side = 1 AND b.side = 1 AND b.idx = a.idx + 1
-    WHERE a.word IN ('be', 'am', 'is', 'are', 'was', 'were', 'been', 'being', '''s', '''re', '''m') AND b.pos = 'v'),
+    WHERE a.word IN ('is', 'are', 'was', 'were', 'am', 'be', 'been', 'being') AND b.pos = 'v'),
 _touched AS (SELECT DISTINCT m.row_pos, m.g FROM members m JOIN _ignored x ON m.row_pos = x.row_pos AND m.side = x.side AND m.idx = x.idx),
 kept AS (SELECT m.*, t.word, t.pos FROM members m JOIN tokens t ON m.row_pos = t.row_pos AND m.side = t.side AND m.idx = t.idx
   ANTI JOIN _touched x ON m.row_pos = x.row_pos AND m.g = x.g)""",

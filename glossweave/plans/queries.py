@@ -603,7 +603,7 @@ def neg_trg(spark, d):
 
 
 @query(["corpus", "tokens"], """SELECT a.row_pos, a.idx FROM tokens a JOIN tokens b ON a.row_pos = b.row_pos AND a.side = 1 AND b.side = 1 AND b.idx = a.idx + 1
-WHERE a.word IN ('be', 'am', 'is', 'are', 'was', 'were', 'been', 'being', '''s', '''re', '''m') AND b.pos = 'v'""")
+WHERE a.word IN ('is', 'are', 'was', 'were', 'am', 'be', 'been', 'being') AND b.pos = 'v'""")
 def be_verb(spark, d):
     return _words(spark, d).select("row_pos", F.explode(al.be_before_verb(F.col("w1"), F.col("p1"))).alias("idx"))
 
