@@ -1,22 +1,29 @@
 r"""Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 Pre-tokens are exploded with their positions, each distinct pre-token is encoded once, and its ids are joined
-back by position. Documents are taken in blocks of bounded bytes: a block lists its distinct pre-tokens, so a word
-leaves a block once however often it stands there, and a document is the sequence of its words' places in that
-list. The words of all blocks are dealt by word and sorted; each run of equal words is encoded once and its ids
-go back to the blocks it came from, where a cogroup by block puts the ids at their positions. A block is named
-by a hash of its texts, so that both scans name it alike; a block whose words don't come back is an error.
+back by position. Documents are taken in blocks of bounded bytes: a block lists its distinct pre-tokens by falling count, so
+a word leaves a block once however often it stands there, and a document is the sequence of its words' places in that
+list. One scan writes both. The sequences stay where they are written, in a file of the shared folder for each task; the words,
+dealt to buckets by hash, are a table. All blocks' rows of a bucket meet in one group of bounded size, as the number of buckets
+follows the input; there each distinct word is encoded once, and its ids go back to the blocks that sent it.
+A group for each block then reads the block's sequences and puts the ids at their positions.
 
-A frequent word crosses the shuffle once for each block that has it, never once for each occurrence, and the words
-that all blocks share are spread over all tasks. Decoding looks every id up in the table of the token's bytes.
+A frequent word crosses the shuffle once for each block that has it, never once for each occurrence. A block sends a row for each
+bucket, or for each word if it has fewer. Decoding looks every id up in the table of the token's bytes.
 
-Rows. Null text is empty and has no ids. Columns in `keep` come back as they are, nulls, repeats and names included.
+Lost executors. The table of words names the files of sequences, which bear the name of the attempt that wrote them, and the
+files of a lost attempt are never read. What follows starts from that table, so it never depends on two scans that agree.
+
+Rows. Null text is empty and has no ids. Columns in `keep` come back as they are, nulls, repeats and names included; one with the
+name of an output column gives way to it.
 A very long text is a block of its own. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -26,19 +33,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from glossweave.llm.common import gathered, read_table, short_batches, text_or_empty, values_bytes
+from glossweave.llm.common import gathered, materialise, open_shared, packed_batch, read_table, release, releasing, shared_dir, short_batches, text_or_empty, unpacked_batch, values_bytes
 from glossweave.llm.pretokens import byte_bpe_starts, distinct_spans, plain_texts
-from glossweave.llm.words import HASH_BYTES
+from glossweave.llm.words import HASH_BYTES, span_hashes
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Words encoded at a time; their ids go back in one row for each block.
-WORDS_AT_ONCE = 1 << 16
 #: Bytes of text in a block: the larger, the fewer words leave several blocks.
-BLOCK = 14 << 20
+BLOCK = 12 << 20
+#: Bytes of text for each bucket of words.
+BUCKET_BYTES = 32 << 20
 #: Documents whose sequences are packed together.
 DOCS_AT_ONCE = 256
 #: Rows decoded at a time.
-DECODED_AT_ONCE = 512
+DECODED_AT_ONCE = 256
+SENT = "block long, bucket int, places binary, words binary, path string, first int, parts int"
+BACK = "block long, places binary, lengths binary, tokens binary, path string, first int, parts int"
 
 
 def rank_file(name: str = RANKS) -> str:
@@ -54,6 +63,13 @@ def token_bytes(path: str) -> dict[int, bytes]:
         return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, f)}
 
 
+@lru_cache(maxsize=1)
+def token_table(path: str) -> np.ndarray:
+    """The bytes of each id, by the id."""
+    known = token_bytes(path)
+    return np.array([known.get(i) for i in range(max(known) + 1)], dtype=object)
+
+
 @lru_cache(maxsize=2)
 def whole_word_encoder(path: str):
     """Encodes its whole input as one pre-token."""
@@ -97,31 +113,16 @@ def starts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def blocks(batches):
-    """(batch, name of the block, its distinct words by falling count, their places in order, the first of each text)."""
-    import xxhash
-
-    for batch in gathered(batches, "text", BLOCK):
-        data, offsets = values_bytes(batch.column("text"))
-        raw = data.tobytes()
-        name = xxhash.xxh64(raw)
-        name.update(offsets.tobytes())
-        starts = starts_of(data, offsets)
-        ends = np.append(starts[1:], np.int32(len(data))) if len(starts) else starts
-        first, kind = distinct_spans(data, starts, ends)
-        order = np.argsort(-np.bincount(kind, minlength=len(first)), kind="stable")
-        place = np.empty(len(first), np.uint32)
-        place[order] = np.arange(len(first), dtype=np.uint32)
-        words = [raw[a:b] for a, b in zip(starts[first[order]].tolist(), ends[first[order]].tolist(), strict=True)]
-        del ends
-        yield batch, name.intdigest() - (1 << 63), words, place[kind], np.searchsorted(starts, offsets)
-
-
-def _words(batches):
-    for _, block, words, _, _ in blocks(batches):
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            part = words[i : i + WORDS_AT_ONCE]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array(np.full(len(part), block)), pa.array(np.arange(i, i + len(part), dtype=np.int32))], names=["word", "block", "place"])
+def block_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words by falling count, their places in order, the first of each text)."""
+    data, offsets = values_bytes(column)
+    starts = starts_of(data, offsets)
+    firsts = np.searchsorted(starts, offsets)
+    words, kind = distinct_spans(data, starts, np.append(starts[1:], np.int32(len(data))) if len(starts) else starts)
+    order = np.argsort(-np.bincount(kind, minlength=len(words)), kind="stable")
+    place = np.empty(len(words), np.int32)
+    place[order] = np.arange(len(words), dtype=np.int32)
+    return words.take(pa.array(order)), place[kind], firsts
 
 
 def _planes(values: np.ndarray, pack) -> bytes:
@@ -133,59 +134,112 @@ def _unplanes(packed: bytes, unpack) -> np.ndarray:
     return np.frombuffer(unpack(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
-def _sequences(batches):
-    """Documents by DOCS_AT_ONCE: their other columns, the lengths of their sequences and these end to end."""
-    import zstandard
+def _packed_words(words: pa.Array, pack) -> bytes:
+    """Lengths as byte planes, then the bytes."""
+    data, offsets = values_bytes(words)
+    sizes = np.diff(offsets).astype("<u4")
+    return pack(len(sizes).to_bytes(4, "little") + sizes.view(np.uint8).reshape(-1, 4).T.tobytes() + data.tobytes())
+
+
+def _unpacked_words(packed: bytes, unpack) -> pa.Array:
+    raw = unpack(packed)
+    n = int.from_bytes(raw[:4], "little")
+    sizes = np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, -1).T.copy().view("<u4").ravel()
+    offsets = np.zeros(n + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[4 + 4 * n :])])
+
+
+SEQUENCE = pa.schema([("rows", pa.binary()), ("counts", pa.binary()), ("sequence", pa.binary())])
 
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch, block, _, places, firsts in blocks(batches):
-        kept = batch.select([n for n in batch.schema.names if n != "text"])
-        rows = []
-        for i in range(0, batch.num_rows, DOCS_AT_ONCE):
-            part = kept.slice(i, DOCS_AT_ONCE)
-            edges = firsts[i : i + part.num_rows + 1]
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(part)
-            rows.append((sink.getvalue().to_pybytes(), _planes(np.diff(edges), pack), _planes(places[edges[0] : edges[-1]], pack)))
-        yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), *[pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]], names=["_block", "rows", "counts", "sequence"])
-
-
-def _encoder(path: str):
-    def run(batches):
-        import zstandard
 
-        encode, pack = whole_word_encoder(path).encode_ordinary, zstandard.ZstdCompressor(level=1).compress
-        last, ids = None, ()
-        found, blocks, places = [], [], []
+def _blocks(folder: str, buckets: int):
+    """Writes the sequences of each block to the task's file; a row for each block names them, others hold its words."""
 
-        def emit():
-            block, place = np.concatenate(blocks), np.concatenate(places)
-            order = np.lexsort((place, block))
-            edges = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0, True])
-            names, columns = [], ([], [], [])
+    def rows(columns) -> pa.RecordBatch:
+        kinds = dict(block=pa.int64(), bucket=pa.int32(), places=pa.binary(), words=pa.binary(), path=pa.string(), first=pa.int32(), parts=pa.int32())
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(k, [None] * n), t) for k, t in kinds.items()], names=list(kinds))
+
+    def run(batches):
+        import zstandard
+        from pyspark import TaskContext
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        path, part = f"{folder}/sequences-{uuid.uuid4().hex}.arrow", TaskContext.get().partitionId()
+        sink = writer = None
+        number = written = 0
+        for batch in gathered(batches, "text", BLOCK):
+            if writer is None:
+                sink = open_shared(path, write=True)
+                writer = pa.ipc.new_file(sink, SEQUENCE)
+            block = (part << 32) + number
+            words, places, firsts = block_words(batch.column("text"))
+            kept = batch.select([n for n in batch.schema.names if n != "text"])
+            del batch
+            first = written
+            for i in range(0, kept.num_rows, DOCS_AT_ONCE):
+                some = kept.slice(i, DOCS_AT_ONCE)
+                edges = firsts[i : i + some.num_rows + 1]
+                values = packed_batch(some), _planes(np.diff(edges), pack), _planes(places[edges[0] : edges[-1]], pack)
+                writer.write_batch(pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], schema=SEQUENCE))
+                written += 1
+            del places, kept
+            yield rows({"block": [block], "path": [path], "first": [first], "parts": [written - first]})
+            data, offsets = values_bytes(words)
+            bucket = (span_hashes(data, offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
+            out: dict = {"block": [], "bucket": [], "places": [], "words": []}
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 at = order[a:b]
-                names.append(block[at[0]])
-                columns[0].append(_planes(np.diff(place[at], prepend=0), pack))
-                columns[1].append(_planes(np.array([len(found[i]) for i in at]), pack))
-                columns[2].append(_planes(np.fromiter((x for i in at for x in found[i]), np.uint32), pack))
-            found.clear()
-            blocks.clear()
-            places.clear()
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *[pa.array(x, pa.binary()) for x in columns]], names=["_block", "places", "lengths", "tokens"])
+                out["block"].append(block)
+                out["bucket"].append(int(bucket[at[0]]))
+                out["places"].append(_planes(np.diff(at, prepend=0), pack))
+                out["words"].append(_packed_words(words.take(pa.array(at)), pack))
+            if out["block"]:
+                yield rows(out)
+            number += 1
+            del words, data, offsets, out
+            release()
+        if writer is not None:
+            writer.close()
+            sink.close()
 
-        for batch in batches:
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, encode(word)
-                found.append(ids)
-            blocks.append(batch.column("block").to_numpy())
-            places.append(batch.column("place").to_numpy())
-            if len(found) >= WORDS_AT_ONCE:
-                yield emit()
-        if found:
-            yield emit()
+    return releasing(run)
+
+
+def encoded_words(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids of each word, all ids end to end)."""
+    encode = whole_word_encoder(path).encode_ordinary
+    ids = [encode(w) for w in words.cast(pa.string()).to_pylist()]
+    return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter((x for i in ids for x in i), np.int32)
+
+
+def _encode_bucket(path: str):
+    """Each distinct word of a bucket is encoded once; a row goes back for each that came."""
+
+    def run(table: pa.Table) -> pa.Table:
+        import zstandard
+
+        pack, unpack = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+        parts = [_unpacked_words(x.as_buffer(), unpack) for x in table.column("words").combine_chunks()]
+        sizes = np.array([len(p) for p in parts])
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        del parts
+        length, ids = encoded_words(path, coded.dictionary)
+        start, kinds = np.cumsum(length) - length, coded.indices.to_numpy()
+        lengths, tokens, at = [], [], 0
+        for n in sizes.tolist():
+            kind = kinds[at : at + n]
+            many = length[kind]
+            upto = np.cumsum(many)
+            lengths.append(_planes(many, pack))
+            tokens.append(_planes(ids[np.repeat(start[kind] - (upto - many), many) + np.arange(upto[-1])], pack))
+            at += n
+        columns = [table.column("block"), table.column("places"), pa.array(lengths, pa.binary()), pa.array(tokens, pa.binary()), table.column("path"), table.column("first"), table.column("parts")]
+        release()
+        return pa.Table.from_arrays(columns, names=["block", "places", "lengths", "tokens", "path", "first", "parts"])
 
     return run
 
@@ -193,67 +247,89 @@ def _encoder(path: str):
 def _assemble(schema: pa.Schema):
     import zstandard
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
-        read = lambda name: [_unplanes(x, unpack) for x in right.column(name).to_pylist()]
+        read = lambda name: [_unplanes(x.as_buffer(), unpack) for x in table.column(name).combine_chunks() if x.is_valid]
         place = np.concatenate([np.cumsum(x) for x in read("places")] or [np.zeros(0, np.int64)])
         length = np.concatenate(read("lengths") or [place])
-        ids = np.concatenate(read("tokens") or [place]).astype(np.int32)
-        # equal blocks send the same words twice; each place then gets the same ids
-        size = int(place.max()) + 1 if len(place) else 0
-        start_of, length_of = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        ids = np.concatenate([x.astype(np.int32) for x in read("tokens")] or [np.zeros(0, np.int32)])
+        start_of, length_of = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         start_of[place], length_of[place] = np.cumsum(length) - length, length
+        head = next(r for r in table.select(["path", "first", "parts"]).to_pylist() if r["path"] is not None)
         batches = []
-        for packed, counts, sequence in zip(*[left.column(n).to_pylist() for n in ("rows", "counts", "sequence")], strict=True):
-            seq, counts = _unplanes(sequence, unpack), _unplanes(counts, unpack)
-            if len(seq) and (seq.max() >= size or not length_of[seq].all()):
-                raise ValueError("a block's words did not come back: its two scans differ")
-            n = length_of[seq]
-            upto = np.concatenate([[0], np.cumsum(n)])
-            flat = ids[np.repeat(start_of[seq] - upto[:-1], n) + np.arange(upto[-1])].astype(np.int32)
-            ends = upto[np.concatenate([[0], np.cumsum(counts)])]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            kept = next(iter(pa.ipc.open_stream(packed)))
-            batches.append(pa.RecordBatch.from_arrays([*kept.columns, lists], names=[*kept.schema.names, "ids"]))
-        return pa.Table.from_batches(batches) if batches else pa.Table.from_batches([], schema=schema)
+        with open_shared(head["path"]) as source:
+            file = pa.ipc.open_file(source)
+            for i in range(head["first"], head["first"] + head["parts"]):
+                packed, counts, sequence = (c[0].as_py() for c in file.get_batch(i).columns)
+                seq, counts = _unplanes(sequence, unpack), _unplanes(counts, unpack)
+                n = length_of[seq]
+                upto = np.concatenate([[0], np.cumsum(n)])
+                flat = ids[np.repeat(start_of[seq] - upto[:-1], n) + np.arange(upto[-1])]
+                ends = upto[np.concatenate([[0], np.cumsum(counts)])]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                kept = unpacked_batch(packed)
+                batches.append(pa.RecordBatch.from_arrays([*kept.columns, lists], schema=schema))
+        release()
+        return pa.Table.from_batches(batches, schema=schema)
 
     return run
 
 
-def encode(docs: DataFrame, keep=("doc_id",), path: str | None = None) -> DataFrame:
-    """The columns `keep` of docs and ids, the token ids of its text, as array<int>."""
-    path = path or rank_file()
-    short_batches(docs.sparkSession)
-    kept = [F.col(c) for c in keep]
-    # both scans read the same columns, so that Spark deals and orders their rows alike
-    texts = docs.select(text_or_empty().alias("text"), *kept)
-    words = texts.mapInArrow(_words, "word string, block long, place int")
-    back = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(path), "_block long, places binary, lengths binary, tokens binary")
-    fields = [docs.schema[c] for c in keep]
-    sequences = texts.mapInArrow(_sequences, "_block long, rows binary, counts binary, sequence binary")
-    schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return sequences.groupBy("_block").cogroup(back.groupBy("_block")).applyInArrow(_assemble(to_arrow_schema(schema)), schema)
-
-
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """encoded (with ids) and decoded, the bytes of its tokens; an id outside the table is an error, null ids give null."""
+def encode(docs: DataFrame, keep=("doc_id",), path: str | None = None, ids: str = "ids") -> DataFrame:
+    """The columns `keep` of docs and, as the column named by ids, the token ids of its text, array<int>."""
+    path, spark = path or rank_file(), docs.sparkSession
+    keep = [c for c in keep if c.lower() != ids.lower()]
+    short_batches(spark)
+    # the kept columns cross by other names, so that one of them may be called text
+    names = [f"kept_{i}" for i in range(len(keep))]
+    texts = docs.select(text_or_empty().alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
+    buckets = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    sent = materialise(texts.mapInArrow(_blocks(shared_dir(spark, "bpe-sequences"), buckets), SENT), "bpe-words")
+    back = sent.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_encode_bucket(path), BACK)
+    heads = sent.where("bucket IS NULL").select("block", *[F.lit(None).cast("binary").alias(n) for n in ("places", "lengths", "tokens")], "path", "first", "parts")
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep]
+    schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    return back.unionByName(heads).groupBy("block").applyInArrow(_assemble(to_arrow_schema(schema)), schema)
+
+
+def joined_bytes(lists: pa.Array, table: np.ndarray, between: bytes = b""):
+    """The values of table at the ids of each list, joined; None for a null."""
+    for x in lists:
+        yield between.join(table[x.values.to_numpy()].tolist()) if x.is_valid else None
+
+
+def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """encoded and, as the column named by decoded, the bytes of its tokens; an id outside the table is an error, null ids give null."""
     path = path or rank_file()
+    encoded = encoded.drop(decoded)
 
     def run(batches):
-        table = np.array([token_bytes(path).get(i) for i in range(max(token_bytes(path)) + 1)], dtype=object)
+        table = token_table(path)
         for batch in batches:
             for i in range(0, batch.num_rows, DECODED_AT_ONCE):
                 part = batch.slice(i, DECODED_AT_ONCE)
-                texts = [b"".join(table[x.values.to_numpy()].tolist()) if x.is_valid else None for x in part.column(part.schema.get_field_index("ids"))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
+                texts = list(joined_bytes(part.column(part.schema.get_field_index(ids)), table))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, decoded])
+
+    return encoded.mapInArrow(releasing(run), T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
+def digests(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents (doc_id, ids)."""
+    path = path or rank_file()
+
+    def run(batches):
+        table = token_table(path)
+        numbers = np.array([str(i).encode() for i in range(len(table))], dtype=object)
+        sha = lambda raw: None if raw is None else hashlib.sha256(raw).hexdigest()
+        for batch in batches:
+            ids = batch.column(batch.schema.get_field_index("ids"))
+            columns = [batch.column(batch.schema.get_field_index("doc_id")), pa.array([len(x) if x.is_valid else None for x in ids], pa.int64())]
+            columns += [pa.array([sha(x) for x in joined_bytes(ids, *how)], pa.string()) for how in ((numbers, b","), (table,))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
-    out = decode(encoded)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.select("doc_id", "ids").mapInArrow(releasing(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,6 +62,18 @@ def bitmap_flags(bits: bytes):
     return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of df is called so; Spark does not tell case apart."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -105,6 +118,39 @@ def short_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers live on after a task, beside those of other steps."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call, it keeps what it holds
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run):
+    """A function on Arrow batches that releases memory when a task is done."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def packed_batch(batch: pa.RecordBatch) -> bytes:
+    """A batch as one compressed value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_batch(raw: bytes) -> pa.RecordBatch:
+    return next(iter(pa.ipc.open_stream(raw)))
+
+
 def value_offsets(column: pa.Array):
     """Offsets of a string or binary column's values, as Python integers, one more than its rows."""
     import numpy as np

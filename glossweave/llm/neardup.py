@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, small_batches, text_or_empty, values_bytes
+from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, releasing, short_batches, small_batches, text_or_empty, unused, values_bytes
 from glossweave.llm.components import components
 from glossweave.llm.words import HASH_BYTES, hashed_words, mix
 
@@ -90,10 +90,11 @@ def _coefficients() -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The sorted shingle hashes of each text."""
     h, _, _, firsts = hashed_words(data, offsets, True)
-    all5 = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
+    n = max(0, len(h) - SHINGLE + 1)
+    all5 = np.zeros(n, np.uint64)
     weights = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64))
     for k in range(SHINGLE):
-        all5 += h[k : len(h) - SHINGLE + 1 + k] * (weights[k] | np.uint64(1))
+        all5 += h[k : k + n] * (weights[k] | np.uint64(1))
     all5 = mix(all5)
     out = []
     for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
@@ -272,7 +273,7 @@ class Lists:
             long = long.join(again.where("i IS NOT NULL").select(*self.PART).distinct(), self.PART, "left_semi")
             rows = self.classes.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
         whole = short.join(rows, "set").groupBy(*self.KEY).agg(F.collect_list(F.struct("set", "post", "sig", "root")).alias("members"))
-        found = whole.mapInArrow(_short_lists(roots is not None, self.fit), PAIRS)
+        found = whole.mapInArrow(releasing(_short_lists(roots is not None, self.fit)), PAIRS)
         return found.unionByName(long.join(rows, "set").groupBy(*self.PART).applyInArrow(_block_pairs(roots is not None, self.fit), PAIRS))
 
 
@@ -311,19 +312,20 @@ def confirm(pairs: DataFrame, owners: DataFrame, texts: DataFrame, least: int) -
     """The pairs that are similar on their full sets. owners: set, th of a row that has it; texts: th, text."""
     needed = pairs.select(F.col("u").alias("set")).union(pairs.select("v")).distinct().join(owners, "set").select("th")
     needed = materialise(needed.distinct(), "neardup-needed")
-    few = texts.mapInArrow(_fetch(bitmap(needed, "th")), "th long, text string")
-    fetched = few.join(needed, "th", "left_semi").dropDuplicates(["th"]).select("text").mapInArrow(_sets, "set binary, shingles binary")
+    few = texts.mapInArrow(releasing(_fetch(bitmap(needed, "th"))), "th long, text string")
+    fetched = few.join(needed, "th", "left_semi").dropDuplicates(["th"]).select("text").mapInArrow(releasing(_sets), "set binary, shingles binary")
     sets = materialise(fetched.dropDuplicates(["set"]), "neardup-sets")
     left = pairs.join(sets.withColumnRenamed("shingles", "su"), F.col("u") == F.col("set")).drop("set")
     both = left.join(sets.withColumnRenamed("shingles", "sv"), F.col("v") == F.col("set")).drop("set")
-    return both.select("u", "v", "su", "sv").mapInArrow(_confirmed(least), "u binary, v binary")
+    return both.select("u", "v", "su", "sv").mapInArrow(releasing(_confirmed(least)), "u binary, v binary")
 
 
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, component_id, kept: one row for each row of docs."""
     fit = fitted(least)
+    short_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("th", F.xxhash64("text"))
-    sketches = materialise(texts.mapInArrow(_sketch(fit.width), SKETCH), "neardup-sketches")
+    sketches = materialise(texts.mapInArrow(releasing(_sketch(fit.width)), SKETCH), "neardup-sketches")
     full = sketches.where("n_shingles > 0")
     classes = full.groupBy("set").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("rows"), F.min("th").alias("th"), F.first("post").alias("post"), F.first("sig").alias("sig"))
     classes = materialise(classes, "neardup-classes")
@@ -349,12 +351,13 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def keep_one(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row of each group of near_duplicates, with the columns of docs; of repeated rows one stays as well."""
-    kept = near_duplicates(docs, least).where("kept").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    left = docs.withColumn("_key", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64(text_or_empty()))
-    joined = left.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left_semi")
+    id_, th, key, hash_, row = unused(docs, "id", "th", "key", "hash", "row")
+    kept = near_duplicates(docs, least).where("kept").select(F.col("doc_id").alias(id_), F.col("th").alias(th)).distinct()
+    left = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(hash_, F.xxhash64(text_or_empty()))
+    joined = left.join(kept, F.col(key).eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(th)), "left_semi")
     # dealt and sorted by these two already
-    row = F.row_number().over(Window.partitionBy("_key", "_hash").orderBy("_hash"))
-    return joined.withColumn("_row", row).where("_row = 1").select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy(key, hash_).orderBy(hash_))
+    return joined.withColumn(row, place).where(F.col(row) == 1).select(*docs.columns)
 
 
 def op2_neardup(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, small_batches, text_or_empty, values_bytes
+from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, releasing, small_batches, text_or_empty, values_bytes
 from glossweave.llm.words import HASH_BYTES, hashed_words
 
 BASE = ("email", "ip", "card", "phone")
@@ -169,11 +169,11 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT, generalise: float
     """th (hash of a text), terms: array of (term, action) to sanitise in the contexts of that text."""
     texts = docs.select(text_or_empty().alias("text")).withColumn("th", F.xxhash64("text"))
     total = docs.count()
-    seen = materialise(texts.where(F.col("text").rlike(MAY_HOLD)).select("th", "text").mapInArrow(_observe, "th long, entity long, terms array<long>"), "pii-contexts")
+    seen = materialise(texts.where(F.col("text").rlike(MAY_HOLD)).select("th", "text").mapInArrow(releasing(_observe), "th long, entity long, terms array<long>"), "pii-contexts")
     with_entity = seen.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = seen.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
     pairs = materialise(pairs, "pii-pairs")
-    counted = texts.select("text").mapInArrow(_term_counter(bitmap(pairs, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+    counted = texts.select("text").mapInArrow(releasing(_term_counter(bitmap(pairs, "term"))), "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
     bits_of_entity = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = 1 + F.log2(F.col("n_te") / F.col("n_t")) / bits_of_entity
     judged = pairs.join(counted, "term").join(with_entity, "entity").where(bits_of_entity > 0).withColumn("share", share).where(F.col("share") >= generalise)
@@ -212,7 +212,7 @@ def find(docs: DataFrame, **thresholds) -> DataFrame:
     held = docs.where(may).withColumn("_key", F.xxhash64("text"))
     joined = held.join(terms, F.col("_key") == F.col("_th"), "left").drop("_key", "_th")
     schema = T.StructType([*docs.schema.fields, T.StructField("pii_spans", T.DataType.fromDDL(SPANS))])
-    return joined.mapInArrow(_spans, schema).unionByName(docs.where(~may).withColumn("pii_spans", F.array().cast(SPANS)))
+    return joined.mapInArrow(releasing(_spans), schema).unionByName(docs.where(~may).withColumn("pii_spans", F.array().cast(SPANS)))
 
 
 def _redacted(text: str | None, spans) -> str | None:

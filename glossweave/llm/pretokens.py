@@ -7,12 +7,8 @@ patterns are known byte by byte. Callers give other texts to a regular expressio
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-from glossweave.llm.words import BASE, HASH_BYTES, INVERSE, mix, powers
-
-#: A second multiplier: two spans count as equal if both hashes agree.
-BASE2 = 0xD6E8FEB86659FD93
-INVERSE2 = pow(BASE2, -1, 1 << 64)
 LETTER, DIGIT, OTHER, SPACE, BLANK = range(5)
 
 
@@ -79,7 +75,10 @@ def byte_bpe_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def word_bpe_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words in plain lower-case texts: letters, single digits, other marks, contractions."""
+    """Starts and ends of the words in plain lower-case texts: letters, single digits, other marks, contractions.
+
+    The words cover every byte that is not white space.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kind = KIND[data]
@@ -103,36 +102,14 @@ def word_bpe_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return starts[kept], ends[kept]
 
 
-def _hash(data, starts, ends, base, inverse):
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data)), dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(inverse, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
-
-
-def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(a span of each distinct kind, the kind of each span); by bytes where two 64-bit hashes disagree.
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, inside: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """(the distinct spans as binary values, in order of first sight; the place of each span among them).
 
-    A few megabytes at a time are reduced to their own kinds, so that memory follows the kinds more than the spans.
+    inside: which bytes lie in a span, if there are others.
     """
-    kinds, names, checks, firsts, i, n, agree = [], [], [], [], 0, 0, True
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, "right")))
-        a, b = int(starts[i]), int(ends[j - 1])
-        h = _hash(data[a:b], starts[i:j] - a, ends[i:j] - a, BASE, INVERSE)
-        h2 = _hash(data[a:b], starts[i:j] - a, ends[i:j] - a, BASE2, INVERSE2)
-        name, first, kind = np.unique(h, return_index=True, return_inverse=True)
-        agree = agree and bool((h2 == h2[first][kind]).all())
-        kinds.append((kind + n).astype(np.int32))
-        names.append(name)
-        checks.append(h2[first])
-        firsts.append(first + i)
-        i, n = j, n + len(name)
-    if not kinds:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    names, checks = np.concatenate(names), np.concatenate(checks)
-    _, first, kind_of = np.unique(names, return_index=True, return_inverse=True)
-    if agree and (checks == checks[first][kind_of]).all():
-        return np.concatenate(firsts)[first], np.concatenate([kind_of.astype(np.int32)[k] for k in kinds])
-    raw, seen = data.tobytes(), {}
-    kind = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int32)
-    return np.unique(kind, return_index=True)[1], kind
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    data = data if inside is None else data[inside]
+    spans = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = spans.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()

@@ -7,12 +7,14 @@ a document's raw score is the mean of these, weighted by line lengths, and a log
 documents turns it into the score.
 
 Training takes the labelled documents whose crc32(doc_id) mod 3 is not 1, at most `TRAIN_DOCS` of them in the order of a
-hash of their id: a bounded sample of labelled rows, whose line features come to the driver (some MB). Every line of a
-document has its document's label. Labels, language, source and id never enter a score. Scoring is a scan.
+hash of their id: a bounded sample of labelled rows. Of rows that repeat a chosen id one trains, the one whose text is first by its hash, and of a
+text the first `TRAIN_LINES` lines do, so that at most TRAIN_DOCS x TRAIN_LINES lines' features come to the driver (in practice some MB). Every line of a
+document has its document's label. Labels, language, source and id never enter a score. Scoring is a scan, over all lines.
 
 Rows. Null or blank texts are one empty line and get a score. A null doc_id is not held out and never trains.
 Null labels don't train; a document with several labels trains with each. Repeated rows all come back. Without
-training rows of both labels every score is 0.5. Empty tables give no rows. Other columns pass through.
+training rows of both labels every score is 0.5. Empty tables give no rows. Other columns pass through; one called
+`quality_score` gives way to the score.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossweave.llm.common import read_table, small_batches, text_or_empty, values_bytes
+from glossweave.llm.common import read_table, releasing, short_batches, small_batches, text_or_empty, values_bytes
 from glossweave.llm.words import HASH_BYTES, hashed_words, span_hashes
 
+#: The bound of the training sample: documents, and lines of each.
 TRAIN_DOCS = 4000
+TRAIN_LINES = 500
 ROUNDS = 200
 L2 = 1e-3
 FEATURES = ("log_bytes", "upper", "digits", "punctuation", "marks", "exclaim", "space", "word_length", "distinct", "echo", "odd_ends", "sentence_end", "line_again", "not_ascii", "one_word")
@@ -201,7 +205,8 @@ def held_out():
 def _feature_rows(batches):
     for batch in small_batches(batches, most=HASH_BYTES):
         x, size, firsts = line_features(*values_bytes(batch.column("text")))
-        parts = [(x[a:b].astype(np.float32).tobytes(), size[a:b].tobytes()) for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
+        stops = np.minimum(firsts[1:], firsts[:-1] + TRAIN_LINES)
+        parts = [(x[a:b].astype(np.float32).tobytes(), size[a:b].tobytes()) for a, b in zip(firsts[:-1], stops, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], names=["quality", "x", "size"])
 
 
@@ -209,7 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model |
     """Fits the CRF on at most `most` labelled documents; None without two labels."""
     labelled = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen = labelled.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(_feature_rows, "quality int, x binary, size binary")
+    short_batches(docs.sparkSession)
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    one = texts.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = one.join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(releasing(_feature_rows), "quality int, x binary, size binary")
     got = sorted((r.quality, bytes(r.x), bytes(r.size)) for r in rows.collect())
     quality = np.array([q for q, _, _ in got], int)
     if len(set(quality.tolist())) < 2:
@@ -222,6 +230,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model |
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs with quality_score."""
+    short_batches(docs.sparkSession)
+    docs = docs.drop("quality_score")
 
     def run(batches):
         for batch in small_batches(batches, most=HASH_BYTES):
@@ -231,7 +241,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             out = np.full(batch.num_rows, 0.5) if model is None else model.score(*line_features(*values_bytes(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "quality_score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
+    return docs.mapInArrow(releasing(run), T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

@@ -8,11 +8,11 @@ rule is scanned over all blobs; a new document only with what it adds.
 
 Findings are appended before the pairs that they come from, so a run that dies in between scans again, and
 reading drops what is there twice. Blobs are few bytes in every shuffle but one: the texts move once, dealt by path and blob,
-and only one row of a blob goes on, so that copies are neither scanned nor gathered. The join back salts the
-versions, as a third of them may hold one blob.
+and only one row of a blob goes on, so that copies are neither scanned nor gathered. In the join back a blob that more than one in `HOT`
+versions hold is dealt to `SALT` tasks; there are fewer than `HOT` such blobs, and only their findings are repeated.
 
 Rows. Null text is scanned as empty. A null path is a path. Repeated rows are one version each and all come back.
-Empty tables give no rows. Columns beside path and text pass through.
+Empty tables give no rows. Columns beside path and text pass through; one called `found` gives way to the findings.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import materialise, read_table, shared_dir, small_batches, text_or_empty
+from glossweave.llm.common import materialise, read_table, releasing, shared_dir, small_batches, text_or_empty, unused
 
 #: Kind, version, pattern, least length of a group, the group. The first three are the base.
 RULES = (
@@ -35,8 +35,8 @@ RULES = (
     ("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0),
 )
 BASE = ("assign", "access", "hex")
-#: Copies of the findings, and as many groups of the versions of a blob.
-SALT = 16
+#: A blob is hot if more than one in so many versions hold it; its versions are dealt to so many tasks.
+HOT, SALT = 1000, 64
 SCHEMA = "blob binary, rule string, version int, start long, stop long"
 
 
@@ -114,7 +114,7 @@ class Ledger:
         # dealt by blob already: the groups need no further shuffle and have a row for each rule at most
         todo = materialise(todo.groupBy("blob").agg(F.first("owner.path").alias("_path"), F.collect_list(F.struct("rule", "version")).alias("rules")), "ledger-todo")
         wanted = texts.withColumn("_blob", F.unhex(F.sha2("text", 256))).join(todo.hint("shuffle_hash"), F.col("path").eqNullSafe(F.col("_path")) & (F.col("_blob") == F.col("blob")))
-        found = wanted.select("blob", "text", "rules").mapInArrow(scanner(rules), SCHEMA)
+        found = wanted.select("blob", "text", "rules").mapInArrow(releasing(scanner(rules)), SCHEMA)
         found.distinct().write.mode("append").parquet(f"{self.path}/findings")
         todo.select("blob", F.explode("rules").alias("r")).select("blob", "r.rule", "r.version").write.mode("append").parquet(f"{self.path}/scanned")
 
@@ -124,17 +124,29 @@ class Ledger:
         place = F.array_position(known, F.struct("rule", "version"))
         kept = self.findings().withColumn("place", place).where("place > 0")
         grouped = kept.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "place", "stop", "rule"))).alias("found"))
-        salted = grouped.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))).withColumnRenamed("blob", "_blob")
-        addressed = versions.withColumn("_key", F.unhex(F.sha2(text_or_empty(), 256))).withColumn("_deal", F.pmod(F.xxhash64("path"), F.lit(SALT)).cast("int"))
-        out = addressed.join(salted, (F.col("_key") == F.col("_blob")) & (F.col("_deal") == F.col("_salt")), "left")
-        return out.drop("_key", "_deal", "_blob", "_salt")
+        versions = versions.drop("found")
+        key, deal, blob, salt, salts = unused(versions, "key", "deal", "blob", "salt", "salts")
+        addressed = versions.withColumn(key, F.unhex(F.sha2(text_or_empty(), 256)))
+        held = materialise(addressed.groupBy(F.col(key).alias(blob)).agg(F.count("*").alias("n")), "ledger-held")
+        total = held.agg(F.sum("n")).first()[0] or 0
+        hot = held.where(F.col("n") * HOT > total).select(blob, F.lit(SALT).alias(salts))
+        dealt = addressed.join(F.broadcast(hot), F.col(key) == F.col(blob), "left").drop(blob)
+        dealt = dealt.withColumn(deal, F.pmod(F.monotonically_increasing_id(), F.coalesce(salts, F.lit(1))).cast("int")).drop(salts)
+        salted = grouped.withColumnRenamed("blob", blob).join(F.broadcast(hot), blob, "left")
+        salted = salted.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))).drop(salts)
+        return dealt.join(salted, (F.col(key) == F.col(blob)) & (F.col(deal) == F.col(salt)), "left").drop(key, deal, blob, salt)
 
 
 def op8_secrets(spark, sf_dir: str) -> DataFrame:
-    """Contract query: all documents as versions, a new ledger, the findings of each document."""
+    """Contract query: all documents as versions that arrive in two deliveries, a new ledger, the findings of each document.
+
+    The second delivery is scanned only for blobs that the first has not brought.
+    """
     versions = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
     ledger = Ledger(spark, shared_dir(spark, "ledger"))
-    ledger.add(versions)
+    early = F.coalesce(F.crc32(F.col("path").cast("string")) % 2 == 0, F.lit(True))
+    ledger.add(versions.where(early))
+    ledger.add(versions.where(~early))
     found = F.coalesce(F.col("found"), F.array().cast("array<struct<start:bigint,place:int,stop:bigint,rule:string>>"))
     shown = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["rule"], x["start"], x["stop"])), ",")
     base = F.filter(found, lambda x: x["rule"].isin(*BASE))

@@ -6,17 +6,19 @@ all lists. For each query:
 1. each list of each block of candidates gives its k best partial scores; the objects so found have real scores, and the k-th best
    of these over all blocks is a cutoff t that the k best of all cannot be below;
 2. t goes to every block. An object whose score reaches t has a partial score of t / lists at least in some list, so the
-   entries that reach this uniform threshold in some list are sufficient;
-3. the partial scores that these objects lack are added, so that their scores are exact, and those of t or more go on to
+   entries that reach this uniform threshold in some list are sufficient. Most objects are ruled out by their first list alone: its partial score
+   and the lengths of what is left of both vectors bound the score, and where that bound is below t no other list is looked at;
+3. the partial scores that the entries lack are added, so that their scores are exact, and those of t or more go on to
    the k best of each query.
 
-Candidates and queries are dealt as blocks of vectors, each pair of blocks is one row of a join on block numbers, and
-numpy computes the partial scores of a pair at once. Only cutoffs (a number for each query) and objects that reach them are shuffled. Of
-equal vectors only the k + 1 with the least ids can be among the k best of a query, so others are set
-aside first; this is exact, and a vector that a third of all rows hold costs as much as any other.
+Candidates stay where the scan puts them, as blocks of vectors in a task. The queries, in phase 2 with their cutoffs, are a table in the shared folder
+that every task reads a batch at a time, so neither side is copied by a shuffle and nothing is broadcast; only the k best of a block and objects
+that reach their cutoff are shuffled. Of rows with equal vectors only those of the k + 1 least ids can be among the k best of a
+query, and of rows equal in both k suffice; others are set aside first, so a vector that a third of all rows hold costs as much as any other.
 
-Rows. A null id or vector, or one with a null or non-finite component, takes no part. A repeated id counts once,
-with the least of its vectors. Every finite component counts; a table whose scores could leave 64 bits raises an error. Shorter vectors count as padded
+Rows. A null id or vector, or one with a null or non-finite component, takes no part. Rows that repeat an id are candidates of their own, but of no
+query with that id; the rows of a repeated query share its k places, where each counts its candidates. Every finite component counts;
+a table whose scores could leave 64 bits raises an error. Shorter vectors count as padded
 with zeros. Equal scores are ordered by id. Fewer than k candidates give fewer rows; an empty table none.
 """
 
@@ -27,16 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import materialise, read_table
+from glossweave.llm.common import materialise, read_table, releasing, shared_dir
 
 LISTS = 4
-QUERY_BLOCK = 256
-CANDIDATE_BLOCK = 4096
-#: Groups of candidate blocks by which the pairs of blocks are dealt besides the query block.
-DEALS = 64
-#: Candidates whose entries are looked at together.
-ENTRIES_AT_ONCE = 1024
+#: Queries and candidates whose products are looked at together.
+QUERIES_AT_ONCE = 256
+CANDIDATES_AT_ONCE = 2048
+#: Bytes of the candidates that a task holds while the queries pass.
+BLOCK_BYTES = 32 << 20
 SCORES = "qid long, id long, score long"
+NONE = np.iinfo(np.int64).min + 1
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
@@ -44,142 +46,144 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
     x = F.col("embedding").cast("array<double>")
     good = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)))
     kept = vectors.select(F.col("vec_id").cast("long").alias("id"), F.when(good, F.transform(x, lambda c: F.floor(c * 256).cast("long"))).alias("v"))
-    return kept.where("v IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
+    return kept.where("v IS NOT NULL")
 
 
-def blocks(vectors: DataFrame, size: int, width: int, label: str) -> DataFrame:
-    """Rows of `size` vectors at most: block, ids and a matrix of 64-bit integers."""
+def matrix_of(column: pa.Array, width: int) -> np.ndarray:
+    """Lists of whole numbers as the rows of a matrix, padded with zeros."""
+    offsets = np.asarray(column.offsets)
+    size, values = np.diff(offsets), column.values.to_numpy()
+    out = np.zeros((len(column), width), np.int64)
+    row = np.repeat(np.arange(len(column)), size)
+    out[row, np.arange(offsets[0], offsets[-1]) - offsets[:-1][row]] = values[offsets[0] : offsets[-1]]
+    return out
 
-    def run(batches):
-        ids, rows = [], []
-
-        def emit():
-            m = np.zeros((len(ids), width), np.int64)
-            for i, r in enumerate(rows):
-                m[i, : len(r)] = r
-            out = pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([m.tobytes()], pa.binary())], names=["ids", "matrix"])
-            ids.clear()
-            rows.clear()
-            return out
-
-        for batch in batches:
-            for i, v in zip(batch.column("id").to_pylist(), batch.column("v"), strict=True):
-                ids.append(i)
-                rows.append(v.values.to_numpy())
-                if len(ids) == size:
-                    yield emit()
-        if ids:
-            yield emit()
 
-    packed = vectors.select("id", "v").mapInArrow(run, "ids array<long>, matrix binary").withColumn("at", F.monotonically_increasing_id())
-    packed = materialise(packed.withColumn("part", F.shiftright("at", 33)), label)
-    # where each task's blocks begin is a running sum over a row for each task; the matrices stay where they lie
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = packed.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    tasks = materialise(tasks.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")), f"{label}-numbered")
-    return packed.join(F.broadcast(tasks), "part").select("ids", "matrix", (F.col("at") + F.col("shift")).cast("int").alias("block"))
+def blocks(batches, width: int):
+    """(ids, matrix) of many rows at a time."""
+    most, held, n = max(1, BLOCK_BYTES // (8 * width)), [], 0
+    for batch in batches:
+        for i in range(0, batch.num_rows, most):
+            part = batch.slice(i, most)
+            if held and n + part.num_rows > most:
+                yield np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                held, n = [], 0
+            held.append((part.column("id").to_numpy(), matrix_of(part.column("v"), width)))
+            n += part.num_rows
+    if held:
+        yield np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
 
 
-def _matrix(raw: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64).reshape(-1, width)
+def stored_queries(path: str, width: int):
+    """(ids, matrix, cutoffs, whether there is one) of the queries in a table, some at a time."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
 
+    system, place = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    for batch in ds.dataset(place, filesystem=system, format="parquet").to_batches(columns=["id", "v", "t"], batch_size=QUERIES_AT_ONCE, batch_readahead=1, fragment_readahead=1, use_threads=False):
+        if batch.num_rows:
+            t = batch.column("t")
+            yield batch.column("id").to_numpy(), matrix_of(batch.column("v"), width), t.fill_null(0).to_numpy(), np.asarray(t.is_valid())
 
-def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact: by floating point where no sum can leave the integers that it holds."""
-    if len(q) and len(c) and float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < 2.0**53:
-        return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
-    return q @ c.T
 
-
-def _sides(row, width: int):
-    return np.array(row["q_ids"], np.int64), np.array(row["ids"], np.int64), _matrix(row["q_matrix"], width), _matrix(row["matrix"], width)
+def _products(q: np.ndarray, c: np.ndarray, exact: bool) -> np.ndarray:
+    """By floating point where no sum can leave the integers that it holds."""
+    return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if exact else q @ c.T
 
 
 def _scores(q_ids, ids, scores) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(q_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.int64())], names=["qid", "id", "score"])
 
 
-def _local_lists(k: int, width: int):
+def _best(i: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """The places of the k best of each i, ties to the least id."""
+    order = np.lexsort((ids, -score, i))
+    return order[np.arange(len(i)) - np.searchsorted(i[order], i[order]) < k]
+
+
+def _local_lists(path: str, k: int, width: int, exact: bool):
     """Phase 1: the objects of the k best entries of each list, and of these the k best with their scores."""
 
     def run(batches):
-        step, none = width // LISTS, np.iinfo(np.int64).min
-        for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, c_ids, q, c = _sides(row, width)
-                own = q_ids[:, None] == c_ids[None, :]
-                n = min(k, len(c))
-                found = np.zeros(own.shape, bool)
-                for j in range(LISTS):
-                    p = _products(q[:, j * step : (j + 1) * step], c[:, j * step : (j + 1) * step])
-                    p[own] = none
-                    np.put_along_axis(found, np.argpartition(-p, n - 1, axis=1)[:, :n], True, 1)
-                i, x = np.nonzero(found & ~own)
-                score = np.einsum("ij,ij->i", q[i], c[x])
-                order = np.lexsort((c_ids[x], -score, i))
-                i, x, score = i[order], x[order], score[order]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                yield _scores(q_ids[i[place < k]], c_ids[x[place < k]], score[place < k])
+        step = width // LISTS
+        for c_ids, c in blocks(batches, width):
+            for q_ids, q, _, _ in stored_queries(path, width):
+                found = []
+                for a in range(0, len(c), CANDIDATES_AT_ONCE):
+                    part, ids = c[a : a + CANDIDATES_AT_ONCE], c_ids[a : a + CANDIDATES_AT_ONCE]
+                    own, n = q_ids[:, None] == ids[None, :], min(k, len(part))
+                    hit = np.zeros(own.shape, bool)
+                    for j in range(LISTS):
+                        p = _products(q[:, j * step : (j + 1) * step], part[:, j * step : (j + 1) * step], exact)
+                        p[own] = NONE
+                        np.put_along_axis(hit, np.argpartition(p, len(part) - n, axis=1)[:, len(part) - n :], True, 1)
+                    i, x = np.nonzero(hit & ~own)
+                    found.append((i, ids[x], np.einsum("ij,ij->i", q[i], part[x])))
+                i, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
+                kept = _best(i, ids, score, k)
+                yield _scores(q_ids[i[kept]], ids[kept], score[kept])
 
     return run
 
 
-def _entries(width: int):
-    """Phases 2 and 3: objects that reach the uniform threshold in some list, with their scores where these reach t."""
+def _entries(path: str, k: int, width: int, exact: bool):
+    """Phases 2 and 3: objects that reach the uniform threshold in some list, with their scores where these reach t; of a block the k best."""
 
     def run(batches):
         step = width // LISTS
-        for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, c_ids, q, c = _sides(row, width)
-                cut = {x["qid"]: x["t"] for x in row["cuts"]}
-                for a in range(0, len(c), ENTRIES_AT_ONCE):
-                    part, ids = c[a : a + ENTRIES_AT_ONCE], c_ids[a : a + ENTRIES_AT_ONCE]
+        for c_ids, c in blocks(batches, width):
+            rest = np.sqrt((c[:, step:].astype(np.float64) ** 2).sum(1))
+            for q_ids, q, t, has in stored_queries(path, width):
+                q_rest = np.sqrt((q[:, step:].astype(np.float64) ** 2).sum(1))
+                level = -(-t // LISTS)
+                for a in range(0, len(c), CANDIDATES_AT_ONCE):
+                    part, ids = c[a : a + CANDIDATES_AT_ONCE], c_ids[a : a + CANDIDATES_AT_ONCE]
+                    first = _products(q[:, :step], part[:, :step], exact)
+                    # a little is added for what rounding takes away
+                    bound = first + q_rest[:, None] * rest[None, a : a + CANDIDATES_AT_ONCE] * (1 + 1e-9) + 1
                     # a query that found fewer than k objects has no cutoff: all its entries are sufficient
-                    free = np.array([cut.get(i) is None for i in q_ids.tolist()])
-                    t = np.array([cut.get(i) or 0 for i in q_ids.tolist()], np.int64)
-                    level = -(-t // LISTS)
-                    sent = np.repeat(free[:, None], len(part), 1)
-                    for j in range(LISTS):
-                        sent |= _products(q[:, j * step : (j + 1) * step], part[:, j * step : (j + 1) * step]) >= level[:, None]
-                    i, x = np.nonzero(sent & (q_ids[:, None] != ids[None, :]))
-                    score = np.einsum("ij,ij->i", q[i], part[x])
-                    good = free[i] | (score >= t[i])
-                    yield _scores(q_ids[i[good]], ids[x[good]], score[good])
+                    i, x = np.nonzero(((bound >= t[:, None]) | ~has[:, None]) & (q_ids[:, None] != ids[None, :]))
+                    partial = np.stack([np.einsum("ij,ij->i", q[i, j * step : (j + 1) * step], part[x, j * step : (j + 1) * step]) for j in range(LISTS)])
+                    sent = (partial.max(0) >= level[i]) | ~has[i]
+                    i, x, score = i[sent], x[sent], partial[:, sent].sum(0)
+                    good = ~has[i] | (score >= t[i])
+                    i, x, score = i[good], x[good], score[good]
+                    kept = _best(i, ids[x], score, k)
+                    if len(kept):
+                        yield _scores(q_ids[i[kept]], ids[x[kept]], score[kept])
 
     return run
 
 
 def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of every row whose vec_id is divisible by `every`."""
-    rows = materialise(integer_vectors(vectors), "topk-vectors")
+    # k of the rows that agree in id and vector are enough
+    counted = integer_vectors(vectors).groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    rows = materialise(counted, "topk-vectors")
     largest = F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))
     width, largest = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(largest), F.lit(0.0))).first()
     # the cast of a component beyond 64 bits gives the largest long, which is refused here as well
     if width * largest * largest >= 2.0**63:
         raise ValueError(f"{width} components of up to {largest:.0f} / 256 can have scores beyond 64 bits")
+    exact = width * largest * largest < 2.0**53
     width = max(LISTS, -(-width // LISTS) * LISTS)
+    each = lambda df: df.withColumn("_copy", F.explode(F.sequence(F.lit(1), "n"))).select("id", "v")
     of_vector = Window.partitionBy("v").orderBy("id")
-    candidates = rows.withColumn("copy", F.row_number().over(of_vector)).where(F.col("copy") <= k + 1).drop("copy")
-    queries = rows.where(F.col("id") % every == 0)
-    query_blocks = blocks(queries, QUERY_BLOCK, width, "topk-queries")
-    candidate_blocks = blocks(candidates, CANDIDATE_BLOCK, width, "topk-candidates")
-    n_queries = query_blocks.count()
-    if not n_queries:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dealt = candidate_blocks.withColumn("deal", F.pmod(F.col("block"), F.lit(DEALS))).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))).drop("block")
-
-    def pairs(of: DataFrame) -> DataFrame:
-        spread = of.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
-        return dealt.join(spread.hint("shuffle_hash"), ["q_block", "deal"])
-
-    named = query_blocks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    candidates = materialise(each(rows.withColumn("place", F.row_number().over(of_vector)).where(F.col("place") <= k + 1)), "topk-candidates")
+    queries = each(rows.where(F.col("id") % every == 0))
     best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    seen = materialise(ranked(pairs(named).mapInArrow(_local_lists(k, width), SCORES)), "topk-lists")
-    cuts = seen.where(F.col("rank") == k).select("qid", F.col("score").alias("t"))
-    grouped = named.select("q_block", F.explode("q_ids").alias("qid")).join(cuts, "qid", "left").groupBy("q_block").agg(F.collect_list(F.struct("qid", "t")).alias("cuts"))
-    found = pairs(named.join(grouped, "q_block")).mapInArrow(_entries(width), SCORES)
+
+    def stored(df: DataFrame, label: str) -> str:
+        path = shared_dir(df.sparkSession, label)
+        df.select("id", "v", "t").write.parquet(path)
+        return path
+
+    first = stored(queries.withColumn("t", F.lit(None).cast("long")), "topk-queries")
+    seen = materialise(ranked(candidates.mapInArrow(releasing(_local_lists(first, k, width, exact)), SCORES)), "topk-lists")
+    cuts = seen.where(F.col("rank") == k).select(F.col("qid").alias("id"), F.col("score").alias("t"))
+    second = stored(queries.join(cuts, "id", "left"), "topk-cutoffs")
+    found = candidates.mapInArrow(releasing(_entries(second, k, width, exact)), SCORES)
     return ranked(found).select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from glossweave.llm import bpe, common, media, neardup, pii, pretokens, quality, repeats, secrets, token_files, wavelet
@@ -55,6 +56,15 @@ def test_near_duplicates_against_all_pairs(spark):
     assert got == {i: (len(sets[i]), find(i), find(i) == i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("n", range(8))
+def test_few_words_in_a_batch(n):
+    words = [f"w{i}" for i in range(n)]
+    texts = ["", " ".join(words), " "]
+    raw = [t.encode() for t in texts]
+    got = neardup.shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert [len(s) for s in got] == [0, max(1, n - 4) if n else 0, 0]
+
+
 def test_long_lists_are_split_and_cut(spark, monkeypatch):
     """With tiny limits every list takes the long way; workers fork with the limits set here, so the kernels are run in place."""
     rng = random.Random(5)
@@ -118,8 +128,8 @@ def test_pre_tokens_against_the_pattern():
             ends = np.append(starts[1:], len(data)) if len(starts) else starts
             got = [bytes(data[a:b]).decode() for a, b in zip(starts, ends, strict=True)]
             assert got == [w for t in texts for w in find(t)]
-            first, kind = pretokens.distinct_spans(data, starts, ends)
-            assert [got[first[k]] for k in kind] == got
+            words, kind = pretokens.distinct_spans(data, starts, ends)
+            assert words.take(pa.array(kind)).cast("string").to_pylist() == got and len(set(words.to_pylist())) == len(words)
 
 
 def test_ids_against_the_libraries(spark):

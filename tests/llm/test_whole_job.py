@@ -71,16 +71,25 @@ def test_fitted_to_the_least_similarity():
             neardup.fitted(least)
 
 
-def test_blocks_are_numbered_without_their_matrices(spark, monkeypatch):
-    plans, write = [], topk.materialise
-    monkeypatch.setattr(topk, "materialise", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
-    vectors = spark.createDataFrame([(i, [i, 1]) for i in range(60)], "id long, v array<long>").repartition(5)
-    got = topk.blocks(vectors, 4, 4, "test")
-    plans.append(got._jdf.queryExecution().executedPlan().toString())
-    rows = got.collect()
-    assert sorted(r.block for r in rows) == list(range(len(rows))) and len(rows) >= 15
-    assert sorted(i for r in rows for i in r.ids) == list(range(60))
-    assert not any("Window" in p and "matrix" in p for p in plans)
+@pytest.mark.parametrize("seed", range(3))
+def test_topk_against_all_products(spark, monkeypatch, seed):
+    """Repeated ids, repeated vectors, ties and vectors of several lengths."""
+    rng = random.Random(seed)
+    kinds = [[rng.randrange(-3, 4) / 2 for _ in range(rng.choice([0, 3, 8, 11]))] for _ in range(25)]
+    rows = [(rng.randrange(120) * rng.choice([1, 1, 5]), rng.choice(kinds)) for _ in range(300)]
+    ints = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q in sorted({i for i, _ in ints if i % 50 == 0}):
+        scores = [(-sum(a * b for a, b in zip(v, w, strict=False)), j) for i, v in ints if i == q for j, w in ints if j != q]
+        expected += [(q, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores)[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert [tuple(r) for r in topk.search(df).orderBy("query_id", "rank").collect()] == expected
+
+
+def test_topk_moves_no_vectors_by_queries(spark):
+    plans = topk.search(spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "vec_id long, embedding array<float>"))
+    plan = plans._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
 
 
 def test_large_components_count_or_raise(spark):
