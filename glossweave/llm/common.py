@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text in one block at most, unless one text alone is longer.
 BLOCK_BYTES = 16 << 20
-#: Bits of a bitmap of hashed keys, whatever the number of keys: half a megabyte.
-BITS = 1 << 22
+#: Bits of a bitmap for each key that it holds, and the most and fewest of all: 8 MB and 8 KB.
+KEY_BITS, MOST_BITS, LEAST_BITS = 16, 1 << 26, 1 << 16
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,21 +45,28 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def bitmap(keys: DataFrame, name: str) -> bytes:
-    """The buckets, of BITS, that the longs in column `name` fall in. At most BITS / 32 rows come to the driver."""
+    """The buckets that the longs in column `name` fall in, as a bitmap sized by their number; what is in it is looked at, so it only saves work.
+
+    Beyond MOST_BITS / KEY_BITS keys (4 million) it lets more and more others through. At most MOST_BITS / 64 rows come to the driver.
+    """
     import numpy as np
 
-    word = F.shiftright(F.col(name).bitwiseAND(BITS - 1), 5).cast("int").alias("word")
-    bit = F.expr(f"shiftleft(1L, cast({name} & 31 AS int))")
-    bits = np.zeros(BITS // 32, "<u4")
-    for r in keys.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        bits[r.word] = r.bits
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (KEY_BITS * keys.count()).bit_length()))
+    word = F.shiftright(F.col(name).bitwiseAND(size - 1), 6).cast("int").alias("word")
+    bit = F.expr(f"shiftleft(1L, cast({name} & 63 AS int))")
+    bits = np.zeros(size // 64, "<i8")
+    found = keys.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return bits.tobytes()
 
 
-def bitmap_flags(bits: bytes):
+def in_bitmap(bits: bytes, keys):
+    """Whether each key (64-bit integers) falls in one of the buckets."""
     import numpy as np
 
-    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+    packed = np.frombuffer(bits, np.uint8)
+    at = keys.view(np.uint64) & np.uint64(8 * len(packed) - 1)
+    return (packed[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

@@ -13,7 +13,7 @@ edges are links, every pair of the list is connected. The lists that have an edg
 for all pairs that are not connected yet. So a large group of copies costs its size, and no link between components is lost.
 
 A split list beyond `BLOCK` classes is cut into blocks, and each pair of blocks is a group of bounded size. Exact copies,
-however many, are one posting. The texts that confirmation needs are fetched through a bitmap of fixed size before anything is shuffled.
+however many, are one posting. The texts that confirmation needs are fetched through a bitmap of their hashes before anything is shuffled.
 
 Rows. Null texts and texts without words have no shingles and link with nothing, not with each other either. A null doc_id takes part;
 a component's id is its least id that is not null, and a component without one keeps all its rows. Rows that repeat an id are rows of their own, each with its own text.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import BITS, bitmap, bitmap_flags, materialise, read_table, releasing, short_batches, small_batches, text_or_empty, unused, values_bytes
+from glossweave.llm.common import bitmap, in_bitmap, materialise, read_table, releasing, short_batches, small_batches, text_or_empty, unused, values_bytes
 from glossweave.llm.components import components
 from glossweave.llm.words import HASH_BYTES, hashed_words, mix
 
@@ -279,9 +279,8 @@ class Lists:
 
 def _fetch(bits: bytes):
     def run(batches):
-        held = bitmap_flags(bits)
         for batch in batches:
-            yield batch.filter(pa.array(held[batch.column("th").to_numpy() & (BITS - 1)]))
+            yield batch.filter(pa.array(in_bitmap(bits, batch.column("th").to_numpy())))
 
     return run
 

@@ -55,9 +55,16 @@ levels AS (
 level AS (SELECT c FROM levels WHERE c * weight <= 2.0::DOUBLE * source_size ORDER BY weight_before LIMIT 1),
 plan AS (
   SELECT source, source_size, coalesce(least(2.0::DOUBLE * source_size, (SELECT c FROM level) * weight), 2.0::DOUBLE * source_size) AS target FROM weighed),
+classes AS (
+  SELECT source, length(size::VARCHAR) AS digits, sum(size)::BIGINT AS size, (sum(size) * length(size::VARCHAR))::DOUBLE AS weight FROM sized WHERE size > 0 GROUP BY source, length(size::VARCHAR)),
+class_levels AS (
+  SELECT c.*, (p.target - 2.0::DOUBLE * coalesce(sum(c.size) OVER w, 0)::DOUBLE) / (sum(c.weight) OVER (PARTITION BY c.source) - coalesce(sum(c.weight) OVER w, 0)) AS c, coalesce(sum(c.weight) OVER w, 0) AS weight_before
+  FROM classes c JOIN plan p ON c.source IS NOT DISTINCT FROM p.source
+  WINDOW w AS (PARTITION BY c.source ORDER BY c.size / c.weight, c.digits ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+source_level AS (SELECT source, min_by(c, weight_before) AS level FROM class_levels WHERE c * weight <= 2.0::DOUBLE * size GROUP BY source),
 rated AS (
-  SELECT s.*, p.source_size, p.target, least(2.0::DOUBLE, CASE WHEN p.source_size > 0 THEN p.target / p.source_size::DOUBLE ELSE 0.0::DOUBLE END) AS expected
-  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
+  SELECT s.*, p.source_size, p.target, coalesce(least(2.0::DOUBLE, l.level * length(s.size::VARCHAR)), 2.0::DOUBLE) AS expected
+  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN source_level l ON s.source IS NOT DISTINCT FROM l.source),
 parts AS (SELECT *, floor(expected)::BIGINT AS whole, expected - floor(expected) AS part FROM rated),
 odds AS (SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS o FROM parts),
 ranked AS (
