@@ -58,50 +58,59 @@ def merged_zh(toks: Column, compat: bool = False) -> Column:
     glued and makes an adjective, and does not end a prefix. A sentence that begins with either starts a token
     (compat: yields null, the row's failure). A prefix left at the end counts as a function word (compat: stays).
     """
-    state = F.struct(F.array().cast("array<struct<word:string,pos:string>>").alias("out"), F.lit("").alias("last"))
-    new = lambda word, pos: F.array(F.struct(word.alias("word"), pos.alias("pos")))
+    glue = lambda s, t: t["pos"].isin("suffix", "de") & s["word"].isNotNull()
 
     def step(s, t):
-        n = F.size(s["out"])
-        head, end = F.slice(s["out"], 1, F.greatest(n - 1, F.lit(0))), F.try_element_at(s["out"], F.lit(-1))
         code = F.when(t["pos"].isin("suffix", "de"), "").otherwise(t["pos"])
-        plain = F.struct(
-            F.when((s["last"] == "prefix") & (n > 0), F.concat(head, new(F.concat(end["word"], t["word"]), t["pos"]))).otherwise(F.concat(s["out"], new(t["word"], code))).alias("out"),
-            code.alias("last"),
-        )
-        de = F.struct(F.concat(head, new(F.concat(end["word"], t["word"]), F.lit("a"))).alias("out"), s["last"].alias("last"))
-        suffix = F.struct(F.concat(head, new(F.concat(end["word"], t["word"]), end["pos"])).alias("out"), end["pos"].alias("last"))
-        glue = t["pos"].isin("suffix", "de")
-        return F.when(glue & (n > 0), F.when(t["pos"] == "de", de).otherwise(suffix)).when(glue & F.lit(compat), F.lit(None)).otherwise(plain)
-
-    out = F.aggregate(toks, state, step, lambda s: s["out"])
+        de = _grown(s, t["word"], F.lit("a"), s["last"])
+        suffix = _grown(s, t["word"], s["pos"], s["pos"])
+        out = F.when(glue(s, t), F.when(t["pos"] == "de", de).otherwise(suffix))
+        if compat:
+            out = out.when(t["pos"].isin("suffix", "de"), F.lit(None))
+        return out.when(s["last"] == "prefix", _grown(s, t["word"], t["pos"], code)).otherwise(_next(s, t["word"], code, code))
+
+    out = F.aggregate(toks, _nothing(), step, _whole)
     if compat:
         return out
     return F.transform(out, lambda t: F.struct(t["word"].alias("word"), F.when(t["pos"] == "prefix", "").otherwise(t["pos"]).alias("pos")))
 
 
+def _nothing() -> Column:
+    """The state of a fold over tokens: the words that are done, then the open word (null at first), its code, and what the last token says of the next."""
+    return F.struct(F.array().cast("array<struct<word:string,pos:string>>").alias("done"), F.lit(None).cast("string").alias("word"), F.lit("").alias("pos"), F.lit("").alias("last"))
+
+
+def _grown(s, word, pos, last) -> Column:
+    """The open word goes on: what is done is not touched."""
+    return F.struct(s["done"].alias("done"), F.concat(s["word"], word).alias("word"), pos.alias("pos"), last.alias("last"))
+
+
+def _next(s, word, pos, last) -> Column:
+    """The open word ends, and one begins."""
+    return F.struct(_whole(s).alias("done"), word.alias("word"), pos.alias("pos"), last.alias("last"))
+
+
+def _whole(s) -> Column:
+    return F.when(s["word"].isNull(), s["done"]).otherwise(F.array_append(s["done"], F.struct(s["word"].alias("word"), s["pos"].alias("pos"))))
+
+
 def merged_ja(mrphs: Column) -> Column:
     """Glues morphemes to words and maps classes to codes. mrphs: array of (midasi, hinsi, bunrui, katuyou1, katuyou2, genkei)."""
-    state = F.struct(F.array().cast("array<struct<word:string,pos:string>>").alias("out"), F.lit("").alias("last"))
 
     def step(s, m):
-        n, end = F.size(s["out"]), F.try_element_at(s["out"], F.lit(-1))
-        head = F.slice(s["out"], 1, F.greatest(n - 1, F.lit(0)))
-        glue = lambda pos, last: F.struct(F.concat(head, F.array(F.struct(F.concat(end["word"], m["midasi"]).alias("word"), pos.alias("pos")))).alias("out"), last.alias("last"))
-        add = F.struct(F.concat(s["out"], F.array(F.struct(m["midasi"].alias("word"), m["hinsi"].alias("pos")))).alias("out"), m["katuyou2"].alias("last"))
-        before, kind = end["pos"], m["hinsi"]
-        same = lambda k: (kind == k) & (before == k)
+        before, kind = s["pos"], m["hinsi"]
+        glue = lambda pos, last: _grown(s, m["midasi"], pos, last)
         return (
-            F.when(n == 0, add)
-            .when(m["midasi"].isin(*JA_NOUN_SUFFIXES) & ((before == "名詞") | (s["last"] == "語幹")), glue(before, F.lit("")))
+            F.when(s["word"].isNull(), _next(s, m["midasi"], kind, m["katuyou2"]))
+            .when(((before == "名詞") | (s["last"] == "語幹")) & m["midasi"].isin(*JA_NOUN_SUFFIXES), glue(before, F.lit("")))
             .when((kind == "接尾辞") & (m["bunrui"] != "動詞性接尾辞"), glue(F.substring(m["bunrui"], F.lit(1), F.greatest(F.length(m["bunrui"]) - 6, F.lit(0))), F.lit("")))
             .when((m["genkei"] == "する") & (kind == "動詞") & (m["katuyou1"] == "サ変動詞") & before.isin(*JA_INDEPENDENT), glue(F.lit("動詞"), m["katuyou2"]))
             .when((kind == "名詞") & (before == "接頭辞"), glue(F.lit("名詞"), m["katuyou2"]))
-            .when(same("名詞") | same("動詞"), glue(before, m["katuyou2"]))
-            .otherwise(add)
+            .when(kind.isin("名詞", "動詞") & (kind == before), glue(before, m["katuyou2"]))
+            .otherwise(_next(s, m["midasi"], kind, m["katuyou2"]))
         )
 
-    out = F.aggregate(mrphs, state, step, lambda s: s["out"])
+    out = F.aggregate(mrphs, _nothing(), step, _whole)
     return F.transform(out, lambda t: F.struct(t["word"].alias("word"), tag_code(t["pos"], "ja").alias("pos")))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,12 @@ from glossweave.config import BE_FORMS, SUBWORD_LIMIT, Negators, PairConfig
 from glossweave.plans.storage import lookup, stored
 
 LINKS = "array<struct<i:int,j:int>>"
-#: Rows of the table of vectors up to which every task holds it.
-VECTORS_AT_HAND = 200_000
+GROUPS = "array<struct<src:array<int>,trg:array<int>>>"
+#: Bytes of the table of vectors up to which every task holds it.
+VECTOR_BYTES = 64 << 20
 VECTOR_COLUMNS = ("n1", "n2", "v1", "v2")
+#: Pairs of words that go on together.
+PAIRS_AT_ONCE = 1 << 16
 
 
 def subword_map(df: DataFrame, size: int) -> DataFrame:
@@ -34,21 +37,78 @@ def subword_truncate(subwords: DataFrame, limit: int = SUBWORD_LIMIT) -> DataFra
     return subwords.where(F.col("sub_idx") < limit)
 
 
-def dot_product(vectors: DataFrame) -> DataFrame:
-    """row_pos, i, j, dot for every pair of a sentence pair. vectors: row_pos, side, idx, vec of whole numbers."""
-    a = vectors.where("side = 1").select("row_pos", F.col("idx").alias("i"), F.col("vec").alias("u"))
-    b = vectors.where("side = 2").select("row_pos", F.col("idx").alias("j"), F.col("vec").alias("v"))
-    product = F.aggregate(F.zip_with("u", "v", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
-    return a.join(b, "row_pos").select("row_pos", "i", "j", product.alias("dot"))
+def _probabilities(dots: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax over the other side's tokens for each row, and for each column."""
+    e1, e2 = np.exp((dots - dots.max(1, keepdims=True)) * scale), np.exp((dots - dots.max(0, keepdims=True)) * scale)
+    return e1 / e1.sum(1, keepdims=True), e2 / e2.sum(0, keepdims=True)
+
+
+def vectors_at_hand(rows: DataFrame, vectors: DataFrame):
+    """(rows, side): side(batch, k, r) gives (positions, matrix) of the tokens of row r of side k that have vectors.
+
+    A table of vectors up to VECTOR_BYTES goes to every task, and nothing is shuffled; a larger one is joined to the rows.
+    """
+    known = vectors.where("vec_id IS NOT NULL AND vec IS NOT NULL")
+    n, width = known.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
+    if n * width * 8 > VECTOR_BYTES:
+
+        def joined(batch, k: int, r: int):
+            v = batch.column(batch.schema.get_field_index(f"v{k}"))[r].as_py() or []
+            return [x["idx"] for x in v], np.array([x["vec"] for x in v], np.float64)
+
+        return with_vectors(rows, vectors), joined
+    found = known.toArrow().sort_by("vec_id")
+    matrix = np.stack([x.values.to_numpy(zero_copy_only=False) for x in found.column("vec").combine_chunks()]).astype(np.float64) if n else np.zeros((0, 1))
+    table = rows.sparkSession.sparkContext.broadcast((found.column("vec_id").to_numpy(), matrix))
+
+    def at_hand(batch, k: int, r: int):
+        ids, matrix = table.value
+        wanted = batch.column(batch.schema.get_field_index(f"n{k}"))[r]
+        wanted = wanted.values.to_numpy(zero_copy_only=False) if wanted.is_valid else np.zeros(0, np.int64)
+        if not len(ids) or not len(wanted):
+            return np.zeros(0, np.int64), matrix[:0]
+        place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+        kept = np.flatnonzero(ids[place] == wanted)
+        return kept, matrix[place[kept]]
+
+    return rows, at_hand
+
+
+def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = None) -> DataFrame:
+    """row_pos, i, j, dot for every pair of words of a sentence pair that have vectors, and with a scale p1 and p2.
+
+    rows: row_pos, n1, n2 (the vectors' ids). A sentence pair's products are one matrix product, where the row lies.
+    """
+    rows, side = vectors_at_hand(rows, vectors)
+    names = ["row_pos", "i", "j", "dot"] + (["p1", "p2"] if scale is not None else [])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, n = [], 0
+            for r, row_pos in enumerate(batch.column(batch.schema.get_field_index("row_pos")).to_pylist()):
+                (at1, u), (at2, v) = side(batch, 1, r), side(batch, 2, r)
+                if len(at1) and len(at2):
+                    dots = u @ v.T
+                    values = [np.full(dots.size, row_pos), np.repeat(at1, len(at2)).astype(np.int32), np.tile(at2, len(at1)).astype(np.int32), dots.ravel().astype(np.int64)]
+                    parts.append(values + ([p.ravel() for p in _probabilities(dots, scale)] if scale is not None else []))
+                    n += dots.size
+                if n >= PAIRS_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
+                    parts, n = [], 0
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
 
+    return rows.mapInArrow(run, "row_pos long, i int, j int, dot long" + (", p1 double, p2 double" if scale is not None else ""))
 
-def bi_softmax(dots: DataFrame, scale: float) -> DataFrame:
+
+def dot_product(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """row_pos, i, j, dot for every pair of words of a sentence pair. rows: row_pos, n1, n2; vectors: vec_id, vec of whole numbers."""
+    return pair_products(rows, vectors)
+
+
+def bi_softmax(rows: DataFrame, vectors: DataFrame, scale: float) -> DataFrame:
     """With p1, over the other side's tokens for each i, and p2, for each j."""
-    rows, columns = Window.partitionBy("row_pos", "i"), Window.partitionBy("row_pos", "j")
-    e1 = F.exp((F.col("dot") - F.max("dot").over(rows)) * scale)
-    e2 = F.exp((F.col("dot") - F.max("dot").over(columns)) * scale)
-    out = dots.withColumn("_e1", e1).withColumn("_e2", e2)
-    return out.withColumn("p1", F.col("_e1") / F.sum("_e1").over(rows)).withColumn("p2", F.col("_e2") / F.sum("_e2").over(columns)).drop("_e1", "_e2")
+    return pair_products(rows, vectors, scale)
 
 
 def link_threshold(probs: DataFrame, threshold: float) -> DataFrame:
@@ -61,55 +121,72 @@ def link_order(links: DataFrame) -> DataFrame:
     return links.groupBy("row_pos").agg(F.array_sort(F.collect_list(F.struct("i", "j"))).alias("links"))
 
 
-def _matrix_of(rows: pa.Array) -> np.ndarray:
-    return np.stack([x.values.to_numpy(zero_copy_only=False) for x in rows]).astype(np.float64)
-
-
-def _links(u: np.ndarray, v: np.ndarray, scale: float, threshold: float) -> list[dict]:
-    dots = u @ v.T
-    e1, e2 = np.exp((dots - dots.max(1, keepdims=True)) * scale), np.exp((dots - dots.max(0, keepdims=True)) * scale)
-    i, j = np.nonzero((e1 / e1.sum(1, keepdims=True) > threshold) & (e2 / e2.sum(0, keepdims=True) > threshold))
-    return [{"i": int(x), "j": int(y)} for x, y in zip(i, j, strict=True)]
-
-
-def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold: float) -> DataFrame:
-    """rows with links in place of n1 and n2, the vectors' ids of both sides' tokens.
+def grouped_links(links, components: bool = False) -> list[tuple[list[int], list[int]]]:
+    """Groups of linked words, from links (i, j) in order.
 
-    A table of vectors up to VECTORS_AT_HAND rows goes to every task, and nothing is shuffled; a larger one is joined.
-    Tokens without a vector have no links.
+    Two new words begin a group; a known word takes a new one into its group; a link between words of two groups is ignored, or with
+    components joins them.
     """
-    few = vectors.limit(VECTORS_AT_HAND + 1).count() <= VECTORS_AT_HAND
-    table = None
-    if few:
-        found = vectors.where("vec_id IS NOT NULL AND vec IS NOT NULL").toArrow()
-        matrix = _matrix_of(found.column("vec").combine_chunks()) if found.num_rows else np.zeros((0, 1))
-        table = rows.sparkSession.sparkContext.broadcast((dict(zip(found.column("vec_id").to_pylist(), range(found.num_rows), strict=True)), matrix.astype(np.float32)))
-    else:
-        rows = with_vectors(rows, vectors)
-
-    def side(batch, k: int, r: int):
-        """(positions, matrix) of the tokens of row r that have vectors."""
-        if table is not None:
-            place, matrix = table.value
-            at = [place.get(x, -1) for x in batch.column(batch.schema.get_field_index(f"n{k}"))[r].as_py() or ()]
-            kept = [i for i, x in enumerate(at) if x >= 0]
-            return kept, matrix[[at[i] for i in kept]].astype(np.float64)
-        v = batch.column(batch.schema.get_field_index(f"v{k}"))[r].as_py() or []
-        return [x["idx"] for x in v], np.array([x["vec"] for x in v], np.float64)
+    groups, of_src, of_trg = [], {}, {}
+    for i, j in links:
+        a, b = of_src.get(i), of_trg.get(j)
+        if a is None and b is None:
+            a = b = len(groups)
+            groups.append(([], []))
+        elif a is None or b is None:
+            a = b = b if a is None else a
+        elif a != b and components:
+            for x in groups[b][0]:
+                of_src[x] = a
+            for y in groups[b][1]:
+                of_trg[y] = a
+            groups[a][0].extend(groups[b][0])
+            groups[a][1].extend(groups[b][1])
+            groups[b] = ([], [])
+            continue
+        else:
+            continue
+        if i not in of_src:
+            of_src[i] = a
+            groups[a][0].append(i)
+        if j not in of_trg:
+            of_trg[j] = b
+            groups[b][1].append(j)
+    return [(sorted(src), sorted(trg)) for src, trg in groups if src]
+
+
+def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold: float, components: bool = False) -> DataFrame:
+    """rows with links and groups in place of n1 and n2, the vectors' ids of both sides' pieces, and of s1 and s2 if they are there.
+
+    links: pairs of words both of whose probabilities are above the threshold. With s1 and s2 the vectors are those of subwords, and these columns say
+    to which word each belongs: links are then enumerated by subwords and mapped to words. groups: what grouped_links makes of them.
+    Pieces without a vector have no links.
+    """
+    rows, side = vectors_at_hand(rows, vectors)
+    pieces = "s1" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            links, groups = [], []
+            words = [batch.column(batch.schema.get_field_index(f"s{k}")) for k in (1, 2)] if pieces else None
             for r in range(batch.num_rows):
                 (at1, u), (at2, v) = side(batch, 1, r), side(batch, 2, r)
-                links = _links(u, v, scale, threshold) if at1 and at2 else []
-                out.append([{"i": at1[x["i"]], "j": at2[x["j"]]} for x in links])
-            kept = [n for n in batch.schema.names if n not in VECTOR_COLUMNS]
-            kind = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], pa.array(out, kind)], names=[*kept, "links"])
-
-    fields = [f for f in rows.schema.fields if f.name not in VECTOR_COLUMNS]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("links", T.DataType.fromDDL(LINKS))]))
+                found = []
+                if len(at1) and len(at2):
+                    p1, p2 = _probabilities(u @ v.T, scale)
+                    i, j = np.nonzero((p1 > threshold) & (p2 > threshold))
+                    i, j = np.asarray(at1)[i], np.asarray(at2)[j]
+                    if pieces:
+                        i, j = (np.asarray(w[r].values.to_numpy(zero_copy_only=False))[x] for w, x in zip(words, (i, j), strict=True))
+                    found = list(dict.fromkeys(zip(i.tolist(), j.tolist(), strict=True)))
+                links.append([{"i": x, "j": y} for x, y in found])
+                groups.append([{"src": a, "trg": b} for a, b in grouped_links(found, components)])
+            kept = [n for n in batch.schema.names if n not in (*VECTOR_COLUMNS, "s1", "s2")]
+            kinds = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())])), pa.list_(pa.struct([("src", pa.list_(pa.int32())), ("trg", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], pa.array(links, kinds[0]), pa.array(groups, kinds[1])], names=[*kept, "links", "groups"])
+
+    fields = [f for f in rows.schema.fields if f.name not in (*VECTOR_COLUMNS, "s1", "s2")]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("links", T.DataType.fromDDL(LINKS)), T.StructField("groups", T.DataType.fromDDL(GROUPS))]))
 
 
 def with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -120,25 +197,6 @@ def with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows
 
 
-def link_groups(links: Column) -> Column:
-    """Groups of linked words, by a fold over the ordered links.
-
-    Two new words begin a group; a known word takes a new one into its group; a link between words of two groups is ignored.
-    """
-    start = F.struct(F.array().cast("array<struct<src:array<int>,trg:array<int>>>").alias("groups"))
-
-    def step(s, x):
-        gs = s["groups"]
-        left, right = F.exists(gs, lambda g: F.array_contains(g["src"], x["i"])), F.exists(gs, lambda g: F.array_contains(g["trg"], x["j"]))
-        new = F.concat(gs, F.array(F.struct(F.array(x["i"]).alias("src"), F.array(x["j"]).alias("trg"))))
-        more_trg = F.transform(gs, lambda g: F.when(F.array_contains(g["src"], x["i"]), F.struct(g["src"].alias("src"), F.array_append(g["trg"], x["j"]).alias("trg"))).otherwise(g))
-        more_src = F.transform(gs, lambda g: F.when(F.array_contains(g["trg"], x["j"]), F.struct(F.array_append(g["src"], x["i"]).alias("src"), g["trg"].alias("trg"))).otherwise(g))
-        return F.struct(F.when(~left & ~right, new).when(left & right, gs).when(left, more_trg).otherwise(more_src).alias("groups"))
-
-    folded = F.aggregate(links, start, step, lambda s: s["groups"])
-    return F.transform(folded, lambda g: F.struct(F.array_sort(g["src"]).alias("src"), F.array_sort(g["trg"]).alias("trg")))
-
-
 def negated(words: Column, negators: tuple[Negators, ...]) -> Column:
     """Positions that a negator makes count for nothing."""
 
@@ -209,9 +267,11 @@ def longest_match(candidates: DataFrame, listed: DataFrame) -> DataFrame:
     """
     each = candidates.select("row_pos", "g", "side", "place", "phrase", F.explode("norms").alias("n")).select("row_pos", "g", "side", "place", "phrase", "n.pos", F.col("n.norm").alias("word"))
     hits = lookup(each, listed, ["pos", "word"], "inner")
-    found = hits.groupBy("row_pos", "g", "side", "place").agg(F.first("phrase").alias("phrase"), F.array_sort(F.collect_list(F.struct("pos", F.col("word").alias("norm"), "id"))).alias("found"))
-    first = Window.partitionBy("row_pos", "g", "side").orderBy("place")
-    return found.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r", "place")
+    # a group's hits are few: those of its first listed place are taken from all, so one shuffle does
+    every = hits.groupBy("row_pos", "g", "side").agg(F.array_sort(F.collect_list(F.struct("place", "pos", F.col("word").alias("norm"), "id", "phrase"))).alias("hits"))
+    first = F.filter("hits", lambda h: h["place"] == F.col("hits")[0]["place"])
+    found = F.transform(first, lambda h: F.struct(h["pos"].alias("pos"), h["norm"].alias("norm"), h["id"].alias("id")))
+    return every.select("row_pos", "g", "side", F.col("hits")[0]["phrase"].alias("phrase"), found.alias("found"))
 
 
 def emit_facts(matches: DataFrame) -> DataFrame:
@@ -228,12 +288,12 @@ def antonym_filter(facts: DataFrame, exceptions: DataFrame) -> DataFrame:
 def aligned_groups(rows: DataFrame, config: PairConfig) -> DataFrame:
     """row_pos, g (first position of side 1), codes, e1, e2: the groups of each sentence pair as elements.
 
-    rows: row_pos, w1, p1, w2, p2 (words and codes), links.
+    rows: row_pos, w1, p1, w2, p2 (words and codes), groups.
     """
     ignored1 = negated(F.col("w1"), config.negators1)
     if config.be_verb:
         ignored1 = F.concat(ignored1, be_before_verb(F.col("w1"), F.col("p1")))
-    groups = dropped(link_groups(F.col("links")), ignored1, negated(F.col("w2"), config.negators2))
+    groups = dropped(F.col("groups"), ignored1, negated(F.col("w2"), config.negators2))
     each = rows.select("row_pos", "w1", "p1", "w2", "p2", F.explode(groups).alias("x"))
     sides = each.select("row_pos", F.try_element_at("x.src", F.lit(1)).alias("g"), collapsed(F.col("x.src"), F.col("w1"), F.col("p1"), config.joiner1).alias("e1"), collapsed(F.col("x.trg"), F.col("w2"), F.col("p2"), config.joiner2).alias("e2"))
     return sides.withColumn("codes", head_codes(F.col("e1"), F.col("e2")))

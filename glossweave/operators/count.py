@@ -40,7 +40,7 @@ def relation_ids(relations: DataFrame, offset: DataFrame | None = None) -> DataF
 
 def relation_backjoin(facts: DataFrame, relations: DataFrame) -> DataFrame:
     """Each fact with its relation's id."""
-    return facts.join(relations.select(*KEY, "relation_id"), KEY)
+    return lookup(facts, relations.select(*KEY, "relation_id"), KEY, "inner")
 
 
 def relation_defaults(relations: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from glossweave.config import Negators, PairConfig
 from glossweave.functions.text import strip_marks, tokenize, tokens
-from glossweave.plans.storage import read_table
+from glossweave.plans.storage import read_table, spread
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
 #: Sentence pairs of a document at most, for row positions; a longer document raises an error.
@@ -31,7 +31,8 @@ def md5_digit(c: Column, at: int = 1) -> Column:
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_pos, id, s1, s2, commands, invalid, lang."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SENTENCE), 0).alias("ss"))
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    docs = docs.select("doc_id", "lang", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SENTENCE), 0).alias("ss"))
     pairs = F.zip_with(F.slice("ss", F.lit(1), F.greatest(F.size("ss") - 1, F.lit(0))), F.slice("ss", F.lit(2), F.greatest(F.size("ss") - 1, F.lit(0))), lambda a, b: F.struct(a.alias("s1"), b.alias("s2")))
     rows = docs.select("doc_id", "lang", F.posexplode(pairs).alias("j", "p"))
     passed = F.raise_error(F.concat(F.lit(f"more than {SENTENCES} sentence pairs in document "), F.col("doc_id").cast("string")))
@@ -39,10 +40,24 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(row_pos.alias("row_pos"), F.concat_ws("-", "doc_id", "j").alias("id"), "p.s1", "p.s2", F.lit("{}").alias("commands"), F.lit("False").alias("invalid"), "lang")
 
 
+def digest(word: Column) -> Column:
+    """What a word's class and vector are drawn from."""
+    return F.md5(F.lower(word))
+
+
+def code_of(word: Column, digest: Column) -> Column:
+    """The class of a word in the derived lexicon, by the first digit of its digest; the last four digits have none."""
+    code = F.translate(F.substring(digest, 1, 1), "0123456789abcdef", "nnnnnnvvvaar")
+    return F.when(word.rlike(r"^[\p{L}\p{N}]+$"), code).otherwise("")
+
+
 def lexicon_code(word: Column) -> Column:
-    """The class of a word in the derived lexicon."""
-    d = md5_digit(word)
-    return F.when(~word.rlike(r"^[\p{L}\p{N}]+$"), "").when(d < "6", "n").when(d < "9", "v").when(d < "b", "a").when(d < "c", "r").otherwise("")
+    return code_of(word, digest(word))
+
+
+def digested(words: Column) -> Column:
+    """Array of (w, h): words and their digests, each made once."""
+    return F.transform(words, lambda w: F.struct(w.alias("w"), digest(w).alias("h")))
 
 
 def corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +85,8 @@ def lemma_of(word: Column) -> Column:
 
 def word_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pos, word, id: lemmas and two-word phrases of one class on side 1 that are there often enough, with an id from their md5."""
-    words = F.transform(tokenize(strip_marks(F.col("s1"))), lambda w: F.struct(w.alias("w"), lexicon_code(w).alias("p")))
-    each = corpus(spark, sf_dir).select(words.alias("ws"))
+    toks = corpus(spark, sf_dir).select(tokenize(strip_marks(F.col("s1"))).alias("ws"))
+    each = toks.select(F.transform("ws", lambda w: F.struct(w.alias("w"), lexicon_code(w).alias("p"))).alias("ws"))
     pairs = F.zip_with(F.slice("ws", F.lit(1), F.greatest(F.size("ws") - 1, F.lit(0))), F.slice("ws", F.lit(2), F.greatest(F.size("ws") - 1, F.lit(0))), lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("w"), F.when(a["p"] == b["p"], a["p"]).otherwise("").alias("p")))
     found = each.select(F.explode(F.concat("ws", pairs)).alias("x")).where("x.p <> ''").select(F.col("x.p").alias("pos"), lemma_of(F.col("x.w")).alias("word"))
     return found.groupBy("pos", "word").agg(F.count("*").alias("n")).where("n >= 3").select("pos", "word", word_id(F.col("word")).alias("id"))
@@ -86,20 +101,26 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long")).alias("vec"))
 
 
-def vector_id(word: Column, count: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.lower(word)), 1, 6), 16, 10).cast("long") % count
+def vector_of(digest: Column, count: Column) -> Column:
+    """The row of the vectors that a word with this digest has."""
+    return F.conv(F.substring(digest, 1, 6), 16, 10).cast("long") % count
 
 
-def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """row_pos, id, w1, p1, w2, p2, links: the corpus with its links, in one row for each sentence pair."""
-    from glossweave.operators.align import sentence_links, with_vectors
-
-    c = corpus(spark, sf_dir).select("row_pos", "id", tokenize(strip_marks(F.col("s1"))).alias("w1"), tokenize(strip_marks(F.col("s2"))).alias("w2"))
+def tokenised(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(row_pos, id, w1, p1, n1, w2, p2, n2: words, classes and vectors' ids of both sides; the vectors)."""
     vecs = vectors(spark, sf_dir)
     n = F.lit(vecs.count())
-    for k in (1, 2):
-        c = c.withColumn(f"p{k}", F.transform(f"w{k}", lexicon_code)).withColumn(f"n{k}", F.transform(f"w{k}", lambda w: vector_id(w, n)))
-    return sentence_links(c, vecs, SCALE, THRESHOLD)
+    c = corpus(spark, sf_dir).select("row_pos", "id", *[digested(tokenize(strip_marks(F.col(f"s{k}")))).alias(f"t{k}") for k in (1, 2)])
+    sides = [(F.col(f"t{k}.w").alias(f"w{k}"), F.transform(f"t{k}", lambda t: code_of(t["w"], t["h"])).alias(f"p{k}"), F.transform(f"t{k}", lambda t: vector_of(t["h"], n)).alias(f"n{k}")) for k in (1, 2)]
+    return c.select("row_pos", "id", *sides[0], *sides[1]), vecs
+
+
+def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_pos, id, w1, p1, w2, p2, links, groups: the corpus with its links, in one row for each sentence pair."""
+    from glossweave.operators.align import sentence_links
+
+    rows, vecs = tokenised(spark, sf_dir)
+    return sentence_links(rows, vecs, SCALE, THRESHOLD)
 
 
 def exceptions(rows: DataFrame) -> DataFrame:

@@ -341,24 +341,27 @@ JA_KINDS = (
 JA_REST = ("助詞", "格助詞", "*", "*", "w")
 
 
-def _ja_field(word, at: int):
-    digit = inp.md5_digit(word, 5)
-    value = lambda row: word if row[at] == "w" else F.lit(row[at])
-    out = value(JA_REST)
-    for below, *row in reversed(JA_KINDS):
-        out = F.when(digit < below, value(row)).otherwise(out)
-    return out
+HEX = "0123456789abcdef"
+
+
+def _ja_field(word, digit, at: int):
+    """The field of the kind that a digit stands for; w is the word itself."""
+    kinds = [next((row for below, *row in JA_KINDS if x < below), JA_REST) for x in HEX]
+    value = F.get(F.array(*[F.lit(row[at]) for row in kinds]), F.instr(F.lit(HEX), digit) - 1)
+    return F.when(value == "w", word).otherwise(value)
 
 
-def _ja_morphemes(word):
-    """midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other."""
-    midasi = F.when(inp.md5_digit(word, 6) == "0", "症").otherwise(word)
-    repname = F.when(inp.md5_digit(word, 7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
-    return F.struct(midasi.alias("midasi"), repname.alias("repname"), *[_ja_field(word, i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
+def _ja_morphemes(t):
+    """midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other. t: (w, h)."""
+    word, digit = t["w"], lambda at: F.substring(t["h"], at, 1)
+    midasi = F.when(digit(6) == "0", "症").otherwise(word)
+    repname = F.when(digit(7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
+    return F.struct(midasi.alias("midasi"), repname.alias("repname"), *[_ja_field(word, digit(5), i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
 
 
 def _ja_rows(spark, d) -> DataFrame:
-    return inp.corpus(spark, d).select("row_pos", F.transform(tx.tokenize(tx.strip_spaces(tx.strip_marks(F.replace("s1", F.lit(" "), F.lit(" |"))))), _ja_morphemes).alias("mrphs"))
+    words = tx.tokenize(tx.strip_spaces(tx.strip_marks(F.replace("s1", F.lit(" "), F.lit(" |")))))
+    return inp.corpus(spark, d).select("row_pos", inp.digested(words).alias("t")).select("row_pos", F.transform("t", _ja_morphemes).alias("mrphs"))
 
 
 def _ja_case(at: int) -> str:
@@ -546,28 +549,22 @@ def subword_truncate(spark, d):
     return al.subword_truncate(subword_map(spark, d))
 
 
-def _dots(spark, d) -> DataFrame:
-    vecs = inp.vectors(spark, d)
-    n = vecs.count()
-    t = inp.corpus_tokens(spark, d).withColumn("vec_id", inp.vector_id(F.col("word"), F.lit(n)))
-    return al.dot_product(lookup(t, vecs, ["vec_id"], "inner"))
-
-
 @query("links", "SELECT row_pos, count(*) AS pairs, sum(dot)::BIGINT AS total, max(dot) AS best, min(dot) AS worst FROM dots GROUP BY row_pos")
 def dot_product(spark, d):
-    return _dots(spark, d).groupBy("row_pos").agg(F.count("*").alias("pairs"), F.sum("dot").alias("total"), F.max("dot").alias("best"), F.min("dot").alias("worst"))
+    return al.dot_product(*inp.tokenised(spark, d)).groupBy("row_pos").agg(F.count("*").alias("pairs"), F.sum("dot").alias("total"), F.max("dot").alias("best"), F.min("dot").alias("worst"))
 
 
 @query("links", "SELECT row_pos, count(*) FILTER (p1 > 0.1) AS src, count(*) FILTER (p2 > 0.1) AS trg, round(sum(p1))::BIGINT AS rows, round(sum(p2))::BIGINT AS columns FROM probs GROUP BY row_pos")
 def bi_softmax(spark, d):
     """What each sentence pair's probabilities come to: those above a tenth, and their sums, which are its rows and columns."""
-    probs = al.bi_softmax(_dots(spark, d), inp.SCALE)
+    probs = al.bi_softmax(*inp.tokenised(spark, d), inp.SCALE)
     return probs.groupBy("row_pos").agg(F.count_if(F.col("p1") > 0.1).alias("src"), F.count_if(F.col("p2") > 0.1).alias("trg"), F.round(F.sum("p1")).cast("long").alias("rows"), F.round(F.sum("p2")).cast("long").alias("columns"))
 
 
 @query("links", "SELECT row_pos, i, j FROM links")
 def link_threshold(spark, d):
-    return al.link_threshold(al.bi_softmax(_dots(spark, d), inp.SCALE), inp.THRESHOLD)
+    rows, vecs = inp.tokenised(spark, d)
+    return al.link_threshold(al.bi_softmax(rows.select("row_pos", "n1", "n2"), vecs, inp.SCALE), inp.THRESHOLD)
 
 
 @query("links", "SELECT row_pos, string_agg(i || '-' || j, ' ' ORDER BY i, j) AS links FROM links GROUP BY row_pos")
@@ -577,7 +574,7 @@ def link_order(spark, d):
 
 
 def _groups(spark, d) -> DataFrame:
-    return inp.aligned_rows(spark, d).select("row_pos", F.explode(al.link_groups(F.col("links"))).alias("g"))
+    return inp.aligned_rows(spark, d).select("row_pos", F.explode("groups").alias("g"))
 
 
 @query("groups", """, _gs AS (SELECT row_pos, g, string_agg(idx::VARCHAR, ',' ORDER BY idx) FILTER (side = 1) AS src, string_agg(idx::VARCHAR, ',' ORDER BY idx) FILTER (side = 2) AS trg FROM members GROUP BY row_pos, g)

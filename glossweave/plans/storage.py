@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of a lookup table up to which it is broadcast; beyond, Spark shuffles by the key.
-BROADCAST_ROWS = 200_000
+#: Bytes of a stored lookup table up to which it is broadcast; beyond, Spark shuffles by the key.
+BROADCAST_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +30,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """df as a table in the shared folder; what follows starts there."""
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of a table that stored() gave."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    return place.getFileSystem(conf).getContentSummary(place).getLength()
 
 
 def lookup(left: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Joins a lookup table, broadcast only if counting shows that it is small."""
-    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return left.join(F.broadcast(table) if few else table, keys, how)
+    """Joins a lookup table, which is stored first, so that it is made once; it is broadcast only if what was stored is small."""
+    if not hasattr(table, "stored_at"):
+        table = stored(table, "lookup")
+    return left.join(F.broadcast(table) if stored_bytes(table) <= BROADCAST_BYTES else table, keys, how)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by key if its scan has fewer partitions than the cluster has cores: files of one row group can't be split."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if df.rdd.getNumPartitions() < n else df
 
 
 def numbered(df: DataFrame, group: list[str], order: list[Column | str], name: str) -> DataFrame:
