@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,48 @@ def tokens(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.posexplode(tokenize(strip_marks(F.col(column)))).alias("idx", "word"))
 
 
+def folded(toks: Column, fields: tuple[str, ...], step, code_of, strict: bool = False) -> Column:
+    """array of (word, pos) that a fold makes of each row's tokens, structs with these fields, of which the first is the surface.
+
+    step(word, pos, last, *fields) looks at the open word (None at first), its code, and what the last token says of the next;
+    it gives (goes on, pos, last), or None for a row that fails (strict) and becomes null. Every word is looked at once, in Arrow batches:
+    the same fold as a higher-order function is interpreted, with a new state for each token.
+    """
+
+    @F.arrow_udf("array<struct<word:string,pos:string>>")
+    def fold(rows: pa.Array) -> pa.Array:
+        offsets, flat = np.asarray(rows.offsets).tolist(), rows.values
+        tokens = list(zip(*[flat.field(flat.type.get_field_index(f)).to_pylist() for f in fields], strict=True))
+        words, codes, ends, valid = [], [], [0], []
+        for a, b, whole in zip(offsets[:-1], offsets[1:], rows.is_valid().to_pylist(), strict=True):
+            word, pos, last, begun = None, "", "", len(words)
+            for t in tokens[a:b] if whole else ():
+                found = step(word, pos, last, *t)
+                if found is None:
+                    whole, word = False, None
+                    break
+                on, new, last = found
+                if on:
+                    word += t[0]
+                else:
+                    if word is not None:
+                        words.append(word)
+                        codes.append(code_of(pos))
+                    word = t[0]
+                pos = new
+            if not whole:
+                del words[begun:], codes[begun:]
+            elif word is not None:
+                words.append(word)
+                codes.append(code_of(pos))
+            ends.append(len(words))
+            valid.append(whole)
+        structs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(codes, pa.string())], names=["word", "pos"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=pa.array([not v for v in valid], pa.bool_()))
+
+    return fold(toks)
+
+
 def merged_zh(toks: Column, compat: bool = False) -> Column:
     """Glues prefixes, suffixes and the particle to their neighbours. toks: array of (word, pos).
 
@@ -58,60 +102,37 @@ def merged_zh(toks: Column, compat: bool = False) -> Column:
     glued and makes an adjective, and does not end a prefix. A sentence that begins with either starts a token
     (compat: yields null, the row's failure). A prefix left at the end counts as a function word (compat: stays).
     """
-    glue = lambda s, t: t["pos"].isin("suffix", "de") & s["word"].isNotNull()
-
-    def step(s, t):
-        code = F.when(t["pos"].isin("suffix", "de"), "").otherwise(t["pos"])
-        de = _grown(s, t["word"], F.lit("a"), s["last"])
-        suffix = _grown(s, t["word"], s["pos"], s["pos"])
-        out = F.when(glue(s, t), F.when(t["pos"] == "de", de).otherwise(suffix))
-        if compat:
-            out = out.when(t["pos"].isin("suffix", "de"), F.lit(None))
-        return out.when(s["last"] == "prefix", _grown(s, t["word"], t["pos"], code)).otherwise(_next(s, t["word"], code, code))
-
-    out = F.aggregate(toks, _nothing(), step, _whole)
-    if compat:
-        return out
-    return F.transform(out, lambda t: F.struct(t["word"].alias("word"), F.when(t["pos"] == "prefix", "").otherwise(t["pos"]).alias("pos")))
 
+    def step(word, pos, last, _, kind):
+        if kind in ("suffix", "de"):
+            if word is None:
+                return None if compat else (False, "", "")
+            return (True, "a", last) if kind == "de" else (True, pos, pos)
+        return last == "prefix", kind, kind
 
-def _nothing() -> Column:
-    """The state of a fold over tokens: the words that are done, then the open word (null at first), its code, and what the last token says of the next."""
-    return F.struct(F.array().cast("array<struct<word:string,pos:string>>").alias("done"), F.lit(None).cast("string").alias("word"), F.lit("").alias("pos"), F.lit("").alias("last"))
-
-
-def _grown(s, word, pos, last) -> Column:
-    """The open word goes on: what is done is not touched."""
-    return F.struct(s["done"].alias("done"), F.concat(s["word"], word).alias("word"), pos.alias("pos"), last.alias("last"))
-
-
-def _next(s, word, pos, last) -> Column:
-    """The open word ends, and one begins."""
-    return F.struct(_whole(s).alias("done"), word.alias("word"), pos.alias("pos"), last.alias("last"))
-
-
-def _whole(s) -> Column:
-    return F.when(s["word"].isNull(), s["done"]).otherwise(F.array_append(s["done"], F.struct(s["word"].alias("word"), s["pos"].alias("pos"))))
+    return folded(toks, ("word", "pos"), step, lambda pos: "" if pos == "prefix" and not compat else pos)
 
 
 def merged_ja(mrphs: Column) -> Column:
     """Glues morphemes to words and maps classes to codes. mrphs: array of (midasi, hinsi, bunrui, katuyou1, katuyou2, genkei)."""
-
-    def step(s, m):
-        before, kind = s["pos"], m["hinsi"]
-        glue = lambda pos, last: _grown(s, m["midasi"], pos, last)
-        return (
-            F.when(s["word"].isNull(), _next(s, m["midasi"], kind, m["katuyou2"]))
-            .when(((before == "名詞") | (s["last"] == "語幹")) & m["midasi"].isin(*JA_NOUN_SUFFIXES), glue(before, F.lit("")))
-            .when((kind == "接尾辞") & (m["bunrui"] != "動詞性接尾辞"), glue(F.substring(m["bunrui"], F.lit(1), F.greatest(F.length(m["bunrui"]) - 6, F.lit(0))), F.lit("")))
-            .when((m["genkei"] == "する") & (kind == "動詞") & (m["katuyou1"] == "サ変動詞") & before.isin(*JA_INDEPENDENT), glue(F.lit("動詞"), m["katuyou2"]))
-            .when((kind == "名詞") & (before == "接頭辞"), glue(F.lit("名詞"), m["katuyou2"]))
-            .when(kind.isin("名詞", "動詞") & (kind == before), glue(before, m["katuyou2"]))
-            .otherwise(_next(s, m["midasi"], kind, m["katuyou2"]))
-        )
-
-    out = F.aggregate(mrphs, _nothing(), step, _whole)
-    return F.transform(out, lambda t: F.struct(t["word"].alias("word"), tag_code(t["pos"], "ja").alias("pos")))
+    suffixes, codes = set(JA_NOUN_SUFFIXES), {kind: code for code, kinds in TAG_MAPS["ja"].items() for kind in kinds}
+
+    def step(word, pos, last, midasi, hinsi, bunrui, katuyou1, katuyou2, genkei):
+        if word is None:
+            return False, hinsi, katuyou2
+        if midasi in suffixes and (pos == "名詞" or last == "語幹"):
+            return True, pos, ""
+        if hinsi == "接尾辞" and bunrui != "動詞性接尾辞":
+            return True, bunrui[: max(len(bunrui) - 6, 0)], ""
+        if genkei == "する" and hinsi == "動詞" and katuyou1 == "サ変動詞" and pos in JA_INDEPENDENT:
+            return True, "動詞", katuyou2
+        if hinsi == "名詞" and pos == "接頭辞":
+            return True, "名詞", katuyou2
+        if hinsi in ("名詞", "動詞") and hinsi == pos:
+            return True, pos, katuyou2
+        return False, hinsi, katuyou2
+
+    return folded(mrphs, ("midasi", "hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"), step, lambda pos: codes.get(pos, ""))
 
 
 def shown_tokens(toks: Column) -> Column:

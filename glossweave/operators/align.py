@@ -43,8 +43,17 @@ def _probabilities(dots: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarr
     return e1 / e1.sum(1, keepdims=True), e2 / e2.sum(0, keepdims=True)
 
 
+def _flat(column: pa.Array) -> tuple[list[int], np.ndarray]:
+    """Offsets of a list column and its values; null rows are empty."""
+    offsets = np.asarray(column.offsets)
+    if column.null_count:
+        sizes = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0)
+        return _flat(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), column.flatten()))
+    return offsets.tolist(), column.values.to_numpy(zero_copy_only=False)
+
+
 def vectors_at_hand(rows: DataFrame, vectors: DataFrame):
-    """(rows, side): side(batch, k, r) gives (positions, matrix) of the tokens of row r of side k that have vectors.
+    """(rows, sides): sides(batch) gives, for each row, (positions, matrix) of the tokens that have vectors, of both sides.
 
     A table of vectors up to VECTOR_BYTES goes to every task, and nothing is shuffled; a larger one is joined to the rows.
     """
@@ -52,24 +61,29 @@ def vectors_at_hand(rows: DataFrame, vectors: DataFrame):
     n, width = known.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
     if n * width * 8 > VECTOR_BYTES:
 
-        def joined(batch, k: int, r: int):
-            v = batch.column(batch.schema.get_field_index(f"v{k}"))[r].as_py() or []
-            return [x["idx"] for x in v], np.array([x["vec"] for x in v], np.float64)
+        def joined(batch):
+            for pair in zip(*[batch.column(batch.schema.get_field_index(f"v{k}")).to_pylist() for k in (1, 2)], strict=True):
+                yield [(np.array([x["idx"] for x in v or ()], np.int64), np.array([x["vec"] for x in v or ()], np.float64)) for v in pair]
 
         return with_vectors(rows, vectors), joined
     found = known.toArrow().sort_by("vec_id")
     matrix = np.stack([x.values.to_numpy(zero_copy_only=False) for x in found.column("vec").combine_chunks()]).astype(np.float64) if n else np.zeros((0, 1))
     table = rows.sparkSession.sparkContext.broadcast((found.column("vec_id").to_numpy(), matrix))
 
-    def at_hand(batch, k: int, r: int):
+    def at_hand(batch):
         ids, matrix = table.value
-        wanted = batch.column(batch.schema.get_field_index(f"n{k}"))[r]
-        wanted = wanted.values.to_numpy(zero_copy_only=False) if wanted.is_valid else np.zeros(0, np.int64)
-        if not len(ids) or not len(wanted):
-            return np.zeros(0, np.int64), matrix[:0]
-        place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-        kept = np.flatnonzero(ids[place] == wanted)
-        return kept, matrix[place[kept]]
+        sides = []
+        for k in (1, 2):
+            offsets, wanted = _flat(batch.column(batch.schema.get_field_index(f"n{k}")))
+            place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1) if len(ids) else np.zeros(len(wanted), np.int64)
+            sides.append((offsets, np.where(ids[place] == wanted, place, -1) if len(ids) else place - 1))
+        for r in range(batch.num_rows):
+            pair = []
+            for offsets, place in sides:
+                at = place[offsets[r] : offsets[r + 1]]
+                kept = np.flatnonzero(at >= 0)
+                pair.append((kept, matrix[at[kept]]))
+            yield pair
 
     return rows, at_hand
 
@@ -79,24 +93,24 @@ def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = Non
 
     rows: row_pos, n1, n2 (the vectors' ids). A sentence pair's products are one matrix product, where the row lies.
     """
-    rows, side = vectors_at_hand(rows, vectors)
+    rows, sides = vectors_at_hand(rows.select("row_pos", "n1", "n2"), vectors)
     names = ["row_pos", "i", "j", "dot"] + (["p1", "p2"] if scale is not None else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = lambda parts: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
         for batch in batches:
             parts, n = [], 0
-            for r, row_pos in enumerate(batch.column(batch.schema.get_field_index("row_pos")).to_pylist()):
-                (at1, u), (at2, v) = side(batch, 1, r), side(batch, 2, r)
+            for row_pos, ((at1, u), (at2, v)) in zip(batch.column(batch.schema.get_field_index("row_pos")).to_pylist(), sides(batch), strict=True):
                 if len(at1) and len(at2):
                     dots = u @ v.T
                     values = [np.full(dots.size, row_pos), np.repeat(at1, len(at2)).astype(np.int32), np.tile(at2, len(at1)).astype(np.int32), dots.ravel().astype(np.int64)]
                     parts.append(values + ([p.ravel() for p in _probabilities(dots, scale)] if scale is not None else []))
                     n += dots.size
                 if n >= PAIRS_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
+                    yield joined(parts)
                     parts, n = [], 0
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=names)
+                yield joined(parts)
 
     return rows.mapInArrow(run, "row_pos long, i int, j int, dot long" + (", p1 double, p2 double" if scale is not None else ""))
 
@@ -162,28 +176,31 @@ def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold:
     to which word each belongs: links are then enumerated by subwords and mapped to words. groups: what grouped_links makes of them.
     Pieces without a vector have no links.
     """
-    rows, side = vectors_at_hand(rows, vectors)
+    rows, sides = vectors_at_hand(rows, vectors)
     pieces = "s1" in rows.columns
+    ints = lambda x: pa.array(np.fromiter(x, np.int32))
+    ends = lambda x: pa.array(np.cumsum([0, *x]).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             links, groups = [], []
-            words = [batch.column(batch.schema.get_field_index(f"s{k}")) for k in (1, 2)] if pieces else None
-            for r in range(batch.num_rows):
-                (at1, u), (at2, v) = side(batch, 1, r), side(batch, 2, r)
+            words = [_flat(batch.column(batch.schema.get_field_index(f"s{k}"))) for k in (1, 2)] if pieces else None
+            for r, ((at1, u), (at2, v)) in enumerate(sides(batch)):
                 found = []
                 if len(at1) and len(at2):
                     p1, p2 = _probabilities(u @ v.T, scale)
                     i, j = np.nonzero((p1 > threshold) & (p2 > threshold))
-                    i, j = np.asarray(at1)[i], np.asarray(at2)[j]
+                    i, j = at1[i], at2[j]
                     if pieces:
-                        i, j = (np.asarray(w[r].values.to_numpy(zero_copy_only=False))[x] for w, x in zip(words, (i, j), strict=True))
+                        i, j = (of[offsets[r] : offsets[r + 1]][x] for (offsets, of), x in zip(words, (i, j), strict=True))
                     found = list(dict.fromkeys(zip(i.tolist(), j.tolist(), strict=True)))
-                links.append([{"i": x, "j": y} for x, y in found])
-                groups.append([{"src": a, "trg": b} for a, b in grouped_links(found, components)])
+                links.append(found)
+                groups.append(grouped_links(found, components))
+            pairs = pa.StructArray.from_arrays([ints(x[k] for row in links for x in row) for k in (0, 1)], names=["i", "j"])
+            members = [pa.ListArray.from_arrays(ends(len(g[k]) for row in groups for g in row), ints(x for row in groups for g in row for x in g[k])) for k in (0, 1)]
+            columns = [pa.ListArray.from_arrays(ends(map(len, links)), pairs), pa.ListArray.from_arrays(ends(map(len, groups)), pa.StructArray.from_arrays(members, names=["src", "trg"]))]
             kept = [n for n in batch.schema.names if n not in (*VECTOR_COLUMNS, "s1", "s2")]
-            kinds = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())])), pa.list_(pa.struct([("src", pa.list_(pa.int32())), ("trg", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], pa.array(links, kinds[0]), pa.array(groups, kinds[1])], names=[*kept, "links", "groups"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], *columns], names=[*kept, "links", "groups"])
 
     fields = [f for f in rows.schema.fields if f.name not in (*VECTOR_COLUMNS, "s1", "s2")]
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("links", T.DataType.fromDDL(LINKS)), T.StructField("groups", T.DataType.fromDDL(GROUPS))]))
