@@ -208,10 +208,11 @@ elements AS (SELECT row_pos, g, side, string_agg(word, ' ' ORDER BY idx) AS word
   row_number() OVER (PARTITION BY row_pos, g, side ORDER BY spot) - 1 AS k FROM _spot GROUP BY row_pos, g, side, spot),
 _codes AS (SELECT DISTINCT row_pos, g, side, pos FROM kept WHERE pos <> ''),
 codes AS (SELECT a.row_pos, a.g, a.pos FROM _codes a JOIN _codes b ON a.row_pos = b.row_pos AND a.g = b.g AND a.pos = b.pos AND a.side = 1 AND b.side = 2)""",
-    "candidates": r"""
+    "heads": r"""
 _usable AS (SELECT e.* FROM elements e SEMI JOIN codes c ON e.row_pos = c.row_pos AND e.g = c.g),
 _head AS (SELECT * FROM _usable WHERE pos <> ''),
-_other AS (SELECT * FROM _usable WHERE pos = ''),
+_other AS (SELECT * FROM _usable WHERE pos = '')""",
+    "candidates": r"""
 _chosen AS (
   SELECT row_pos, g, side, [{'k': k, 'w': word}] AS e FROM _head
   UNION ALL SELECT h.row_pos, h.g, h.side, list_sort([{'k': h.k, 'w': h.word}, {'k': x.k, 'w': x.word}])

@@ -19,7 +19,7 @@ from glossweave.streaming import relations as st
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-ALL = ["corpus", "tokens", "word_list", "links", "groups", "kept_groups", "elements", "candidates", "facts", "relations"]
+ALL = ["corpus", "tokens", "word_list", "links", "groups", "kept_groups", "elements", "heads", "candidates", "facts", "relations"]
 
 
 def _sql(upto: str | list[str], tail: str) -> str:
@@ -351,17 +351,20 @@ def _ja_field(word, digit, at: int):
     return F.when(value == "w", word).otherwise(value)
 
 
-def _ja_morphemes(t):
+def _ja_morphemes(t, repname: bool = True):
     """midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other. t: (w, h)."""
     word, digit = t["w"], lambda at: F.substring(t["h"], at, 1)
     midasi = F.when(digit(6) == "0", "症").otherwise(word)
-    repname = F.when(digit(7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
-    return F.struct(midasi.alias("midasi"), repname.alias("repname"), *[_ja_field(word, digit(5), i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
+    standard = F.when(digit(7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
+    return F.struct(midasi.alias("midasi"), *([standard.alias("repname")] if repname else []), *[_ja_field(word, digit(5), i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
 
 
-def _ja_rows(spark, d) -> DataFrame:
-    words = tx.tokenize(tx.strip_spaces(tx.strip_marks(F.replace("s1", F.lit(" "), F.lit(" |")))))
-    return inp.corpus(spark, d).select("row_pos", inp.digested(words).alias("t")).select("row_pos", F.transform("t", _ja_morphemes).alias("mrphs"))
+def _ja_rows(spark, d, repname: bool = True) -> DataFrame:
+    """Sentences with tokens, which are those with a mark that is no white space."""
+    s = tx.strip_spaces(tx.strip_marks(F.replace("s1", F.lit(" "), F.lit(" |"))))
+    rows = inp.corpus(spark, d).select("row_pos", s.alias("s")).where(F.col("s").rlike(r"[^\s]"))
+    rows = rows.select("row_pos", inp.digested(tx.tokenize(F.col("s"))).alias("t"))
+    return rows.select("row_pos", F.transform("t", lambda t: _ja_morphemes(t, repname)).alias("mrphs"))
 
 
 def _ja_case(at: int) -> str:
@@ -389,7 +392,7 @@ _js AS (
 
 @query("corpus", f", {FOLD_JA} SELECT row_pos, done || cur || ':' || {_CODE.format('cp')} AS line FROM _js QUALIFY idx = max(idx) OVER (PARTITION BY row_pos)")
 def merge_ja(spark, d):
-    rows = _ja_rows(spark, d).where(F.size("mrphs") > 0)
+    rows = _ja_rows(spark, d, False)
     return rows.select("row_pos", tx.shown_tokens(tx.merged_ja(F.col("mrphs"))).alias("line"))
 
 
@@ -470,7 +473,7 @@ _ja AS (SELECT row_pos, pos, string_agg(part, '' ORDER BY idx) AS norm, bool_or(
 
 
 def _ja_norms(spark, d) -> DataFrame:
-    rows = _ja_rows(spark, d).where(F.size("mrphs") > 0).withColumn("pos", F.explode(F.array(*[F.lit(p) for p in "nvar"])))
+    rows = _ja_rows(spark, d).withColumn("pos", F.explode(F.array(*[F.lit(p) for p in "nvar"])))
     return rows.withColumn("n", norm_ja(F.col("pos"), F.col("mrphs")))
 
 
@@ -661,7 +664,13 @@ def align_pipeline(spark, d):
     return inp.corpus_facts(spark, d).select("row_pos", "seq", "id", "pos", "id1", "word1", "id2", "word2")
 
 
-@query("candidates", "SELECT a.row_pos, a.g, c.pos, a.phrase AS word1, b.phrase AS word2, -1::BIGINT AS id1, -1::BIGINT AS id2 FROM candidates a JOIN candidates b ON a.row_pos = b.row_pos AND a.g = b.g AND a.side = 1 AND b.side = 2 AND a.place = 0 AND b.place = 0 JOIN codes c ON c.row_pos = a.row_pos AND c.g = a.g")
+UNLISTED = """, _o AS (SELECT row_pos, g, side, k, word, row_number() OVER (PARTITION BY row_pos, g, side ORDER BY k) AS n FROM _other),
+_longest AS (SELECT row_pos, g, side, string_agg(word, ' ' ORDER BY k) AS phrase FROM (SELECT row_pos, g, side, k, word FROM _head UNION ALL SELECT row_pos, g, side, k, word FROM _o WHERE n <= 2) GROUP BY row_pos, g, side)
+SELECT a.row_pos, a.g, c.pos, a.phrase AS word1, b.phrase AS word2, -1::BIGINT AS id1, -1::BIGINT AS id2
+FROM _longest a JOIN _longest b ON a.row_pos = b.row_pos AND a.g = b.g AND a.side = 1 AND b.side = 2 JOIN codes c ON c.row_pos = a.row_pos AND c.g = a.g"""
+
+
+@query("heads", UNLISTED)
 def align_unlisted(spark, d):
     return al.align_unlisted(inp.aligned_rows(spark, d), CONFIG)
 
