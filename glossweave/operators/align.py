@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossweave.config import BE_FORMS, SUBWORD_LIMIT, Negators, PairConfig
+from glossweave.config import BE_FORMS, MAX_PHRASE, SUBWORD_LIMIT, Negators, PairConfig
 from glossweave.plans.storage import lookup, stored
 
 LINKS = "array<struct<i:int,j:int>>"
@@ -26,10 +26,15 @@ VECTOR_COLUMNS = ("n1", "n2", "v1", "v2")
 PAIRS_AT_ONCE = 1 << 16
 
 
+def pieces(words: Column, size: int, limit: int | None = None) -> Column:
+    """Array of (word_idx, piece): words cut into pieces of `size` characters; of a sentence the first `limit`."""
+    cut = F.flatten(F.transform(words, lambda w, i: F.transform(F.sequence(F.lit(0), F.floor((F.length(w) - 1) / size).cast("int")), lambda k: F.struct(i.cast("int").alias("word_idx"), F.substring(w, k * size + 1, F.lit(size)).alias("piece")))))
+    return cut if limit is None else F.slice(cut, 1, limit)
+
+
 def subword_map(df: DataFrame, size: int) -> DataFrame:
     """Splits words into pieces of `size` characters: sub_idx over the sentence, word_idx, piece. df: row_pos, toks (words)."""
-    pieces = F.flatten(F.transform("toks", lambda w, i: F.transform(F.sequence(F.lit(0), F.floor((F.length(w) - 1) / size).cast("int")), lambda k: F.struct(i.alias("word_idx"), F.substring(w, k * size + 1, F.lit(size)).alias("piece")))))
-    return df.select("row_pos", F.posexplode(pieces).alias("sub_idx", "p")).select("row_pos", "sub_idx", "p.word_idx", "p.piece")
+    return df.select("row_pos", F.posexplode(pieces(F.col("toks"), size)).alias("sub_idx", "p")).select("row_pos", "sub_idx", "p.word_idx", "p.piece")
 
 
 def subword_truncate(subwords: DataFrame, limit: int = SUBWORD_LIMIT) -> DataFrame:
@@ -261,8 +266,8 @@ def head_codes(elements1: Column, elements2: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.array_intersect(codes(elements1), codes(elements2)), lambda p: p != "")))
 
 
-def phrase_candidates(elements: Column, joiner: str) -> Column:
-    """All ordered choices of up to three elements with the head among them: (idx, phrase), longest first, then by idx."""
+def phrase_candidates(elements: Column, joiner: str, most: int = MAX_PHRASE) -> Column:
+    """All ordered choices of up to `most` elements (three at most) with the head among them: (idx, phrase), longest first, then by idx."""
     n = F.size(elements)
     heads = F.filter(F.transform(elements, lambda t, k: F.when(t["pos"] != "", k)), lambda k: k.isNotNull())
     head = F.array_max(heads)
@@ -271,18 +276,23 @@ def phrase_candidates(elements: Column, joiner: str) -> Column:
     one = F.array(F.array(head))
     two = F.transform(others, lambda k: F.array_sort(F.array(k, head)))
     three = F.flatten(F.transform(others, lambda k: F.transform(F.filter(others, lambda m: m > k), lambda m: F.array_sort(F.array(k, m, head)))))
-    by_length = F.concat(F.array_sort(three), F.array_sort(two), one)
+    by_length = F.concat(*[F.array_sort(three), F.array_sort(two), one][3 - min(3, max(1, most)) :])
     phrase = lambda idx: F.array_join(F.transform(idx, lambda k: F.get(elements, k)["word"]), joiner)
     return F.when(head.isNotNull() & (n > 0), F.transform(by_length, lambda idx: F.struct(idx.alias("idx"), phrase(idx).alias("phrase"))).cast("array<struct<idx:array<int>,phrase:string>>")).otherwise(F.array().cast("array<struct<idx:array<int>,phrase:string>>"))
 
 
-def longest_match(candidates: DataFrame, listed: DataFrame) -> DataFrame:
+def longest_match(candidates: DataFrame, listed: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """The first listed candidate of each group and side, with all usable codes it is listed under.
 
+    overrides: pos, surface, normalized: the listed form of a phrase, before what norms say.
+
     candidates: row_pos, g, side, place (0 is the longest and first), phrase, norms: array of (pos, norm) for each usable
     code. listed: pos, word, id. Gives row_pos, g, side, phrase, found: array of (pos, norm, id) by code.
     """
     each = candidates.select("row_pos", "g", "side", "place", "phrase", F.explode("norms").alias("n")).select("row_pos", "g", "side", "place", "phrase", "n.pos", F.col("n.norm").alias("word"))
+    if overrides is not None:
+        over = overrides.select("pos", F.col("surface").alias("phrase"), "normalized")
+        each = lookup(each, over, ["pos", "phrase"]).withColumn("word", F.coalesce("normalized", "word")).drop("normalized")
     hits = lookup(each, listed, ["pos", "word"], "inner")
     # a group's hits are few: those of its first listed place are taken from all, so one shuffle does
     every = hits.groupBy("row_pos", "g", "side").agg(F.array_sort(F.collect_list(F.struct("place", "pos", F.col("word").alias("norm"), "id", "phrase"))).alias("hits"))
@@ -321,20 +331,20 @@ def group_candidates(groups: DataFrame, config: PairConfig, norm) -> DataFrame:
     usable = groups.where(F.size("codes") > 0)
 
     def side(k: int, joiner: str) -> DataFrame:
-        each = usable.select("row_pos", "g", F.lit(k).alias("side"), "codes", F.posexplode(phrase_candidates(F.col(f"e{k}"), joiner)).alias("place", "c"))
+        each = usable.select("row_pos", "g", F.lit(k).alias("side"), "codes", F.posexplode(phrase_candidates(F.col(f"e{k}"), joiner, config.max_phrase)).alias("place", "c"))
         norms = F.transform("codes", lambda p: F.struct(p.alias("pos"), norm(F.col("c.phrase"), p, k).alias("norm")))
         return each.select("row_pos", "g", "side", "place", F.col("c.phrase").alias("phrase"), norms.alias("norms"))
 
     return side(1, config.joiner1).unionByName(side(2, config.joiner2))
 
 
-def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm) -> DataFrame:
-    """Facts of sentence pairs with links: the composition of the operators above."""
+def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm, overrides=(None, None)) -> DataFrame:
+    """Facts of sentence pairs with links: the composition of the operators above. overrides: a table for each side, or None."""
     # stored: both sides read the candidates, and each step is planned over columns instead of nested expressions
     groups = stored(aligned_groups(rows, config), "groups")
     candidates = stored(group_candidates(groups, config, norm), "candidates")
-    one = longest_match(candidates.where("side = 1"), listed1)
-    two = longest_match(candidates.where("side = 2"), listed2)
+    one = longest_match(candidates.where("side = 1"), listed1, overrides[0])
+    two = longest_match(candidates.where("side = 2"), listed2, overrides[1])
     return antonym_filter(emit_facts(one.unionByName(two)), exceptions)
 
 

@@ -12,6 +12,7 @@ from glossweave.operators import align as al
 from glossweave.operators import count as ct
 from glossweave.operators import reports
 from glossweave.plans import inputs as inp
+from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
 from glossweave.plans.storage import lookup, read_table, stored, work_dir
 from glossweave.sources import files
@@ -736,15 +737,20 @@ def resume_counts(spark, d):
 
 @query("relations", WHOLE)
 def stream_counts(spark, d):
-    """The facts arrive as files, in order of their rows, and a stream merges them batch by batch."""
+    """The corpus arrives as CSV files in two deliveries, and a stream aligns and merges them batch by batch."""
     source, path = work_dir(spark, "stream-source"), work_dir(spark, "stream-relations")
-    facts = stored(inp.corpus_facts(spark, d), "facts")
-    middle = _middle(facts)
-    for part in (facts.where(F.col("row_pos") < middle), facts.where(F.col("row_pos") >= middle)):
+    c, vecs = stored(inp.corpus(spark, d), "corpus"), inp.vectors(spark, d)
+    n, middle = F.lit(vecs.count()), _middle(c)
+    language = jobs.by_lexicon(inp.lexicon_code, lambda phrase, pos: inp.lemma_of(phrase))
+    encode = jobs.word_encoder(vecs, lambda w: inp.vector_of(inp.digest(w), n))
+    listed = stored(inp.word_list(spark, d), "word-list")
+    excepted = stored(inp.exceptions(inp.aligned_rows(spark, d)), "exceptions")
+    at = F.split("id", "-")
+    position = at[0].cast("long") * inp.SENTENCES + at[1].cast("long")
+    for part in (c.where(F.col("row_pos") < middle), c.where(F.col("row_pos") >= middle)):
         # one stream run for each arrival, each going on from the checkpoint of the last
-        part.write.mode("append").parquet(source)
-        stream = spark.readStream.schema(facts.schema).parquet(source)
-        st.stream_counts(stream, lambda rows: rows, path, f"{path}/checkpoint").awaitTermination()
+        files.write_csv(part.select("id", "s1", "s2", "commands", "invalid").coalesce(1), source, "append")
+        jobs.stream_translations(spark, CONFIG, source, (listed, listed), path, (language, language), encode, excepted, position).awaitTermination()
     return st.version(spark, path, 2).withColumn("examples", F.array_join("examples", " "))
 
 
