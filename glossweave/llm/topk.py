@@ -6,8 +6,8 @@ all lists. For each query:
 1. each list of each block of candidates gives its k best partial scores; the objects so found have real scores, and the k-th best
    of these over all blocks is a cutoff t that the k best of all cannot be below;
 2. t goes to every block. An object whose score reaches t has a partial score of t / lists at least in some list, so the
-   entries that reach this uniform threshold in some list are sufficient. Most objects are ruled out by their first list alone: its partial score
-   and the lengths of what is left of both vectors bound the score, and where that bound is below t no other list is looked at;
+   entries that reach this uniform threshold in some list are sufficient. Lists are looked at one after the other: what they have given so far
+   and the lengths of what is left of both vectors bound an object's score, and where that is below t it is ruled out; once few are left no other list is multiplied;
 3. the partial scores that the entries lack are added, so that their scores are exact, and those of t or more go on to
    the k best of each query.
 
@@ -35,6 +35,8 @@ LISTS = 4
 #: Queries and candidates whose products are looked at together.
 QUERIES_AT_ONCE = 256
 CANDIDATES_AT_ONCE = 2048
+#: Pairs are resolved one by one when fewer than one in so many are left.
+FEW = 64
 #: Bytes of the candidates that a task holds while the queries pass.
 BLOCK_BYTES = 32 << 20
 SCORES = "qid long, id long, score long"
@@ -129,28 +131,42 @@ def _local_lists(path: str, k: int, width: int, exact: bool):
 def _entries(path: str, k: int, width: int, exact: bool):
     """Phases 2 and 3: objects that reach the uniform threshold in some list, with their scores where these reach t; of a block the k best."""
 
+    def lengths(m: np.ndarray) -> list[np.ndarray]:
+        """For each list the lengths of what the vectors have after it."""
+        step = width // LISTS
+        return [np.sqrt((m[:, (j + 1) * step :].astype(np.float64) ** 2).sum(1)) for j in range(LISTS)]
+
     def run(batches):
         step = width // LISTS
         for c_ids, c in blocks(batches, width):
-            rest = np.sqrt((c[:, step:].astype(np.float64) ** 2).sum(1))
+            c_rest = lengths(c)
             for q_ids, q, t, has in stored_queries(path, width):
-                q_rest = np.sqrt((q[:, step:].astype(np.float64) ** 2).sum(1))
-                level = -(-t // LISTS)
+                q_rest, level = lengths(q), -(-t // LISTS)
                 for a in range(0, len(c), CANDIDATES_AT_ONCE):
                     part, ids = c[a : a + CANDIDATES_AT_ONCE], c_ids[a : a + CANDIDATES_AT_ONCE]
-                    first = _products(q[:, :step], part[:, :step], exact)
-                    # a little is added for what rounding takes away
-                    bound = first + q_rest[:, None] * rest[None, a : a + CANDIDATES_AT_ONCE] * (1 + 1e-9) + 1
-                    # a query that found fewer than k objects has no cutoff: all its entries are sufficient
-                    i, x = np.nonzero(((bound >= t[:, None]) | ~has[:, None]) & (q_ids[:, None] != ids[None, :]))
-                    partial = np.stack([np.einsum("ij,ij->i", q[i, j * step : (j + 1) * step], part[x, j * step : (j + 1) * step]) for j in range(LISTS)])
-                    sent = (partial.max(0) >= level[i]) | ~has[i]
-                    i, x, score = i[sent], x[sent], partial[:, sent].sum(0)
-                    good = ~has[i] | (score >= t[i])
-                    i, x, score = i[good], x[good], score[good]
-                    kept = _best(i, ids[x], score, k)
+                    alive = q_ids[:, None] != ids[None, :]
+                    score, sent = np.zeros(alive.shape, np.int64), np.zeros(alive.shape, bool)
+                    for j in range(LISTS):
+                        p = _products(q[:, j * step : (j + 1) * step], part[:, j * step : (j + 1) * step], exact)
+                        score += p
+                        sent |= p >= level[:, None]
+                        # a little is added for what rounding takes away; a query that found fewer than k objects has no cutoff
+                        bound = score + q_rest[j][:, None] * c_rest[j][None, a : a + CANDIDATES_AT_ONCE] * (1 + 1e-9) + 1
+                        alive &= (bound >= t[:, None]) | ~has[:, None]
+                        if alive.sum() * FEW < alive.size:
+                            break
+                    i, x = np.nonzero(alive)
+                    found = score[i, x]
+                    if j + 1 < LISTS:  # what the entries left lack
+                        more = np.stack([np.einsum("ij,ij->i", q[i, n * step : (n + 1) * step], part[x, n * step : (n + 1) * step]) for n in range(j + 1, LISTS)])
+                        found, reach = found + more.sum(0), sent[i, x] | (more >= level[i]).any(0)
+                    else:
+                        reach = sent[i, x]
+                    good = (reach & (found >= t[i])) | ~has[i]
+                    i, x, found = i[good], x[good], found[good]
+                    kept = _best(i, ids[x], found, k)
                     if len(kept):
-                        yield _scores(q_ids[i[kept]], ids[x[kept]], score[kept])
+                        yield _scores(q_ids[i[kept]], ids[x[kept]], found[kept])
 
     return run
 
