@@ -86,9 +86,11 @@ def _drawn(weight, level, u, most: float):
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, bins: int = BINS, weight_col: str | None = None, seed: int = 0) -> DataFrame:
     """docs with mix_size, mix_source_size, mix_target and mix_copies (whole copies the mix takes)."""
-    size = word_count()
-    weight = F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.length(size.cast("string")).cast("double")
-    sized = materialise(docs.select("source", size.alias("size"), uniform(seed).alias("u"), weight.alias("weight")), "mix-sizes")
+    # the words are counted once; the weight follows from their number
+    weighing = lambda n: F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.length(F.col(n).cast("string")).cast("double")
+    u, w, s, n, level, cut, below = unused(docs, "u", "w", "s", "n", "level", "cut", "below")
+    counted = docs.withColumns({n: word_count(), u: uniform(seed)})
+    sized = materialise(counted.select("source", F.col(n).alias("size"), F.col(u).alias("u"), weighing(n).alias("weight")), "mix-sizes")
     # documents of one source and weight fill alike; there are few weights, unless a column gives many
     classes = materialise(sized.groupBy("source", "weight").agg(F.sum("size").alias("size")), "mix-classes")
     targets = source_targets(classes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
@@ -116,13 +118,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     near = near.withColumn("to", F.col("before") + F.sum("size").over(ordered))
     # the cut nearest to what is missing; none of the bin is a choice too
     best = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("to") - F.col("missing")).alias("off"), F.col("q"))).alias("best"), F.first("cut_bin").alias("cut_bin"), F.min(F.abs(F.col("before") - F.col("missing"))).alias("off_none"))
-    cut = F.when(F.col("off_none") <= F.col("best.off"), F.col("cut_bin") / F.lit(float(bins))).otherwise(F.col("best.q"))
-    cuts = best.select("source", cut.alias("cut"), (F.col("off_none") <= F.col("best.off")).alias("below"))
+    nearest = F.when(F.col("off_none") <= F.col("best.off"), F.col("cut_bin") / F.lit(float(bins))).otherwise(F.col("best.q"))
+    cuts = best.select("source", nearest.alias("cut"), (F.col("off_none") <= F.col("best.off")).alias("below"))
     cuts = materialise(with_source(plan, cuts, False), "mix-cuts")
 
     # a weight column may have the name of an output column, so it is read before these take their places
-    u, w, s, level, cut, below = unused(docs, "u", "w", "s", "level", "cut", "below")
-    decided = docs.withColumns({u: uniform(seed), w: weight}).drop(*OUTPUTS).withColumn("mix_size", size)
+    decided = counted.withColumn(w, weighing(n)).drop(*OUTPUTS).withColumnRenamed(n, "mix_size")
     cuts = cuts.select(F.col("source").alias(s), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("level").alias(level), F.col("cut").alias(cut), F.col("below").alias(below))
     decided = decided.join(F.broadcast(cuts) if few else cuts, decided["source"].eqNullSafe(cuts[s]), "left")
     whole, q = _drawn(F.col(w), F.col(level), F.col(u), most)
