@@ -23,6 +23,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where scratch() is in use, the folders made inside it.
+_scratch: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
@@ -33,13 +37,30 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="glossweave-")
-    return f"{base.rstrip('/')}/glossweave/{label}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Cuts the lineage: writes df as a table in the shared folder and reads it back."""
+    path = f"{base.rstrip('/')}/glossweave/{label}-{uuid.uuid4().hex}"
+    for made in _scratch[-1:]:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes the shared folders that were made inside, when it ends. What is to stay is written to a folder from before,
+    and what is lazy and reads them must have been computed."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scratch.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Cuts the lineage: writes df as a table in the shared folder (to path, if given) and reads it back."""
     spark = df.sparkSession
-    path = shared_dir(spark, label)
+    path = path or shared_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,7 +14,8 @@ verify, never fewer.
 
 Blocks of whole documents are named by a hash of their bytes, so that the answers find them again; both exchanges
 send packed keys (see shared_keys) and each document's text once. Documents without a window left to verify
-are done after the first.
+are done after the first. An exchange reads its rows twice and must find them dealt and ordered alike, also where a lost
+executor's part is read anew; a scan of files does so, anything else is written to the shared folder first.
 
 Rows. Null text has no words. Any doc_id will do, null and repeated too. Repeated rows repeat each
 other's windows. Texts of fewer than WINDOW words stay. A very long text is a block of its own. Empty tables give no rows.
@@ -281,14 +282,17 @@ def _arrow(fields) -> pa.Schema:
     return to_arrow_schema(T.StructType(fields))
 
 
-def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with_text: bool = False, scanned: bool = False) -> DataFrame:
     """The columns `keep` of docs, n_words, n_removed, kept_sha256, and kept_text of what is left if with_text.
 
-    kept_text is the text itself, white space and all, where nothing was removed.
+    kept_text is the text itself, white space and all, where nothing was removed. scanned: docs is a plain scan of
+    files, which gives the same rows in the same order each time; other rows may not, and are stored first.
     """
     kept = [docs.schema[c] for c in keep]
     # both scans of an exchange read the same columns, so that Spark deals and orders their rows alike
     texts = docs.select(text_or_empty().alias("text"), *keep)
+    if not scanned:
+        texts = materialise(texts, "repeats-texts")
     buckets = buckets_for(texts)
     back = judge(texts.mapInArrow(_send_symbols(window, buckets), SENT))
     rows = texts.mapInArrow(_packed_blocks, "block long, rows binary")
@@ -307,4 +311,4 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with
 
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return remove_repeats(read_table(spark, sf_dir, "documents"), scanned=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
