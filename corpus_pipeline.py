@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossweave.llm.bpe import decode, encode
-from glossweave.llm.common import materialise, read_table
+from glossweave.llm.common import materialise, read_table, scratch, shared_dir
 from glossweave.llm.mixing import mixed
 from glossweave.llm.neardup import keep_one
 from glossweave.llm.pii import redact
@@ -61,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage. What a stage wrote on the way is removed when its own documents are written."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_dir(spark, f"pipeline-{name}")
+        with scratch(spark):
+            docs = materialise(stage(spark, docs, sf_dir), name, path)
     return docs
