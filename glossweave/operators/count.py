@@ -1,7 +1,8 @@
 """From facts to relations: counts, examples, ids, and what is built on earlier totals.
 
 Facts: row_pos, seq (order within the row), id (of the corpus row), pos, id1, id2. The one large shuffle groups them by
-(pos, id1, id2); examples of frequent relations are first gathered by salt.
+(pos, id1, id2), which Spark sums before it shuffles. Examples stay rows, one for each fact, wherever a job can take them so;
+where a table must hold them as arrays, those of frequent relations are first gathered by salt.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.config import NEW_WORD_COUNTS
-from glossweave.plans.storage import lookup, numbered
+from glossweave.plans.storage import lookup, numbered, stored
 
 KEY = ["pos", "id1", "id2"]
 #: Groups in which a relation's examples are first gathered.
@@ -22,6 +23,11 @@ def count_relations(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*KEY).agg(F.count("*").alias("count"))
 
 
+def relation_totals(facts: DataFrame) -> DataFrame:
+    """pos, id1, id2, count and first, the first fact's (row_pos, seq): no relation's facts meet."""
+    return facts.groupBy(*KEY).agg(F.count("*").alias("count"), F.min(F.struct("row_pos", "seq")).alias("first"))
+
+
 def collect_examples(facts: DataFrame) -> DataFrame:
     """With examples, the corpus ids in order of the rows, and first, the first fact's (row_pos, seq)."""
     some = facts.groupBy(*KEY, F.pmod(F.xxhash64("row_pos"), F.lit(SALT)).alias("_salt")).agg(F.count("*").alias("count"), F.collect_list(F.struct("row_pos", "seq", "id")).alias("seen"))
@@ -43,6 +49,33 @@ def relation_backjoin(facts: DataFrame, relations: DataFrame) -> DataFrame:
     return lookup(facts, relations.select(*KEY, "relation_id"), KEY, "inner")
 
 
+def example_rows(facts: DataFrame, relations: DataFrame) -> DataFrame:
+    """Each fact as a row of its relation: relation_id, pos, row_pos, seq, id. A hot relation is many rows, not one long array."""
+    return relation_backjoin(facts, relations).select("relation_id", "pos", "row_pos", "seq", "id")
+
+
+def with_examples(totals: DataFrame, rows: DataFrame) -> DataFrame:
+    """totals (relation_id, KEY, count) with the arrays of their example rows, in order of the rows."""
+    some = rows.groupBy("pos", "relation_id", F.pmod(F.xxhash64("row_pos"), F.lit(SALT)).alias("_salt")).agg(F.collect_list(F.struct("row_pos", "seq", "id")).alias("seen"))
+    seen = some.groupBy("pos", "relation_id").agg(F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"))
+    empty = F.array().cast("array<string>")
+    out = totals.join(seen, ["pos", "relation_id"], "left").withColumn("examples", F.coalesce(F.transform("seen", lambda x: x["id"]), empty))
+    return out.select("relation_id", *KEY, "count", "examples")
+
+
+def merge_totals(old: DataFrame, facts: DataFrame) -> DataFrame:
+    """Earlier totals (relation_id, KEY, count) and those of the facts of later rows as one.
+
+    What was there keeps its id and grows; new relations are numbered after the highest id of their pos.
+    """
+    new = stored(relation_totals(facts), "totals")
+    grown = old.join(new.select(*KEY, F.col("count").alias("_n")), KEY, "left")
+    grown = grown.select("relation_id", *KEY, (F.col("count") + F.coalesce("_n", F.lit(0))).alias("count"))
+    offset = old.groupBy("pos").agg((F.max("relation_id") + 1).alias("next_id"))
+    added = relation_ids(new.join(old.select(*KEY), KEY, "left_anti"), offset)
+    return grown.unionByName(added.select("relation_id", *KEY, "count"))
+
+
 def relation_defaults(relations: DataFrame) -> DataFrame:
     return relations.withColumn("convert_from", F.lit("unknown")).withColumn("invalid", F.lit(False))
 

@@ -124,9 +124,9 @@ def sink_relations(spark, d):
 @query("relations", "SELECT pos, count(*) AS relations, sum(count)::BIGINT AS facts, (SELECT max(row_pos) FROM corpus) AS passed FROM relations GROUP BY pos")
 def sink_snapshot(spark, d):
     path = work_dir(spark, "sink-snapshot")
-    st.write_snapshot(_relations(spark, d), path, 1, inp.corpus(spark, d).agg(F.max("row_pos").alias("row_pos")))
+    st.write_snapshot(inp.corpus_facts(spark, d), path, 1, inp.corpus(spark, d).agg(F.max("row_pos").alias("row_pos")))
     passed = spark.read.parquet(f"{path}/passed1").select(F.col("row_pos").alias("passed"))
-    return st.version(spark, path, 1).groupBy("pos").agg(F.count("*").alias("relations"), F.sum("count").alias("facts")).crossJoin(F.broadcast(passed))
+    return st.totals(spark, path, 1).groupBy("pos").agg(F.count("*").alias("relations"), F.sum("count").alias("facts")).crossJoin(F.broadcast(passed))
 
 
 RENDERED = """_named AS (SELECT f.row_pos, f.seq, '[' || '''' || f.pos || ''', ''' || r.relation_id || ''', ''' || f.id1 || ''', ''' || f.word1 || ''', ''' || f.id2 || ''', ''' || f.word2 || '''' || ']' AS c
@@ -136,7 +136,7 @@ _commands AS (SELECT row_pos, string_agg(c, ', ' ORDER BY seq) AS c FROM _named
 
 def _enriched(spark, d) -> DataFrame:
     facts = stored(inp.corpus_facts(spark, d), "facts")
-    with_ids = ct.relation_backjoin(facts, ct.relation_ids(ct.collect_examples(facts)))
+    with_ids = ct.relation_backjoin(facts, ct.relation_ids(ct.relation_totals(facts)))
     return ct.enriched(inp.corpus(spark, d), with_ids)
 
 
@@ -699,18 +699,18 @@ def collect_examples(spark, d):
 
 @query("relations", "SELECT pos, id1, id2, relation_id FROM relations")
 def relation_ids(spark, d):
-    return ct.relation_ids(ct.collect_examples(inp.corpus_facts(spark, d))).select("pos", "id1", "id2", "relation_id")
+    return ct.relation_ids(ct.relation_totals(inp.corpus_facts(spark, d))).select("pos", "id1", "id2", "relation_id")
 
 
 @query("relations", "SELECT f.row_pos, f.seq, f.pos, r.relation_id FROM facts f JOIN relations r USING (pos, id1, id2)")
 def relation_backjoin(spark, d):
     facts = stored(inp.corpus_facts(spark, d), "facts")
-    return ct.relation_backjoin(facts, ct.relation_ids(ct.collect_examples(facts))).select("row_pos", "seq", "pos", "relation_id")
+    return ct.relation_backjoin(facts, ct.relation_ids(ct.relation_totals(facts))).select("row_pos", "seq", "pos", "relation_id")
 
 
 @query("relations", "SELECT relation_id, pos, 'unknown' AS convert_from, false AS invalid FROM relations")
 def relation_defaults(spark, d):
-    return _relations(spark, d).select("relation_id", "pos", "convert_from", "invalid")
+    return ct.relation_defaults(ct.relation_ids(ct.relation_totals(inp.corpus_facts(spark, d)))).select("relation_id", "pos", "convert_from", "invalid")
 
 
 def _in_two(spark, d) -> DataFrame:

@@ -9,6 +9,7 @@ from glossweave.operators import align as al
 from glossweave.operators import count as ct
 from glossweave.plans import jobs
 from glossweave.sources import files
+from glossweave.streaming import relations
 
 KINDS = {"dog": "n", "hund": "n", "cat": "n", "katze": "n", "sees": "v", "sieht": "v", "big": "a", "gross": "a"}
 #: Words that stand for each other have one vector.
@@ -156,6 +157,32 @@ def test_relations_in_two_halves(spark):
     assert sorted(whole.collect()) == sorted(merged.collect())
 
 
+def test_versions_hold_examples_as_rows(spark, tmp_path):
+    """Batches in turn, one of them twice and one empty, give what one run gives."""
+    facts = spark.createDataFrame([(i, 0, f"r{i}", "nv"[i % 2], i % 3, 0) for i in range(12)], "row_pos long, seq int, id string, pos string, id1 long, id2 long")
+    whole = ct.relation_ids(ct.collect_examples(facts)).select("pos", "relation_id", "id1", "id2", "count", "examples")
+    path = str(tmp_path / "state")
+    parts = ["row_pos < 4", "row_pos >= 4 AND row_pos < 9", "false", "row_pos >= 9"]
+    for n, part in ((1, 0), (2, 1), (2, 1), (3, 2), (4, 3)):
+        rows = facts.where(parts[part])
+        relations.write_snapshot(rows, path, n, rows.agg(F.max("row_pos").alias("row_pos")))
+    got = relations.version(spark, path, 4).select(*whole.columns)
+    assert sorted(got.collect()) == sorted(whole.collect())
+    assert spark.read.parquet(f"{path}/x3").count() == 0 and relations.examples(spark, path, 4).count() == 12
+
+
+def test_job_with_examples_as_rows(spark, vectors, tmp_path):
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    at = jobs.count_translations(spark, config, str(tmp_path / "corpus"), str(tmp_path / "lists"), str(tmp_path / "out"), {"de": language(), "en": language()}, jobs.word_encoder(vectors, by(SAME, -1)), as_rows=True)
+    wrote = {(r.pos, r.id1, r.id2): r for r in files.read_relations_csv(spark, at["relations"]).collect()}
+    rows = [(r.pos, r.relation_id, r.id) for r in spark.read.parquet(at["examples"]).collect()]
+    for (pos, _, _), r in wrote.items():
+        assert r.examples == [] and r["count"] == sum(x[:2] == (pos, r.relation_id) for x in rows)
+    dog = wrote[("n", 0, 2)]
+    assert {x[2] for x in rows if x[:2] == ("n", dog.relation_id)} >= {"1", "2"}
+
+
 def test_joined_vectors_give_the_same_links(spark, vectors, monkeypatch):
     rows = spark.createDataFrame([(1, [0, 1, 9], [1, 0]), (2, [3], []), (3, None, [2])], "row_pos long, n1 array<long>, n2 array<long>")
     here = sorted(map(str, al.sentence_links(rows, vectors, 1.0, 1e-3).collect()))
