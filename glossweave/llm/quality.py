@@ -236,75 +236,6 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, most_lines
     return fit(x, size, firsts, quality)
 
 
-def score(self, x, size, firsts) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.curve[0] * logit(self.raw(x, size, firsts)) + self.curve[1])))
-
-
-def logit(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, 1e-6, 1 - 1e-6)
-    return np.log(p / (1 - p))
-
-
-def fit(x: np.ndarray, size: np.ndarray, firsts: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, l2: float = L2) -> Model:
-    """Maximum penalised likelihood of the line labels by Adam over all training documents at once."""
-    mean, scale = x.mean(0), x.std(0) + 1e-6
-    z = with_neighbours((x - mean) / scale, firsts)
-    line_label = np.repeat(labels, np.diff(firsts)).astype(float)
-    # each document counts by the root of its lines, so that long ones do not drown the others
-    weight = 1 / np.sqrt(np.diff(firsts))
-    line_weight = np.repeat(weight, np.diff(firsts))
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (labels, labels), weight * (np.diff(firsts) - 1))
-    theta = np.zeros(z.shape[1] + 4)
-    m = v = np.zeros_like(theta)
-    for step in range(1, rounds + 1):
-        w, pairs = theta[:-4], theta[-4:].reshape(2, 2)
-        p, counts, _ = marginals(z @ w, firsts, pairs)
-        g = np.concatenate([z.T @ ((line_label - p) * line_weight), (seen - (counts * weight[:, None, None]).sum(0)).ravel()]) / weight.sum() - l2 * theta
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta + 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    model = Model(mean, scale, theta[:-4], theta[-4:].reshape(2, 2), (1.0, 0.0))
-    s, a, b = logit(model.raw(x, size, firsts)), 1.0, 0.0
-    for _ in range(50):  # Newton steps of a logistic regression with a small ridge
-        p = 1 / (1 + np.exp(-(a * s + b)))
-        g = np.array([(s * (labels - p)).sum() - 1e-2 * a, (labels - p).sum() - 1e-2 * b])
-        q = p * (1 - p)
-        h = np.array([[(s * s * q).sum() + 1e-2, (s * q).sum()], [(s * q).sum(), q.sum() + 1e-2]])
-        a, b = np.array([a, b]) + np.linalg.solve(h, g)
-    model.curve = (float(a), float(b))
-    return model
-
-
-def held_out():
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-
-
-def _feature_rows(batches):
-    for batch in small_batches(batches, most=HASH_BYTES):
-        x, size, firsts = line_features(*values_bytes(batch.column("text")))
-        stops = np.minimum(firsts[1:], firsts[:-1] + TRAIN_LINES)
-        parts = [(x[a:b].astype(np.float32).tobytes(), size[a:b].tobytes()) for a, b in zip(firsts[:-1], stops, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], names=["quality", "x", "size"])
-
-
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model | None:
-    """Fits the CRF on at most `most` labelled documents; None without two labels."""
-    labelled = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    chosen = labelled.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    short_batches(docs.sparkSession)
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
-    one = texts.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    rows = one.join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(releasing(_feature_rows), "quality int, x binary, size binary")
-    got = sorted((r.quality, bytes(r.x), bytes(r.size)) for r in rows.collect())
-    quality = np.array([q for q, _, _ in got], int)
-    if len(set(quality.tolist())) < 2:
-        return None
-    x = np.frombuffer(b"".join(a for _, a, _ in got), np.float32).reshape(-1, len(FEATURES)).astype(np.float64)
-    size = np.frombuffer(b"".join(s for _, _, s in got), np.float64)
-    firsts = np.concatenate([[0], np.cumsum([len(s) // 8 for _, _, s in got])])
-    return fit(x, size, firsts, quality)
-
-
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs with quality_score."""
     short_batches(docs.sparkSession)

@@ -18,7 +18,7 @@ query, and of rows equal in both k suffice; others are set aside first, so a vec
 
 Rows. A null id or vector, or one with a null or non-finite component, takes no part. Rows that repeat an id are candidates of their own, but of no
 query with that id; the rows of a repeated query share its k places, where each counts its candidates. Every finite component counts;
-a table whose scores could leave 64 bits raises an error. Shorter vectors count as padded
+a table whose scores could leave 62 bits raises an error. Shorter vectors count as padded
 with zeros. Equal scores are ordered by id. Fewer than k candidates give fewer rows; an empty table none.
 """
 
@@ -150,9 +150,10 @@ def _entries(path: str, k: int, width: int, exact: bool):
                         p = _products(q[:, j * step : (j + 1) * step], part[:, j * step : (j + 1) * step], exact)
                         score += p
                         sent |= p >= level[:, None]
-                        # a little is added for what rounding takes away; a query that found fewer than k objects has no cutoff
-                        bound = score + q_rest[j][:, None] * c_rest[j][None, a : a + CANDIDATES_AT_ONCE] * (1 + 1e-9) + 1
-                        alive &= (bound >= t[:, None]) | ~has[:, None]
+                        # what the lists to come can add, rounded up, in whole numbers: scores have digits that floats do not hold.
+                        # A query that found fewer than k objects has no cutoff
+                        rest = np.ceil(q_rest[j][:, None] * c_rest[j][None, a : a + CANDIDATES_AT_ONCE] * (1 + 1e-9)).astype(np.int64) + 1
+                        alive &= (t[:, None] - score <= rest) | ~has[:, None]
                         if alive.sum() * FEW < alive.size:
                             break
                     i, x = np.nonzero(alive)
@@ -178,9 +179,10 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     rows = materialise(counted, "topk-vectors")
     largest = F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))
     width, largest = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.max(largest), F.lit(0.0))).first()
-    # the cast of a component beyond 64 bits gives the largest long, which is refused here as well
-    if width * largest * largest >= 2.0**63:
-        raise ValueError(f"{width} components of up to {largest:.0f} / 256 can have scores beyond 64 bits")
+    # the cast of a component beyond 64 bits gives the largest long, which is refused here as well; so that the
+    # difference of a cutoff and a score stays in 64 bits, neither passes 62
+    if width * largest * largest >= 2.0**62:
+        raise ValueError(f"{width} components of up to {largest:.0f} / 256 can have scores beyond 62 bits")
     exact = width * largest * largest < 2.0**53
     width = max(LISTS, -(-width // LISTS) * LISTS)
     each = lambda df: df.withColumn("_copy", F.explode(F.sequence(F.lit(1), "n"))).select("id", "v")

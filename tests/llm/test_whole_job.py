@@ -4,8 +4,7 @@ import random
 
 import pytest
 
-from glossweave.llm import neardup, topk
-from glossweave.plans import inputs
+from glossweave.llm import neardup, quality, topk
 
 
 def near_copy_group(rng, copies, edits, at):
@@ -98,14 +97,43 @@ def test_large_components_count_or_raise(spark):
     got = [tuple(r) for r in topk.search(spark.createDataFrame(rows, schema)).orderBy("rank").collect()]
     assert got == [(50, 1, 1, 1 << 37), (50, 2, 4, 1 << 17), (50, 3, 2, -(1 << 38))]
     for x in (1e10, -1e30):
-        with pytest.raises(ValueError, match="64 bits"):
+        with pytest.raises(ValueError, match="62 bits"):
             topk.search(spark.createDataFrame([(50, [1.0]), (1, [x])], schema))
 
 
-def test_documents_beyond_the_row_positions_raise(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(inputs, "SENTENCES", 2)
-    for name, text in (("fits", "a. b. c."), ("passes", "a. b. c. d.")):
-        spark.createDataFrame([(1, "en", text), (2, "en", "x. y.")], "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
-    assert sorted(r.row_pos for r in inputs.corpus(spark, f"{tmp_path}/fits").collect()) == [2, 3, 4]
-    with pytest.raises(Exception, match="more than 2 sentence pairs in document 1"):
-        inputs.corpus(spark, f"{tmp_path}/passes").collect()
+def test_products_beyond_what_floats_hold(spark):
+    """The scores of equal vectors are the cutoff itself; their last digits are not in a float."""
+    schema = "vec_id long, embedding array<float>"
+    q, c = ([x / 256 for x in (2.0**29, a, 0, 0, 0, 0, 0, b)] for a, b in ((31, 2), (1, 1)))
+    got = [tuple(r) for r in topk.search(spark.createDataFrame([(50, q), *((i, c) for i in range(1, 7))], schema)).orderBy("rank").collect()]
+    assert got == [(50, i, i, (1 << 58) + 33) for i in range(1, 6)]
+
+
+@pytest.mark.parametrize("bits", (26, 28, 29))
+def test_large_products_against_brute_force(spark, bits):
+    rng = random.Random(bits)
+    ints = [(i, [rng.randrange(-(1 << bits), 1 << bits) >> rng.choice([0, 0, 20]) for _ in range(8)]) for i in range(120)]
+    rows = [(i, [x / 256 for x in v]) for i, v in ints]
+    expected = []
+    for q, v in ints[::50]:
+        scores = [(-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in ints if j != q]
+        expected += [(q, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores)[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert [tuple(r) for r in topk.search(df).orderBy("query_id", "rank").collect()] == expected
+
+
+def test_training_lines_are_bounded_and_no_text_is_cut(spark, monkeypatch):
+    """Texts that would pass the bound are passed over whole; what trains is whole."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, size, firsts, labels: seen.append((len(x), sorted((firsts[1:] - firsts[:-1]).tolist()))))
+    texts = [(i, "\n".join(f"line {j} of {i}" for j in range(n))) for i, n in enumerate([5, 7, 90, 3, 400, 4, 6, 2, 5, 8])]
+    docs = spark.createDataFrame([*texts, (0, "another row of document 0")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    free = {r.doc_id for r in docs.where(~quality.held_out()).select("doc_id").collect()}
+    quality.train(docs, labels, most_lines=40)
+    sizes = {i: {len(t.split("\n"))} | ({1} if i == 0 else set()) for i, t in texts}
+    n, lines = seen[0]
+    assert n == sum(lines) <= 40 and not {90, 400} & set(lines)
+    assert all(any(k in sizes[i] for i in free) for k in lines)
+    quality.train(docs, labels, most_lines=10_000)
+    assert sum(seen[1][1]) > 400 or 4 not in free
