@@ -1,6 +1,10 @@
 """The queries and oracle SQL of this subpackage."""
 
+from glossweave.llm import codes, divergence
 from glossweave.llm.bpe import op5_bpe
+from glossweave.llm.codes import op13_codes
+from glossweave.llm.divergence import op11_divergence
+from glossweave.llm.lm import op12_lm
 from glossweave.llm.media import op1_media
 from glossweave.llm.mixing import op7_mixing
 from glossweave.llm.neardup import op2_neardup
@@ -22,9 +26,14 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_topk": op9_topk,
     "op10_token_files": op10_token_files,
+    "op11_divergence": op11_divergence,
+    "op12_lm": op12_lm,
+    "op13_codes": op13_codes,
 }
 
 ORACLE_SQL = {
+    "op11_divergence": divergence.SQL,
+    "op13_codes": codes.sql(),
     "op9_topk": r"""
 WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
