@@ -52,7 +52,7 @@ THETA = 1.0
 BURNED, KEPT = 1, 2
 SEED = 20_111
 #: Bytes of text in a block, and for each bucket.
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 SENT = "bucket int, block long, words binary, lengths binary, contexts binary, counts binary"
 CELLS = "bucket int, words binary, lengths binary, contexts binary, counts binary, blocks binary, sizes binary, places binary"
 OUTPUTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -218,6 +218,7 @@ def _blocks(model: Model, folder: str, buckets: int):
             word, context = cells // model.restaurants, cells % model.restaurants
             spread = np.where(number[word] >= 0, mix(words[word] ^ mix(context.astype(np.uint64))), words[word])
             bucket = (mix(spread) % np.uint64(buckets)).astype(np.int64)
+            del spread
             order = np.argsort(bucket, kind="stable")  # by word, then context, in each bucket
             place = np.empty(len(cells), np.int64)
             place[order] = np.arange(len(cells))
@@ -273,8 +274,8 @@ class Seating:
     def __init__(self, model: Model, row: dict):
         self.model = model
         self.words, lengths = unpack_sorted(row["words"]), unpack(row["lengths"])
-        self.word = np.repeat(np.arange(len(self.words)), lengths)
-        self.context, self.c = unpack(row["contexts"]).astype(np.int64), unpack(row["counts"], "<u8").astype(np.int64)
+        self.word = np.repeat(np.arange(len(self.words), dtype=np.int32), lengths)
+        self.context, self.c = unpack(row["contexts"]).astype(np.int32), unpack(row["counts"], "<u8").astype(np.int64)
         self.frequent = model.of(self.words)
         self.rare = self.frequent < 0
         self.keys = mix(self.words)[self.word] ^ mix(self.context.astype(np.uint64))
@@ -327,6 +328,8 @@ def _totals(model: Model):
                     customers += np.bincount(s.context, weights=s.c, minlength=len(tables)).astype(np.int64)
                     cells_of += np.bincount(s.c[s.c < 3], minlength=3)
                     words_of += np.bincount(s.root_c[s.rare & (s.root_c < 3)], minlength=3)
+                del s
+                release()
         for kind, values in ((TABLES, tables), (FREQUENT, frequent), (ROOT, root), (CUSTOMERS, customers), (CELLS_OF, cells_of), (WORDS_OF, words_of)):
             at = np.flatnonzero(values)
             if len(at):
