@@ -36,3 +36,18 @@ def norm_ja(pos: Column, mrphs: Column) -> Column:
     end = F.when(matched, trimmed).when(pos == "n", base).otherwise(last["midasi"])
     norm = F.when(F.size(mrphs) > 0, F.concat(F.array_join(first, ""), end)).otherwise("")
     return F.struct(norm.alias("norm"), matched.alias("matched"))
+
+
+#: Analyses of a phrase that are looked at.
+RANKS = 5
+
+
+def norm_ja_ranked(word: Column, pos: Column, ranked: Column) -> Column:
+    """The form of a phrase with ranked analyses: array of the morphemes of each, as norm_ja takes them.
+
+    The first whose last morpheme is of the class of pos counts, of the first RANKS and before one that is empty; without such, that of the first.
+    """
+    forms = F.transform(F.slice(ranked, 1, RANKS), lambda m: F.struct((F.size(m) == 0).alias("gap"), norm_ja(pos, m).alias("n")))
+    first = F.get(forms, F.lit(0))["n"]["norm"]
+    hit = F.filter(forms, lambda x: x["gap"] | x["n"]["matched"])
+    return F.coalesce(F.when(~F.get(hit, F.lit(0))["gap"], F.get(hit, F.lit(0))["n"]["norm"]), first, F.lit(""))

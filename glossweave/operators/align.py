@@ -93,8 +93,9 @@ def vectors_at_hand(rows: DataFrame, vectors: DataFrame):
     return rows, at_hand
 
 
-def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = None) -> DataFrame:
-    """row_pos, i, j, dot for every pair of words of a sentence pair that have vectors, and with a scale p1 and p2.
+def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = None, threshold: float | None = None) -> DataFrame:
+    """row_pos, i, j, dot for every pair of words of a sentence pair that have vectors, and with a scale p1 and p2; with a threshold, only
+    pairs both of whose probabilities are above it leave the task.
 
     rows: row_pos, n1, n2 (the vectors' ids). A sentence pair's products are one matrix product, where the row lies.
     """
@@ -108,9 +109,11 @@ def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = Non
             for row_pos, ((at1, u), (at2, v)) in zip(batch.column(batch.schema.get_field_index("row_pos")).to_pylist(), sides(batch), strict=True):
                 if len(at1) and len(at2):
                     dots = u @ v.T
-                    values = [np.full(dots.size, row_pos), np.repeat(at1, len(at2)).astype(np.int32), np.tile(at2, len(at1)).astype(np.int32), dots.ravel().astype(np.int64)]
-                    parts.append(values + ([p.ravel() for p in _probabilities(dots, scale)] if scale is not None else []))
-                    n += dots.size
+                    probs = _probabilities(dots, scale) if scale is not None else ()
+                    i, j = np.nonzero(np.ones(dots.shape, bool) if threshold is None else (probs[0] > threshold) & (probs[1] > threshold))
+                    if len(i):
+                        parts.append([np.full(len(i), row_pos), at1[i].astype(np.int32), at2[j].astype(np.int32), dots[i, j].astype(np.int64), *(p[i, j] for p in probs)])
+                    n += len(i)
                 if n >= PAIRS_AT_ONCE:
                     yield joined(parts)
                     parts, n = [], 0
@@ -125,9 +128,9 @@ def dot_product(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     return pair_products(rows, vectors)
 
 
-def bi_softmax(rows: DataFrame, vectors: DataFrame, scale: float) -> DataFrame:
-    """With p1, over the other side's tokens for each i, and p2, for each j."""
-    return pair_products(rows, vectors, scale)
+def bi_softmax(rows: DataFrame, vectors: DataFrame, scale: float, threshold: float | None = None) -> DataFrame:
+    """With p1, over the other side's tokens for each i, and p2, for each j; with a threshold, of pairs that link_threshold keeps."""
+    return pair_products(rows, vectors, scale, threshold)
 
 
 def link_threshold(probs: DataFrame, threshold: float) -> DataFrame:
@@ -174,6 +177,15 @@ def grouped_links(links, components: bool = False) -> list[tuple[list[int], list
     return [(sorted(src), sorted(trg)) for src, trg in groups if src]
 
 
+def link_columns(links: list[list[tuple[int, int]]], groups: list[list[tuple[list[int], list[int]]]]) -> list[pa.Array]:
+    """The links and groups of each row as Arrow columns."""
+    ints = lambda x: pa.array(np.fromiter(x, np.int32))
+    ends = lambda x: pa.array(np.cumsum([0, *x]).astype(np.int32))
+    pairs = pa.StructArray.from_arrays([ints(x[k] for row in links for x in row) for k in (0, 1)], names=["i", "j"])
+    members = [pa.ListArray.from_arrays(ends(len(g[k]) for row in groups for g in row), ints(x for row in groups for g in row for x in g[k])) for k in (0, 1)]
+    return [pa.ListArray.from_arrays(ends(map(len, links)), pairs), pa.ListArray.from_arrays(ends(map(len, groups)), pa.StructArray.from_arrays(members, names=["src", "trg"]))]
+
+
 def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold: float, components: bool = False) -> DataFrame:
     """rows with links and groups in place of n1 and n2, the vectors' ids of both sides' pieces, and of s1 and s2 if they are there.
 
@@ -183,8 +195,6 @@ def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold:
     """
     rows, sides = vectors_at_hand(rows, vectors)
     pieces = "s1" in rows.columns
-    ints = lambda x: pa.array(np.fromiter(x, np.int32))
-    ends = lambda x: pa.array(np.cumsum([0, *x]).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,9 +211,7 @@ def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold:
                     found = list(dict.fromkeys(zip(i.tolist(), j.tolist(), strict=True)))
                 links.append(found)
                 groups.append(grouped_links(found, components))
-            pairs = pa.StructArray.from_arrays([ints(x[k] for row in links for x in row) for k in (0, 1)], names=["i", "j"])
-            members = [pa.ListArray.from_arrays(ends(len(g[k]) for row in groups for g in row), ints(x for row in groups for g in row for x in g[k])) for k in (0, 1)]
-            columns = [pa.ListArray.from_arrays(ends(map(len, links)), pairs), pa.ListArray.from_arrays(ends(map(len, groups)), pa.StructArray.from_arrays(members, names=["src", "trg"]))]
+            columns = link_columns(links, groups)
             kept = [n for n in batch.schema.names if n not in (*VECTOR_COLUMNS, "s1", "s2")]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], *columns], names=[*kept, "links", "groups"])
 
@@ -326,23 +334,29 @@ def aligned_groups(rows: DataFrame, config: PairConfig) -> DataFrame:
     return sides.withColumn("codes", head_codes(F.col("e1"), F.col("e2")))
 
 
-def group_candidates(groups: DataFrame, config: PairConfig, norm) -> DataFrame:
-    """The candidates of both sides as longest_match takes them; norm(phrase, pos, side) gives the listed form."""
+def group_candidates(groups: DataFrame, config: PairConfig, norm, analyse=(None, None)) -> DataFrame:
+    """The candidates of both sides as longest_match takes them; norm(phrase, pos, side) gives the listed form.
+
+    analyse: for each side, what is made of a phrase once, by any column function, before norm(phrase, pos, side, analysis) looks at it under each code.
+    """
     usable = groups.where(F.size("codes") > 0)
 
     def side(k: int, joiner: str) -> DataFrame:
         each = usable.select("row_pos", "g", F.lit(k).alias("side"), "codes", F.posexplode(phrase_candidates(F.col(f"e{k}"), joiner, config.max_phrase)).alias("place", "c"))
-        norms = F.transform("codes", lambda p: F.struct(p.alias("pos"), norm(F.col("c.phrase"), p, k).alias("norm")))
+        if analyse[k - 1] is not None:
+            each = each.withColumn("a", analyse[k - 1](F.col("c.phrase")))
+        more = [] if analyse[k - 1] is None else [F.col("a")]
+        norms = F.transform("codes", lambda p: F.struct(p.alias("pos"), norm(F.col("c.phrase"), p, k, *more).alias("norm")))
         return each.select("row_pos", "g", "side", "place", F.col("c.phrase").alias("phrase"), norms.alias("norms"))
 
     return side(1, config.joiner1).unionByName(side(2, config.joiner2))
 
 
-def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm, overrides=(None, None)) -> DataFrame:
-    """Facts of sentence pairs with links: the composition of the operators above. overrides: a table for each side, or None."""
+def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm, overrides=(None, None), analyse=(None, None)) -> DataFrame:
+    """Facts of sentence pairs with links: the composition of the operators above. overrides: a table for each side, or None; analyse as in group_candidates."""
     # stored: both sides read the candidates, and each step is planned over columns instead of nested expressions
     groups = stored(aligned_groups(rows, config), "groups")
-    candidates = stored(group_candidates(groups, config, norm), "candidates")
+    candidates = stored(group_candidates(groups, config, norm, analyse), "candidates")
     one = longest_match(candidates.where("side = 1"), listed1, overrides[0])
     two = longest_match(candidates.where("side = 2"), listed2, overrides[1])
     return antonym_filter(emit_facts(one.unionByName(two)), exceptions)

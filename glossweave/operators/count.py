@@ -63,19 +63,6 @@ def with_examples(totals: DataFrame, rows: DataFrame) -> DataFrame:
     return out.select("relation_id", *KEY, "count", "examples")
 
 
-def merge_totals(old: DataFrame, facts: DataFrame) -> DataFrame:
-    """Earlier totals (relation_id, KEY, count) and those of the facts of later rows as one.
-
-    What was there keeps its id and grows; new relations are numbered after the highest id of their pos.
-    """
-    new = stored(relation_totals(facts), "totals")
-    grown = old.join(new.select(*KEY, F.col("count").alias("_n")), KEY, "left")
-    grown = grown.select("relation_id", *KEY, (F.col("count") + F.coalesce("_n", F.lit(0))).alias("count"))
-    offset = old.groupBy("pos").agg((F.max("relation_id") + 1).alias("next_id"))
-    added = relation_ids(new.join(old.select(*KEY), KEY, "left_anti"), offset)
-    return grown.unionByName(added.select("relation_id", *KEY, "count"))
-
-
 def relation_defaults(relations: DataFrame) -> DataFrame:
     return relations.withColumn("convert_from", F.lit("unknown")).withColumn("invalid", F.lit(False))
 

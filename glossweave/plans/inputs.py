@@ -129,13 +129,13 @@ def exceptions(rows: DataFrame) -> DataFrame:
     return pairs.where(F.substring(F.md5(F.concat("norm1", "norm2")), 1, 1) == "0").distinct()
 
 
-def corpus_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The facts of the corpus, with seq and the row's id."""
+def corpus_facts(spark: SparkSession, sf_dir: str, linked: DataFrame | None = None) -> DataFrame:
+    """The facts of the corpus, with seq and the row's id. linked: its rows with links, which come from vectors otherwise."""
     from glossweave.operators.align import align_pipeline
     from glossweave.operators.count import fact_order
     from glossweave.plans.storage import stored
 
-    rows = stored(aligned_rows(spark, sf_dir), "aligned")
+    rows = stored(aligned_rows(spark, sf_dir) if linked is None else linked, "aligned")
     listed = stored(word_list(spark, sf_dir), "word-list")
     facts = align_pipeline(rows, CONFIG, listed, listed, exceptions(rows), lambda phrase, pos, side: lemma_of(phrase))
     row_id = F.concat_ws("-", F.floor(F.col("row_pos") / SENTENCES), F.col("row_pos").bitwiseAND(SENTENCES - 1))
@@ -235,3 +235,30 @@ facts AS (SELECT *, row_number() OVER (PARTITION BY row_pos ORDER BY g, pos) - 1
 _grouped AS (SELECT pos, id1, id2, count(*) AS count, list(id ORDER BY row_pos, seq) AS examples, min(row_pos * 1000000 + seq) AS first FROM facts GROUP BY pos, id1, id2),
 relations AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY first, id1, id2) - 1 AS relation_id FROM _grouped)""",
 }
+
+
+def em_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_pos, id, w1, p1, w2, p2, links, groups: the corpus with links by expectation maximisation, without vectors."""
+    from glossweave.operators.translation import em_links
+
+    return em_links(tokenised(spark, sf_dir)[0].drop("n1", "n2"), EM_ROUNDS)
+
+
+def _em_sql(rounds: int) -> str:
+    """em0 .. the tables of each round, t, and links, from the words of both sides and the null word before side 1."""
+    parts = [
+        """_es AS (SELECT row_pos, idx AS i, lower(word) AS w FROM tokens WHERE side = 1 UNION ALL SELECT row_pos, -1, '' FROM corpus),
+_eo AS (SELECT a.row_pos, a.i, b.idx AS j, a.w AS w1, lower(b.word) AS w2 FROM _es a JOIN tokens b ON b.row_pos = a.row_pos AND b.side = 2)"""
+    ]
+    for r in range(rounds):
+        t, source = ("16777216", "_eo") if not r else ("t", f"_eo JOIN em{r - 1} USING (w1, w2)")
+        parts.append(f"""_ec{r} AS (SELECT w1, w2, sum(c)::HUGEINT AS c FROM (SELECT w1, w2, {t}::HUGEINT * 65536 // sum({t}) OVER (PARTITION BY row_pos, j) AS c FROM {source}) GROUP BY w1, w2),
+em{r} AS (SELECT w1, w2, greatest(1, c * 16777216 // greatest(1, sum(c) OVER (PARTITION BY w1)))::BIGINT AS t FROM _ec{r})""")
+    parts.append(f"""em AS (SELECT * FROM em{rounds - 1}),
+links AS (SELECT row_pos, i, j FROM (SELECT row_pos, j, arg_min(i, (-t, i)) AS i FROM _eo JOIN em USING (w1, w2) GROUP BY row_pos, j) WHERE i >= 0)""")
+    return ",\n".join(parts)
+
+
+#: Rounds of expectation maximisation in the queries.
+EM_ROUNDS = 3
+SQL["em"] = _em_sql(EM_ROUNDS)

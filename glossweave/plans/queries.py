@@ -10,7 +10,7 @@ from glossweave.functions import text as tx
 from glossweave.functions.normalize import norm_ja, norm_ko, norm_zh
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import reports
+from glossweave.operators import reports, translation
 from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
@@ -124,9 +124,8 @@ def sink_relations(spark, d):
 @query("relations", "SELECT pos, count(*) AS relations, sum(count)::BIGINT AS facts, (SELECT max(row_pos) FROM corpus) AS passed FROM relations GROUP BY pos")
 def sink_snapshot(spark, d):
     path = work_dir(spark, "sink-snapshot")
-    st.write_snapshot(inp.corpus_facts(spark, d), path, 1, inp.corpus(spark, d).agg(F.max("row_pos").alias("row_pos")))
-    passed = spark.read.parquet(f"{path}/passed1").select(F.col("row_pos").alias("passed"))
-    return st.totals(spark, path, 1).groupBy("pos").agg(F.count("*").alias("relations"), F.sum("count").alias("facts")).crossJoin(F.broadcast(passed))
+    st.write_snapshot(inp.corpus_facts(spark, d), path, 1, inp.corpus(spark, d).agg(F.max("row_pos")).first()[0])
+    return st.totals(spark, path).groupBy("pos").agg(F.count("*").alias("relations"), F.sum("count").alias("facts")).withColumn("passed", F.lit(st.passed(spark, path)))
 
 
 RENDERED = """_named AS (SELECT f.row_pos, f.seq, '[' || '''' || f.pos || ''', ''' || r.relation_id || ''', ''' || f.id1 || ''', ''' || f.word1 || ''', ''' || f.id2 || ''', ''' || f.word2 || '''' || ']' AS c
@@ -568,7 +567,7 @@ def bi_softmax(spark, d):
 @query("links", "SELECT row_pos, i, j FROM links")
 def link_threshold(spark, d):
     rows, vecs = inp.tokenised(spark, d)
-    return al.link_threshold(al.bi_softmax(rows.select("row_pos", "n1", "n2"), vecs, inp.SCALE), inp.THRESHOLD)
+    return al.link_threshold(al.bi_softmax(rows.select("row_pos", "n1", "n2"), vecs, inp.SCALE, inp.THRESHOLD), inp.THRESHOLD)
 
 
 @query("links", "SELECT row_pos, string_agg(i || '-' || j, ' ' ORDER BY i, j) AS links FROM links GROUP BY row_pos")
@@ -676,6 +675,27 @@ def align_unlisted(spark, d):
     return al.align_unlisted(inp.aligned_rows(spark, d), CONFIG)
 
 
+EM = [p if p != "links" else "em" for p in ALL]
+
+
+@query(EM[: EM.index("em") + 1], "SELECT w1, w2, t FROM em")
+def em_table(spark, d):
+    """The translation table of the corpus after the rounds."""
+    return translation.translation_table(translation.sentence_blocks(inp.tokenised(spark, d)[0]), inp.EM_ROUNDS)
+
+
+@query(EM[: EM.index("em") + 1], "SELECT row_pos, i, j FROM links")
+def em_links(spark, d):
+    return inp.em_rows(spark, d).select("row_pos", F.explode("links").alias("x")).select("row_pos", "x.i", "x.j")
+
+
+@query(EM, "SELECT relation_id, pos, id1, id2, count FROM relations")
+def translation_counts_em(spark, d):
+    """The whole job without vectors: the corpus and word lists to relations."""
+    facts = inp.corpus_facts(spark, d, inp.em_rows(spark, d))
+    return ct.relation_ids(ct.relation_totals(facts)).select("relation_id", "pos", "id1", "id2", "count")
+
+
 # --- relations
 
 
@@ -745,13 +765,14 @@ def stream_counts(spark, d):
     encode = jobs.word_encoder(vecs, lambda w: inp.vector_of(inp.digest(w), n))
     listed = stored(inp.word_list(spark, d), "word-list")
     excepted = stored(inp.exceptions(inp.aligned_rows(spark, d)), "exceptions")
+    setup = jobs.Setup(CONFIG, (language, language), encode, (listed, listed), excepted)
     at = F.split("id", "-")
     position = at[0].cast("long") * inp.SENTENCES + at[1].cast("long")
     for part in (c.where(F.col("row_pos") < middle), c.where(F.col("row_pos") >= middle)):
         # one stream run for each arrival, each going on from the checkpoint of the last
         files.write_csv(part.select("id", "s1", "s2", "commands", "invalid").coalesce(1), source, "append")
-        jobs.stream_translations(spark, CONFIG, source, (listed, listed), path, (language, language), encode, excepted, position).awaitTermination()
-    return st.version(spark, path, 2).withColumn("examples", F.array_join("examples", " "))
+        jobs.stream_translations(spark, setup, source, path, position).awaitTermination()
+    return st.version(spark, path).withColumn("examples", F.array_join("examples", " "))
 
 
 @query("word_list", f", {KNOWN}, {NEW_WORDS} SELECT pos, word, count FROM _nw")

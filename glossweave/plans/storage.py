@@ -70,3 +70,44 @@ def numbered(df: DataFrame, group: list[str], order: list[Column | str], name: s
     renamed = parts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_part").alias("_p"), "_from", "_before")
     same = [placed[c].eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)] + [placed["_part"] == F.col("_p")]
     return placed.join(renamed, same).withColumn(name, (F.col("_at") - F.col("_from") + F.col("_before")).cast("long")).select(*df.columns, name)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop's file system of a path, its class of paths)."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def listed_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, in order; none if it is not there."""
+    fs, Path = file_system(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(Path(folder))) if fs.exists(Path(folder)) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, Path = file_system(spark, path)
+    source = fs.open(Path(path))
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Puts a small file in place as a whole, by a rename. False if there is one already: of two that try, one wins."""
+    fs, Path = file_system(spark, path)
+    if fs.exists(Path(path)):
+        return False
+    waiting = Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(waiting)
+    out.write(bytearray(text.encode()))
+    out.close()
+    placed = fs.rename(waiting, Path(path))
+    if not placed:
+        fs.delete(waiting, False)
+    return placed
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, Path = file_system(spark, path)
+    fs.delete(Path(path), True)

@@ -1,15 +1,21 @@
 """The jobs over files, for every pair, and the hand-made cases of the operators."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from glossweave.config import ENGLISH_NOT, PAIRS, PairConfig
 from glossweave.functions import text as tx
+from glossweave.functions.normalize import norm_ja_ranked, norm_ko
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
+from glossweave.operators import translation
 from glossweave.plans import inputs, jobs
 from glossweave.sources import files
 from glossweave.streaming import relations
+from glossweave.streaming.store import Store
 
 KINDS = {"dog": "n", "hund": "n", "cat": "n", "katze": "n", "sees": "v", "sieht": "v", "big": "a", "gross": "a"}
 #: Words that stand for each other have one vector.
@@ -162,13 +168,52 @@ def test_versions_hold_examples_as_rows(spark, tmp_path):
     facts = spark.createDataFrame([(i, 0, f"r{i}", "nv"[i % 2], i % 3, 0) for i in range(12)], "row_pos long, seq int, id string, pos string, id1 long, id2 long")
     whole = ct.relation_ids(ct.collect_examples(facts)).select("pos", "relation_id", "id1", "id2", "count", "examples")
     path = str(tmp_path / "state")
-    parts = ["row_pos < 4", "row_pos >= 4 AND row_pos < 9", "false", "row_pos >= 9"]
-    for n, part in ((1, 0), (2, 1), (2, 1), (3, 2), (4, 3)):
+    parts = ["row_pos < 2", "row_pos >= 2 AND row_pos < 5", "false", "row_pos >= 5 AND row_pos < 6", "row_pos >= 6"]
+    done = set()
+    for n, part in ((1, 0), (2, 1), (2, 1), (3, 2), (4, 3), (5, 4)):
         rows = facts.where(parts[part])
-        relations.write_snapshot(rows, path, n, rows.agg(F.max("row_pos").alias("row_pos")))
-    got = relations.version(spark, path, 4).select(*whole.columns)
+        assert relations.write_snapshot(rows, path, n, rows.agg(F.max("row_pos")).first()[0]) is (n not in done)
+        done.add(n)
+    got = relations.version(spark, path).select(*whole.columns)
     assert sorted(got.collect()) == sorted(whole.collect())
-    assert spark.read.parquet(f"{path}/x3").count() == 0 and relations.examples(spark, path, 4).count() == 12
+    assert relations.examples(spark, path, 3).count() == 5 and relations.passed(spark, path) == 11 and relations.passed(spark, path, 3) == 4
+    assert [level for level, _ in relations.state(spark, path).manifest(5)["runs"]["totals"]] == [1, 0]
+
+
+def tree_bytes(path):
+    return sum(p.stat().st_size for p in path.rglob("*.parquet"))
+
+
+def test_a_batch_writes_its_own_relations_alone(spark, tmp_path):
+    facts = lambda a, b: spark.range(a, b).select(F.col("id").alias("row_pos"), F.lit(0).alias("seq"), F.concat(F.lit("r"), "id").alias("id"), F.lit("n").alias("pos"), F.col("id").alias("id1"), (F.col("id") % 7).alias("id2"))
+    path = tmp_path / "state"
+    relations.write_snapshot(facts(0, 60_000), str(path), 1, 59_999)
+    large = tree_bytes(path)
+    relations.write_snapshot(facts(0, 5).unionByName(facts(60_000, 60_005)), str(path), 2, 60_004)
+    assert tree_bytes(path) - large < large / 20
+    before = sorted(str(p) for p in path.rglob("*"))
+    # a batch that is run again
+    assert not relations.write_snapshot(facts(0, 50), str(path), 2, 1)
+    assert sorted(str(p) for p in path.rglob("*")) == before
+    got = {r.id1: (r.relation_id, r["count"]) for r in relations.totals(spark, str(path)).collect()}
+    assert len(got) == 60_005 and [got[i] for i in (0, 4, 5, 60_000, 60_004)] == [(0, 2), (4, 2), (5, 1), (60_000, 1), (60_004, 1)]
+
+
+def test_a_batch_that_fails_leaves_the_one_before(spark, tmp_path):
+    path, schema = str(tmp_path / "state"), "a long"
+    store = Store(spark, path, {"one": (schema, lambda df: df), "two": (schema, lambda df: df)})
+    rows = spark.range(3).select(F.col("id").alias("a"))
+    assert store.commit(1, {"one": rows, "two": rows}, {"x": 1})
+    broken = rows.select(F.when(F.col("a") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("a")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="no"):
+        store.commit(2, {"one": rows, "two": broken})
+    assert store.version() == 1 and store.read("one").count() == store.read("two").count() == 3
+    for n in range(2, 8):
+        assert store.commit(n, {"one": rows, "two": rows})
+    assert store.read("one").count() == 21 and store.read("one", 5).count() == 15 and store.manifest(7)["notes"] == {}
+    # runs that no kept version needs are gone
+    used = {f for n in range(5, 8) for runs in store.manifest(n)["runs"].values() for _, f in runs}
+    assert used <= {p.name for p in (tmp_path / "state" / "runs").iterdir()} and len(used) < 14
 
 
 def test_job_with_examples_as_rows(spark, vectors, tmp_path):
@@ -198,3 +243,186 @@ def test_documents_beyond_the_row_positions_raise(spark, tmp_path, monkeypatch):
     assert sorted(r.row_pos for r in inputs.corpus(spark, f"{tmp_path}/fits").collect()) == [2, 3, 4]
     with pytest.raises(Exception, match="more than 2 sentence pairs in document 1"):
         inputs.corpus(spark, f"{tmp_path}/passes").collect()
+
+
+def texts_of(spark, path):
+    return sorted(r.value for r in spark.read.text(path).collect())
+
+
+def csv_of(spark, path):
+    return sorted(tuple(r[f"_c{i}"] for i in range(len(r))) for r in spark.read.csv(path, escape='"', multiLine=True, recursiveFileLookup=True).collect())
+
+
+def many_files(folder, names, seed):
+    """Files of a few records, of other than five fields too, and with rows that the tagger fails on."""
+    rng = random.Random(seed)
+    folder.mkdir(exist_ok=True)
+    for name in names:
+        rows = []
+        for k in range(rng.randrange(4)):
+            i = f"{name}-{k}"
+            rows.append(rng.choice([f"{i},the dog sees,der hund sieht,{{}},False", f"{i},the cat,der katze,,f", f'{i},"big ""cat""\n",gross katze,{{}},t', f"{i},broken", f"{i},the dog fails,der hund,{{}},False", f"{i},dogs,hund,{{}},False"]))
+        (folder / f"{name}.csv").write_text("".join(r + "\n" for r in rows))
+
+
+def failing_language():
+    return jobs.Language(lambda s: F.when(~s.contains("fails"), language().tag(s)), language().norm)
+
+
+@pytest.mark.parametrize("position", ["given", "placed"])
+def test_stream_equals_one_run(spark, vectors, tmp_path, position):
+    """200 files in two deliveries give the relations, the corpus, the rejected and the failed rows of one batch run."""
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    corpus, out = tmp_path / "many", tmp_path / "streamed"
+    names = [f"f{i:03d}" for i in range(200)]
+    over = tmp_path / "over" / "de"
+    over.mkdir(parents=True)
+    (over / "n_normalize.csv").write_text("dogs,dogling\n")
+    languages = {"de": failing_language(), "en": language()}
+    options = {"overrides": str(tmp_path / "over"), "drop_invalid": True}
+    encode = jobs.word_encoder(vectors, by({**SAME, "dogs": 0}, -1))
+    made, _ = jobs.read_setup(spark, config, str(tmp_path / "lists"), languages, encode, **options)
+    at = F.split("id", "-")
+    given = None if position == "placed" else F.substring(at[0], 2, 3).cast("long") * 10 + F.coalesce(F.try_to_number(at[1], F.lit("9")).cast("long"), F.lit(0))
+    for part in (names[:90], names[90:]):
+        many_files(corpus, part, len(part))
+        jobs.stream_translations(spark, made, str(corpus), str(out), given).awaitTermination()
+    batch = jobs.count_translations(spark, config, str(corpus), str(tmp_path / "lists"), str(tmp_path / "out"), languages, encode, **options)
+    whole = sorted((r.pos, r.relation_id, r.id1, r.id2, r["count"], tuple(r.examples)) for r in files.read_relations_csv(spark, batch["relations"]).collect())
+    assert sorted((r.pos, r.relation_id, r.id1, r.id2, r["count"], tuple(r.examples)) for r in relations.version(spark, str(out)).collect()) == whole
+    assert len(whole) > 2 and sum(r[4] for r in whole) > 50
+    assert texts_of(spark, f"{out}/rejected") == texts_of(spark, batch["rejected"]) != []
+    for name in ("failed", "corpus"):
+        assert csv_of(spark, f"{out}/{name}") == csv_of(spark, batch[name]) != []
+
+
+def test_positions_of_batches_do_not_collide(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 200).select(F.format_string("file%03d", F.col("id") % 40).alias("_file"), F.col("id").alias("a"))
+    one, two = (jobs.placed_rows(rows, n * jobs.BATCH_ROWS) for n in (0, 1))
+    assert one.agg(F.max("row_pos")).first()[0] == 399 < jobs.BATCH_ROWS == two.agg(F.min("row_pos")).first()[0]
+    got = [r.a % 40 for r in one.orderBy("row_pos").collect()]
+    assert got == sorted(got)
+
+
+def test_positions_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+    many_files(tmp_path / "many", [f"f{i:02d}" for i in range(30)], 3)
+    seen = []
+    for size in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows, _ = jobs.read_rows(spark, str(tmp_path / "many"))
+        seen.append([r.id for r in rows.orderBy("row_pos").collect()])
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == seen[1] == sorted(seen[0]) and len(seen[0]) > 20
+
+
+def test_overrides_count_in_the_closure(spark, vectors, tmp_path):
+    """The listed word dog is overridden: its form joins the list and the relation is of it."""
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    over = tmp_path / "over" / "de"
+    over.mkdir(parents=True)
+    (over / "n_normalize.csv").write_text("dog,dogling\n")
+    at = jobs.count_translations(spark, config, str(tmp_path / "corpus"), str(tmp_path / "lists"), str(tmp_path / "out"), {"de": language(), "en": language()}, jobs.word_encoder(vectors, by(SAME, -1)), overrides=str(tmp_path / "over"))
+    listed = {(r.lang, r.word): r.id for r in files.read_wordlist(spark, at["wordlists"]).where("pos = 'n'").collect()}
+    relations_of = {(r.id1, r.id2): r["count"] for r in files.read_relations_csv(spark, at["relations"]).where("pos = 'n'").collect()}
+    assert ("de", "dogling") in listed and relations_of[(listed["de", "dogling"], 2)] == 3 and (0, 2) not in relations_of
+
+
+def test_a_job_goes_on_from_an_earlier_one(spark, vectors, tmp_path):
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    many_files(tmp_path / "many", [f"f{i:02d}" for i in range(40)], 5)
+    encode, languages, out = jobs.word_encoder(vectors, by(SAME, -1)), {"de": language(), "en": language()}, str(tmp_path / "out")
+    run = lambda corpus, **more: jobs.count_translations(spark, config, str(corpus), str(tmp_path / "lists"), out, languages, encode, **more)
+    whole = run(tmp_path / "many")
+    assert jobs.outputs(spark, out) == whole
+    first = tmp_path / "first"
+    first.mkdir()
+    for i in range(25):
+        (first / f"f{i:02d}.csv").write_text((tmp_path / "many" / f"f{i:02d}.csv").read_text())
+    begun = run(first)
+    start = sum(r.record is not None for r in jobs.read_rows(spark, str(first))[1].collect()) + jobs.read_rows(spark, str(first))[0].count()
+    rest = run(tmp_path / "many", earlier=files.read_relations_csv(spark, begun["relations"]), start=start)
+    assert jobs.outputs(spark, out) == rest != begun
+    show = lambda at: sorted(map(str, files.read_relations_csv(spark, at["relations"]).collect()))
+    assert show(rest) == show(whole) != show(begun)
+    assert sorted(csv_of(spark, begun["corpus"]) + csv_of(spark, rest["corpus"])) == csv_of(spark, whole["corpus"])
+
+
+def test_a_job_that_fails_leaves_what_was_there(spark, vectors, tmp_path, monkeypatch):
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    out = str(tmp_path / "out")
+    assert jobs.outputs(spark, out) == {}
+    run = lambda: jobs.count_translations(spark, config, str(tmp_path / "corpus"), str(tmp_path / "lists"), out, {"de": language(), "en": language()}, jobs.word_encoder(vectors, by(SAME, -1)))
+    before = run()
+    monkeypatch.setattr(files, "render_commands", lambda c: F.raise_error(F.lit("a task fails")).cast("string"))
+    with pytest.raises(Exception, match="a task fails"):
+        run()
+    assert jobs.outputs(spark, out) == before
+    assert files.read_relations_csv(spark, before["relations"]).count() > 0
+
+
+def test_morphemes_reach_the_norm(spark, vectors, tmp_path):
+    """A Korean and a Japanese norm look at what the analysis made of a phrase."""
+    morphs = lambda c: F.array(F.struct(F.substring(c, 1, 2).alias("morph"), F.lit("VA").alias("tag")), F.struct(F.lit("x").alias("morph"), F.lit("JKS").alias("tag")))
+    korean = jobs.by_lexicon(by({"예쁘게": "a"}, ""), norm_ko, morphs)
+    fields = ("midasi", "repname", "hinsi", "bunrui", "katuyou1", "katuyou2", "genkei")
+    one = lambda c, kind: F.array(F.struct(*[v.alias(f) for f, v in zip(fields, (c, F.concat(F.lower(c), F.lit("/x")), F.lit(kind), F.lit("*"), F.lit("*"), F.lit("*"), c), strict=True)]))
+    ranked = jobs.by_lexicon(by({"Big": "a"}, ""), norm_ja_ranked, lambda c: F.array(one(c, "名詞"), one(c, "形容詞")))
+    rows = spark.createDataFrame([(1, "1", ["Big"], ["a"], ["예쁘게"], ["a"])], "row_pos long, id string, w1 array<string>, p1 array<string>, w2 array<string>, p2 array<string>")
+    lists = (spark.createDataFrame([("a", "big", 3)], "pos string, word string, id long"), spark.createDataFrame([("a", "예쁘다", 5)], "pos string, word string, id long"))
+    made = jobs.Setup(PairConfig("ja", "ko"), (ranked, korean), jobs.word_encoder(vectors, by({"big": 0, "예쁘게": 0}, -1)), lists, spark.createDataFrame([], "norm1 string, norm2 string"))
+    assert [(r.pos, r.id1, r.id2) for r in jobs.facts_of_rows(rows, made).collect()] == [("a", 3, 5)]
+    grown, added = jobs.grown_list(spark.createDataFrame([("a", "예쁘게", 0)], "pos string, word string, id long"), korean)
+    assert [(r.word, r.id) for r in added.collect()] == [("예쁘다", 1)] and grown.count() == 2
+
+
+def test_ranked_analyses(spark):
+    """The first rank that matches counts; ranks after an empty one do not; without a match the first rank's norm stays."""
+    m = lambda kind, base: [("s", "s", kind, "*", "*", "*", base)]
+    kind = "array<array<struct<midasi:string,repname:string,hinsi:string,bunrui:string,katuyou1:string,katuyou2:string,genkei:string>>>"
+    cases = [([m("名詞", "one"), m("動詞", "two"), m("動詞", "three")], "two"), ([m("名詞", "one"), [], m("動詞", "three")], "s"), ([m("名詞", "one")] * 5 + [m("動詞", "six")], "s"), ([m("動詞", "one")], "one"), ([], "")]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(cases)], f"i int, r {kind}")
+    assert [r.n for r in df.select("i", norm_ja_ranked(F.lit("w"), F.lit("v"), F.col("r")).alias("n")).orderBy("i").collect()] == [n for _, n in cases]
+
+
+def test_expectation_maximisation_against_plain_rounds(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.choice("ABCde") for _ in range(rng.randrange(7))], [rng.choice("xyz") for _ in range(rng.randrange(6))]) for i in range(60)] + [(90, None, ["x"]), (91, ["A"], None)]
+    df = spark.createDataFrame(rows, "row_pos long, w1 array<string>, w2 array<string>").repartition(3)
+    lower = [(i, ["", *(w.lower() for w in a or [])], list(b or [])) for i, a, b in rows]
+    t = {(x, y): 1 for _, a, b in lower for x in a for y in b}
+    for _ in range(3):
+        counts = Counter()
+        for _, a, b in lower:
+            for y in b:
+                total = sum(t[x, y] for x in a)
+                for x in a:
+                    counts[x, y] += t[x, y] * 65536 // total
+        totals = Counter()
+        for (x, _), c in counts.items():
+            totals[x] += c
+        t = {(x, y): max(1, c * (1 << 24) // max(1, totals[x])) for (x, y), c in counts.items()}
+    blocks = translation.sentence_blocks(df)
+    assert {(r.w1, r.w2): r.t for r in translation.translation_table(blocks, 3).collect()} == t
+    links = {i: sorted((k - 1, j) for j, y in enumerate(b) for k in [max(range(len(a)), key=lambda k: (t[a[k], y], -k))] if k) for i, a, b in lower}
+    got = translation.em_links(df, 3).collect()
+    assert {r.row_pos: [(x.i, x.j) for x in r.links] for r in got} == links
+    assert all([(g.src, g.trg) for g in r.groups] == al.grouped_links(links[r.row_pos]) for r in got)
+
+
+def test_job_without_an_encoder(spark, tmp_path):
+    """Words that stand in the same sentences are linked: no vectors anywhere."""
+    config = jobs.pair_config("de_en")
+    setup(tmp_path, config)
+    corpus = tmp_path / "pairs"
+    corpus.mkdir()
+    sentences = [("the dog", "der hund"), ("the cat", "der katze"), ("dog", "hund"), ("the dog sees", "der hund sieht"), ("cat sees", "katze sieht"), ("the big dog", "der gross hund")]
+    (corpus / "a.csv").write_text("".join(f"{i},{a},{b},{{}},False\n" for i, (a, b) in enumerate(sentences * 3)))
+    at = jobs.count_translations(spark, config, str(corpus), str(tmp_path / "lists"), str(tmp_path / "out"), {"de": language(), "en": language()}, jobs.Unencoded(6))
+    found = {(r.pos, r.id1, r.id2): r["count"] for r in files.read_relations_csv(spark, at["relations"]).collect()}
+    assert found[("n", 0, 2)] == 12 and found[("n", 1, 3)] == 6 and ("n", 0, 3) not in found
