@@ -10,7 +10,7 @@ from glossweave.functions import text as tx
 from glossweave.functions.normalize import norm_ja, norm_ko, norm_zh
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import reports, translation
+from glossweave.operators import lattice, reports, translation
 from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
@@ -408,6 +408,38 @@ def tag_failure_ko(spark, d):
     return inp.corpus(spark, d).select("row_pos", F.size(F.coalesce(toks, F.array().cast("array<string>"))).alias("n"))
 
 
+#: Connections of the kinds of words in the queries on text without spaces.
+CONNECT = {("n", "n"): 3, ("v", "v"): 5, ("", "n"): -1, ("a", "n"): -2, ("n", "v"): -1}
+
+
+def _unspaced(spark, d) -> DataFrame:
+    """row_pos, s: the first sentences without their spaces and marks."""
+    return inp.corpus(spark, d).select("row_pos", F.regexp_replace("s1", r"[^\p{L}\p{N}]", "").alias("s"))
+
+
+def _lattice(spark, d) -> lattice.Lattice:
+    """The words that stand three times at least, of 32 characters at most, the cheaper the more often: 40 less two for each doubling of the count."""
+    words = _side1(spark, d).where(r"word RLIKE '^[\\p{L}\\p{N}]+$' AND length(word) <= 32")
+    counted = words.groupBy(F.col("word").alias("surface"), F.col("pos").alias("kind")).agg(F.count("*").alias("n")).where("n >= 3")
+    return lattice.Lattice(counted.select("surface", "kind", F.greatest(F.lit(4), 40 - 2 * F.floor(F.log2("n"))).alias("cost")), CONNECT)
+
+
+@query()
+def segment_words(spark, d):
+    """Sentences whose spaces are gone, as words again: the cheapest path of each."""
+    found = _lattice(spark, d).paths(_unspaced(spark, d))
+    best = F.get("paths", F.lit(0))
+    return found.select("row_pos", best["cost"].alias("cost"), tx.shown_tokens(best["words"]).alias("line"))
+
+
+@query()
+def segment_nbest(spark, d):
+    """The five cheapest paths of each, ranked."""
+    found = _lattice(spark, d).paths(_unspaced(spark, d), 5)
+    each = found.select("row_pos", F.posexplode("paths").alias("at", "p"))
+    return each.select("row_pos", (F.col("at") + 1).alias("rank"), "p.cost", tx.shown_tokens(F.col("p.words")).alias("line"))
+
+
 # --- normalisation
 
 NORMED = f", {OVERRIDES}, _normed AS (SELECT t.row_pos, t.idx, t.pos, coalesce(o.normalized, t.lemma) AS norm FROM tokens t LEFT JOIN _over o ON o.pos = t.pos AND o.surface = t.word WHERE t.side = 1 AND t.pos <> '')"

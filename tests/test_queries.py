@@ -11,7 +11,7 @@ from glossweave.plans.queries import ORACLE_SQL, QUERIES
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Enough to keep every operator under test without running each long job many times.
-CHOSEN = sorted(set(QUERIES) - {"src_relations", "relation_ids", "collect_examples", "resume_counts", "render_commands", "relation_defaults", "emit_facts", "head_pos", "group_drop", "tagmap_ud", "tagmap_ko"})
+CHOSEN = sorted(set(ORACLE_SQL) & set(QUERIES) - {"src_relations", "relation_ids", "collect_examples", "resume_counts", "render_commands", "relation_defaults", "emit_facts", "head_pos", "group_drop", "tagmap_ud", "tagmap_ko"})
 
 
 @pytest.fixture(scope="module")
@@ -22,8 +22,12 @@ def duck():
     return con
 
 
+#: What SQL cannot express; tests hold these against enumeration.
+WITHOUT_SQL = {"segment_words", "segment_nbest"}
+
+
 def test_each_query_has_sql():
-    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) == set(ORACLE_SQL) | WITHOUT_SQL
     assert set(QUERIES) <= set(entry.queries())
 
 
