@@ -15,7 +15,7 @@ from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
 from glossweave.plans.storage import lookup, read_table, stored, work_dir
-from glossweave.sources import files
+from glossweave.sources import files, versioned
 from glossweave.streaming import relations as st
 
 QUERIES: dict = {}
@@ -121,6 +121,16 @@ def sink_relations(spark, d):
     return spark.read.parquet(path).withColumn("examples", F.array_join("examples", " "))
 
 
+@query("relations", "SELECT relation_id AS id, id1, id2, count, array_to_string(examples, ' ') AS examples, pos FROM relations")
+def sink_versioned(spark, d):
+    """The relations as a table that changes as a whole: nouns first, then all of them instead, verbs and others in a second part."""
+    path = work_dir(spark, "sink-versioned")
+    rows = stored(_relations(spark, d).select(F.col("relation_id").alias("id"), "id1", "id2", "count", "examples", "pos"), "relations")
+    for part, append in ((rows.where("pos = 'n'").limit(0), False), (rows.where("pos = 'n'"), False), (rows.where("pos <> 'n'"), True)):
+        versioned.write_version(part, path, append)
+    return versioned.read_current(spark, path).withColumn("examples", F.array_join("examples", " "))
+
+
 @query("relations", "SELECT pos, count(*) AS relations, sum(count)::BIGINT AS facts, (SELECT max(row_pos) FROM corpus) AS passed FROM relations GROUP BY pos")
 def sink_snapshot(spark, d):
     path = work_dir(spark, "sink-snapshot")
