@@ -10,12 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossweave.config import BE_FORMS, MAX_PHRASE, SUBWORD_LIMIT, Negators, PairConfig
-from glossweave.plans.storage import lookup, stored
+from glossweave.plans.storage import BROADCAST_BYTES, lookup, stored, stored_bytes
 
 LINKS = "array<struct<i:int,j:int>>"
 GROUPS = "array<struct<src:array<int>,trg:array<int>>>"
@@ -352,10 +353,86 @@ def group_candidates(groups: DataFrame, config: PairConfig, norm, analyse=(None,
     return side(1, config.joiner1).unionByName(side(2, config.joiner2))
 
 
+def list_at_hand(listed: DataFrame, columns: tuple[str, str, str], most_bytes: int = BROADCAST_BYTES):
+    """(keys "pos tab word", values) of a list of unique (pos, word), for every task; None if it is large as a stored table or not unique."""
+    pos, word, value = columns
+    listed = listed if hasattr(listed, "stored_at") else stored(listed, "list")
+    if stored_bytes(listed) > most_bytes:
+        return None
+    found = listed.where(F.col(pos).isNotNull() & F.col(word).isNotNull()).select(F.concat_ws("\t", pos, word).alias("key"), value).toArrow()
+    keys = found.column("key").combine_chunks()
+    if len(pc.unique(keys)) < len(keys):
+        return None
+    return listed.sparkSession.sparkContext.broadcast((keys, found.column(value).combine_chunks()))
+
+
+def _nested(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Sizes of a list column's rows and its values; null rows are empty."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return sizes, column.flatten()
+
+
+def _first_listed(phrases: pa.Array, codes: pa.Array, norms: pa.Array, listed, overrides) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array, pa.Array]:
+    """(row, phrase, pos, norm, id) of each hit of the first phrase of a row that is listed under any of its codes. phrases: longest first; norms: for each phrase the form under each code."""
+    n, phrase = _nested(phrases)
+    m, code = _nested(codes)
+    # a form for each phrase and code, as many for each phrase of a row as the row has codes
+    form = _nested(_nested(norms)[1])[1]
+    row = np.repeat(np.arange(len(n)), n)
+    width = m[row]
+    of = np.repeat(np.arange(len(phrase)), width)
+    within = np.arange(len(of)) - np.repeat(np.cumsum(width) - width, width)
+    pos = code.take(pa.array((np.cumsum(m) - m)[row[of]] + within))
+    if overrides is not None:
+        keys, values = overrides
+        over = values.take(pc.index_in(pc.binary_join_element_wise(pos, phrase.take(pa.array(of)), "\t"), value_set=keys))
+        form = pc.coalesce(over, form)
+    keys, ids = listed
+    at = pc.index_in(pc.binary_join_element_wise(pos, form, "\t"), value_set=keys)
+    hit = np.flatnonzero(np.asarray(at.is_valid()))
+    rows, firsts = np.unique(row[of[hit]], return_index=True)
+    best = np.full(len(n), -1)
+    best[rows] = of[hit[firsts]]
+    hit = hit[of[hit] == best[row[of[hit]]]]
+    take = pa.array(hit)
+    return row[of[hit]], phrase.take(pa.array(of[hit])), pos.take(take), form.take(take), ids.take(at.take(take))
+
+
+FACTS = "row_pos bigint, g int, pos string, id1 bigint, word1 string, norm1 string, id2 bigint, word2 string, norm2 string"
+
+
+def facts_in_place(groups: DataFrame, config: PairConfig, norm, listed: tuple, overrides: tuple) -> DataFrame:
+    """What longest_match and emit_facts make of groups, with lists at hand (list_at_hand): each group's row gives its facts; no candidate is a row, and nothing is shuffled."""
+    rows = groups.where(F.size("codes") > 0)
+    phrases = [F.transform(phrase_candidates(F.col(f"e{k}"), joiner, config.max_phrase), lambda c: c["phrase"]).alias(f"c{k}") for k, joiner in ((1, config.joiner1), (2, config.joiner2))]
+    rows = rows.select("row_pos", "g", "codes", *phrases)
+    forms = lambda k: F.transform(f"c{k}", lambda c: F.transform("codes", lambda p: norm(c, p, k))).alias(f"n{k}")
+    norms = [forms(1), forms(2)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row_pos, g, codes, c1, c2, n1, n2 = (batch.column(batch.schema.get_field_index(c)) for c in ("row_pos", "g", "codes", "c1", "c2", "n1", "n2"))
+            sides = [_first_listed(c, codes, n, a.value, o and o.value) for c, n, a, o in ((c1, n1, listed[0], overrides[0]), (c2, n2, listed[1], overrides[1]))]
+            # a row's hits of both sides under one code
+            one, two = ({key: i for i, key in enumerate(zip(side[0].tolist(), side[2].to_pylist(), strict=True))} for side in sides)
+            pairs = [(i, two[key]) for key, i in one.items() if key in two]
+            at = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
+            of = pa.array(sides[0][0]).take(at[0])
+            words = [[side[i].take(a) for i in (4, 1, 3)] for side, a in zip(sides, at, strict=True)]
+            yield pa.RecordBatch.from_arrays([row_pos.take(of), g.take(of), sides[0][2].take(at[0]), *words[0], *words[1]], names=["row_pos", "g", "pos", "id1", "word1", "norm1", "id2", "word2", "norm2"])
+
+    return rows.select("*", *norms).mapInArrow(run, FACTS)
+
+
 def align_pipeline(rows: DataFrame, config: PairConfig, listed1: DataFrame, listed2: DataFrame, exceptions: DataFrame, norm, overrides=(None, None), analyse=(None, None)) -> DataFrame:
     """Facts of sentence pairs with links: the composition of the operators above. overrides: a table for each side, or None; analyse as in group_candidates."""
-    # stored: both sides read the candidates, and each step is planned over columns instead of nested expressions
+    # stored: each step is planned over columns instead of nested expressions
     groups = stored(aligned_groups(rows, config), "groups")
+    if analyse == (None, None):
+        at_hand = [list_at_hand(x, ("pos", "word", "id")) for x in ((listed1,) if listed2 is listed1 else (listed1, listed2))]
+        over = [None if x is None else list_at_hand(x, ("pos", "surface", "normalized")) for x in overrides]
+        if None not in at_hand and all((x is None) == (y is None) for x, y in zip(over, overrides, strict=True)):
+            return antonym_filter(facts_in_place(groups, config, norm, (at_hand[0], at_hand[-1]), tuple(over)), exceptions)
     candidates = stored(group_candidates(groups, config, norm, analyse), "candidates")
     one = longest_match(candidates.where("side = 1"), listed1, overrides[0])
     two = longest_match(candidates.where("side = 2"), listed2, overrides[1])

@@ -37,8 +37,14 @@ def collect_examples(facts: DataFrame) -> DataFrame:
 
 
 def relation_ids(relations: DataFrame, offset: DataFrame | None = None) -> DataFrame:
-    """relations with relation_id from 0 in order of `first` within each pos; offset (pos, next_id) says where to begin."""
-    out = numbered(relations.withColumn("_row", F.col("first.row_pos")).withColumn("_seq", F.col("first.seq")), ["pos"], ["_row", "_seq", "id1", "id2"], "relation_id").drop("_row", "_seq")
+    """relations with relation_id from 0 in order of `first` within each pos; offset (pos, next_id) says where to begin.
+
+    Only the keys are sorted and numbered; what else a relation has, as its examples, is joined again.
+    """
+    relations = stored(relations, "relations")
+    keys = relations.select(*KEY, F.col("first.row_pos").alias("_row"), F.col("first.seq").alias("_seq"))
+    ids = numbered(keys, ["pos"], ["_row", "_seq", "id1", "id2"], "relation_id").drop("_row", "_seq")
+    out = lookup(relations, ids, KEY, "inner")
     if offset is not None:
         out = out.join(F.broadcast(offset), "pos", "left").withColumn("relation_id", F.col("relation_id") + F.coalesce("next_id", F.lit(0))).drop("next_id")
     return out

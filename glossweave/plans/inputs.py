@@ -6,6 +6,11 @@ word's md5, vectors are rows of `embeddings`; so every job runs over all documen
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +34,28 @@ def md5_digit(c: Column, at: int = 1) -> Column:
     return F.substring(F.md5(F.lower(c)), at, 1)
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """row_pos, id, s1, s2, commands, invalid, lang."""
+def _neighbours(spark: SparkSession, sf_dir: str, of) -> DataFrame:
+    """row_pos, id, lang, x1, x2: what `of` makes of each sentence, once, and of the one after it."""
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-    docs = docs.select("doc_id", "lang", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SENTENCE), 0).alias("ss"))
-    pairs = F.zip_with(F.slice("ss", F.lit(1), F.greatest(F.size("ss") - 1, F.lit(0))), F.slice("ss", F.lit(2), F.greatest(F.size("ss") - 1, F.lit(0))), lambda a, b: F.struct(a.alias("s1"), b.alias("s2")))
+    docs = docs.select("doc_id", "lang", of(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SENTENCE), 0)).alias("ss"))
+    rest = F.greatest(F.size("ss") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("ss", F.lit(1), rest), F.slice("ss", F.lit(2), rest), lambda a, b: F.struct(a.alias("x1"), b.alias("x2")))
     rows = docs.select("doc_id", "lang", F.posexplode(pairs).alias("j", "p"))
     passed = F.raise_error(F.concat(F.lit(f"more than {SENTENCES} sentence pairs in document "), F.col("doc_id").cast("string")))
     row_pos = F.when(F.col("j") >= SENTENCES, passed.cast("long")).otherwise(F.col("doc_id") * SENTENCES + F.col("j"))
-    return rows.select(row_pos.alias("row_pos"), F.concat_ws("-", "doc_id", "j").alias("id"), "p.s1", "p.s2", F.lit("{}").alias("commands"), F.lit("False").alias("invalid"), "lang")
+    return rows.select(row_pos.alias("row_pos"), F.concat_ws("-", "doc_id", "j").alias("id"), "lang", "p.x1", "p.x2")
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_pos, id, s1, s2, commands, invalid, lang."""
+    rows = _neighbours(spark, sf_dir, lambda ss: ss)
+    return rows.select("row_pos", "id", F.col("x1").alias("s1"), F.col("x2").alias("s2"), F.lit("{}").alias("commands"), F.lit("False").alias("invalid"), "lang")
+
+
+def corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_pos, id, w1, w2: the tokens of both sides."""
+    rows = _neighbours(spark, sf_dir, lambda ss: F.transform(ss, lambda s: tokenize(strip_marks(s))))
+    return rows.select("row_pos", "id", F.col("x1").alias("w1"), F.col("x2").alias("w2"))
 
 
 def digest(word: Column) -> Column:
@@ -55,11 +73,6 @@ def lexicon_code(word: Column) -> Column:
     return code_of(word, digest(word))
 
 
-def digested(words: Column) -> Column:
-    """Array of (w, h): words and their digests, each made once."""
-    return F.transform(words, lambda w: F.struct(w.alias("w"), digest(w).alias("h")))
-
-
 def corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_pos, side (1, 2), idx, word for both sides of the corpus."""
     c = corpus(spark, sf_dir)
@@ -83,13 +96,16 @@ def lemma_of(word: Column) -> Column:
     return F.when(F.length(stem) >= 3, stem).otherwise(F.lower(word))
 
 
-def word_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pos, word, id: lemmas and two-word phrases of one class on side 1 that are there often enough, with an id from their md5."""
-    toks = corpus(spark, sf_dir).select(tokenize(strip_marks(F.col("s1"))).alias("ws"))
-    each = toks.select(F.transform("ws", lambda w: F.struct(w.alias("w"), lexicon_code(w).alias("p"))).alias("ws"))
-    pairs = F.zip_with(F.slice("ws", F.lit(1), F.greatest(F.size("ws") - 1, F.lit(0))), F.slice("ws", F.lit(2), F.greatest(F.size("ws") - 1, F.lit(0))), lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("w"), F.when(a["p"] == b["p"], a["p"]).otherwise("").alias("p")))
-    found = each.select(F.explode(F.concat("ws", pairs)).alias("x")).where("x.p <> ''").select(F.col("x.p").alias("pos"), lemma_of(F.col("x.w")).alias("word"))
-    return found.groupBy("pos", "word").agg(F.count("*").alias("n")).where("n >= 3").select("pos", "word", word_id(F.col("word")).alias("id"))
+def word_list(spark: SparkSession, sf_dir: str, words: DataFrame | None = None) -> DataFrame:
+    """pos, word, id: lemmas and two-word phrases of one class on side 1 that are there often enough, with an id from their md5. words: w1, p1 of the corpus, if they are at hand."""
+    words = tokenised(spark, sf_dir)[0] if words is None else words
+    each = words.select(F.zip_with("w1", "p1", lambda w, p: F.struct(w.alias("w"), p.alias("p"))).alias("ws"))
+    rest = F.greatest(F.size("ws") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("ws", F.lit(1), rest), F.slice("ws", F.lit(2), rest), lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("w"), F.when(a["p"] == b["p"], a["p"]).otherwise("").alias("p")))
+    found = each.select(F.explode(F.filter(F.concat("ws", pairs), lambda x: x["p"] != "")).alias("x")).select(F.col("x.p").alias("pos"), F.col("x.w").alias("w"))
+    # a word's lemma once for each distinct word
+    found = found.groupBy("pos", "w").agg(F.count("*").alias("n")).select("pos", lemma_of(F.col("w")).alias("word"), "n")
+    return found.groupBy("pos", "word").agg(F.sum("n").alias("n")).where("n >= 3").select("pos", "word", word_id(F.col("word")).alias("id"))
 
 
 def word_id(word: Column) -> Column:
@@ -106,13 +122,35 @@ def vector_of(digest: Column, count: Column) -> Column:
     return F.conv(F.substring(digest, 1, 6), 16, 10).cast("long") % count
 
 
+def word_classes(words: pa.Array, vectors: int) -> tuple[pa.Array, pa.Array]:
+    """The class (as code_of) and the vector (as vector_of) of each word, made once for each distinct one."""
+    coded = words.fill_null("").dictionary_encode()
+    classes, ids = [], []
+    for w in coded.dictionary.to_pylist():
+        h = hashlib.md5(w.lower().encode()).hexdigest()
+        # a token is a run of letters and digits or one other character
+        classes.append("nnnnnnvvvaar"[int(h[0], 16) : int(h[0], 16) + 1] if w and unicodedata.category(w[0])[0] in "LN" else "")
+        ids.append(int(h[:6], 16) % max(1, vectors))
+    return pa.array(classes, pa.string()).take(coded.indices), pa.array(ids, pa.int64()).take(coded.indices)
+
+
 def tokenised(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(row_pos, id, w1, p1, n1, w2, p2, n2: words, classes and vectors' ids of both sides; the vectors)."""
     vecs = vectors(spark, sf_dir)
-    n = F.lit(vecs.count())
-    c = corpus(spark, sf_dir).select("row_pos", "id", *[digested(tokenize(strip_marks(F.col(f"s{k}")))).alias(f"t{k}") for k in (1, 2)])
-    sides = [(F.col(f"t{k}.w").alias(f"w{k}"), F.transform(f"t{k}", lambda t: code_of(t["w"], t["h"])).alias(f"p{k}"), F.transform(f"t{k}", lambda t: vector_of(t["h"], n)).alias(f"n{k}")) for k in (1, 2)]
-    return c.select("row_pos", "id", *sides[0], *sides[1]), vecs
+    n = vecs.count()
+
+    def run(batches):
+        for batch in batches:
+            row_pos, id_, *sides = batch.columns
+            columns = [row_pos, id_]
+            for words in sides:
+                flat = words.flatten()
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.diff(np.asarray(words.offsets)))]).astype(np.int32))
+                columns += [words, *(pa.ListArray.from_arrays(offsets, x) for x in word_classes(flat, n))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row_pos", "id", "w1", "p1", "n1", "w2", "p2", "n2"])
+
+    kinds = ", ".join(f"w{k} array<string>, p{k} array<string>, n{k} array<bigint>" for k in (1, 2))
+    return corpus_words(spark, sf_dir).mapInArrow(run, f"row_pos bigint, id string, {kinds}"), vecs
 
 
 def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +174,7 @@ def corpus_facts(spark: SparkSession, sf_dir: str, linked: DataFrame | None = No
     from glossweave.plans.storage import stored
 
     rows = stored(aligned_rows(spark, sf_dir) if linked is None else linked, "aligned")
-    listed = stored(word_list(spark, sf_dir), "word-list")
+    listed = stored(word_list(spark, sf_dir, rows), "word-list")
     facts = align_pipeline(rows, CONFIG, listed, listed, exceptions(rows), lambda phrase, pos, side: lemma_of(phrase))
     row_id = F.concat_ws("-", F.floor(F.col("row_pos") / SENTENCES), F.col("row_pos").bitwiseAND(SENTENCES - 1))
     return fact_order(facts).withColumn("id", row_id)

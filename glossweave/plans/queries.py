@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossweave.config import NEW_WORD_COUNTS, TAG_MAPS
 from glossweave.functions import text as tx
@@ -352,29 +357,32 @@ JA_REST = ("助詞", "格助詞", "*", "*", "w")
 
 
 HEX = "0123456789abcdef"
+JA_FIELDS = ("midasi", "repname", "hinsi", "bunrui", "katuyou1", "katuyou2", "genkei")
 
 
-def _ja_field(word, digit, at: int):
-    """The field of the kind that a digit stands for; w is the word itself."""
-    kinds = [next((row for below, *row in JA_KINDS if x < below), JA_REST) for x in HEX]
-    value = F.get(F.array(*[F.lit(row[at]) for row in kinds]), F.instr(F.lit(HEX), digit) - 1)
-    return F.when(value == "w", word).otherwise(value)
+def _ja_morpheme(word: str) -> tuple[str, ...]:
+    """JA_FIELDS of a word. midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other."""
+    h = hashlib.md5(word.lower().encode()).hexdigest()
+    kind = next((row for below, *row in JA_KINDS if h[4] < below), JA_REST)
+    repname = f"{word[::-1]}/{word.lower()}" if h[6] < "8" else word
+    return "症" if h[5] == "0" else word, repname, *(word if v == "w" else v for v in kind)
 
 
-def _ja_morphemes(t, repname: bool = True):
-    """midasi is 症 for every sixteenth word, which is glued to nouns; repname is reversed/lower for every other. t: (w, h)."""
-    word, digit = t["w"], lambda at: F.substring(t["h"], at, 1)
-    midasi = F.when(digit(6) == "0", "症").otherwise(word)
-    standard = F.when(digit(7) < "8", F.concat(F.reverse(word), F.lit("/"), F.lower(word))).otherwise(word)
-    return F.struct(midasi.alias("midasi"), *([standard.alias("repname")] if repname else []), *[_ja_field(word, digit(5), i).alias(n) for i, n in enumerate(("hinsi", "bunrui", "katuyou1", "katuyou2", "genkei"))])
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in JA_FIELDS])))
+def _ja_morphemes(words: pa.Array) -> pa.Array:
+    """The morphemes of each sentence's words, made once for each distinct word."""
+    coded = words.flatten().fill_null("").dictionary_encode()
+    columns = list(zip(*map(_ja_morpheme, coded.dictionary.to_pylist()), strict=True)) or [()] * len(JA_FIELDS)
+    structs = pa.StructArray.from_arrays([pa.array(c, pa.string()).take(coded.indices) for c in columns], names=list(JA_FIELDS))
+    offsets = np.concatenate([[0], np.cumsum(np.diff(np.asarray(words.offsets)))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), structs)
 
 
-def _ja_rows(spark, d, repname: bool = True) -> DataFrame:
+def _ja_rows(spark, d) -> DataFrame:
     """Sentences with tokens, which are those with a mark that is no white space."""
     s = tx.strip_spaces(tx.strip_marks(F.replace("s1", F.lit(" "), F.lit(" |"))))
     rows = inp.corpus(spark, d).select("row_pos", s.alias("s")).where(F.col("s").rlike(r"[^\s]"))
-    rows = rows.select("row_pos", inp.digested(tx.tokenize(F.col("s"))).alias("t"))
-    return rows.select("row_pos", F.transform("t", lambda t: _ja_morphemes(t, repname)).alias("mrphs"))
+    return rows.select("row_pos", _ja_morphemes(tx.tokenize(F.col("s"))).alias("mrphs"))
 
 
 def _ja_case(at: int) -> str:
@@ -402,7 +410,7 @@ _js AS (
 
 @query("corpus", f", {FOLD_JA} SELECT row_pos, done || cur || ':' || {_CODE.format('cp')} AS line FROM _js QUALIFY idx = max(idx) OVER (PARTITION BY row_pos)")
 def merge_ja(spark, d):
-    rows = _ja_rows(spark, d, False)
+    rows = _ja_rows(spark, d)
     return rows.select("row_pos", tx.shown_tokens(tx.merged_ja(F.col("mrphs"))).alias("line"))
 
 

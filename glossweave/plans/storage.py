@@ -95,8 +95,9 @@ def numbered(df: DataFrame, group: list[str], order: list[Column | str], name: s
     """df with `name`, the row's place from 0 in its group by `order`, which must tell rows apart.
 
     Rows are dealt by ranges and sorted, so a group may span many tasks; where each task begins in each of its groups is
-    a running sum over a row for each group and task. No group passes one task whole.
+    a running sum over a row for each group and task. No group passes one task whole. df is stored first, as dealing by ranges reads it twice.
     """
+    df = df if hasattr(df, "stored_at") else stored(df, "to-number")
     ranged = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     placed = stored(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "numbered")
     keys = [F.col(c) for c in group]

@@ -426,3 +426,43 @@ def test_job_without_an_encoder(spark, tmp_path):
     at = jobs.count_translations(spark, config, str(corpus), str(tmp_path / "lists"), str(tmp_path / "out"), {"de": language(), "en": language()}, jobs.Unencoded(6))
     found = {(r.pos, r.id1, r.id2): r["count"] for r in files.read_relations_csv(spark, at["relations"]).collect()}
     assert found[("n", 0, 2)] == 12 and found[("n", 1, 3)] == 6 and ("n", 0, 3) not in found
+
+
+@pytest.mark.parametrize("override", [False, True])
+def test_facts_in_place_equal_those_by_joins(spark, monkeypatch, override):
+    """Groups of up to 200 elements; words under several codes; overrides; nulls in the list."""
+    rng = random.Random(9)
+    words = [f"W{i}" for i in range(40)]
+    rows, phrases = [], []
+    for i, n in enumerate([1, 2, 3, 5, 8, 13, 200, *[4] * 60]):
+        sides, code = [], rng.choice(["n", "v", "n/v"])
+        for _ in "ab":
+            w, head = [rng.choice(words) for _ in range(n)], rng.randrange(n)
+            sides += [w, [code if k == head else "" for k in range(n)]]
+            for size in (1, 2, 3):
+                at = sorted({head, *rng.sample(range(n), min(n, size - 1))})
+                phrases += [" ".join(w[k] for k in at).lower()] if rng.random() < 0.6 else []
+        rows.append((i, *sides, [{"src": list(range(n)), "trg": list(range(n))}]))
+    df = spark.createDataFrame(rows, "row_pos long, w1 array<string>, p1 array<string>, w2 array<string>, p2 array<string>, groups array<struct<src:array<int>,trg:array<int>>>").repartition(3)
+    listed = spark.createDataFrame([*{(p, w): (p, w, i) for i, w in enumerate(phrases) for p in rng.sample("nva", rng.choice([1, 2, 2]))}.values(), (None, "x", 1), ("n", None, 2)], "pos string, word string, id long")
+    over = spark.createDataFrame([("n", w, words[0].lower()) for w in words[1:20:3]], "pos string, surface string, normalized string") if override else None
+    none = spark.createDataFrame([], "norm1 string, norm2 string")
+    run = lambda: sorted(map(tuple, al.align_pipeline(df, PairConfig("a", "b"), listed, listed.where("id % 9 > 0"), none, lambda phrase, pos, side: F.lower(phrase), (over, None)).select("row_pos", "g", "pos", "id1", "word1", "norm1", "id2", "word2", "norm2").collect()))
+    plan = al.facts_in_place
+    here, used = [], []
+    monkeypatch.setattr(al, "facts_in_place", lambda *a: used.append(1) or plan(*a))
+    here = run()
+    assert used and len(here) > 15
+    monkeypatch.setattr(al, "list_at_hand", lambda *a, **k: None)
+    assert run() == here and len(used) == 1
+    assert any(len(r[4].split()) == 3 for r in here) and len({r[:2] for r in here}) < len(here)
+
+
+def test_facts_in_place_shuffle_nothing(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, ["A"], ["n"], ["B"], ["n"], [{"src": [0], "trg": [0]}])], "row_pos long, w1 array<string>, p1 array<string>, w2 array<string>, p2 array<string>, groups array<struct<src:array<int>,trg:array<int>>>")
+    listed = spark.createDataFrame([("n", "a", 1), ("n", "b", 2)], "pos string, word string, id long")
+    hand = al.list_at_hand(listed, ("pos", "word", "id"))
+    facts = al.facts_in_place(al.aligned_groups(rows, PairConfig("a", "b")), PairConfig("a", "b"), lambda phrase, pos, side: F.lower(phrase), (hand, hand), (None, None))
+    assert "Exchange" not in facts._jdf.queryExecution().executedPlan().toString()
+    assert [(r.id1, r.id2, r.norm1) for r in facts.collect()] == [(1, 2, "a")]
+    assert al.list_at_hand(listed.unionByName(listed), ("pos", "word", "id")) is None and al.list_at_hand(listed, ("pos", "word", "id"), 0) is None
