@@ -141,7 +141,7 @@ def link_threshold(probs: DataFrame, threshold: float) -> DataFrame:
 
 def link_order(links: DataFrame) -> DataFrame:
     """The links of each sentence pair in order of the first side, then the second."""
-    return links.groupBy("row_pos").agg(F.array_sort(F.collect_list(F.struct("i", "j"))).alias("links"))
+    return links.groupBy("row_pos").agg(F.sort_array(F.collect_list(F.struct("i", "j"))).alias("links"))
 
 
 def grouped_links(links, components: bool = False) -> list[tuple[list[int], list[int]]]:
@@ -224,7 +224,7 @@ def with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     """rows with v1 and v2, arrays of (idx, vec) in order, by a join on the vectors' ids. rows have a unique row_pos."""
     for k in (1, 2):
         each = rows.select("row_pos", F.posexplode(f"n{k}").alias("idx", "vec_id")).join(vectors, "vec_id")
-        rows = rows.join(each.groupBy("row_pos").agg(F.array_sort(F.collect_list(F.struct("idx", "vec"))).alias(f"v{k}")), "row_pos", "left")
+        rows = rows.join(each.groupBy("row_pos").agg(F.sort_array(F.collect_list(F.struct("idx", "vec"))).alias(f"v{k}")), "row_pos", "left")
     return rows
 
 
@@ -244,25 +244,22 @@ def be_before_verb(words: Column, pos: Column) -> Column:
     return F.filter(at, lambda x: x.isNotNull())
 
 
-def dropped(groups: Column, ignored1: Column, ignored2: Column) -> Column:
-    """Groups without those that touch an ignored position."""
-    return F.filter(groups, lambda g: ~F.arrays_overlap(g["src"], ignored1) & ~F.arrays_overlap(g["trg"], ignored2))
-
-
 def collapsed(at: Column, words: Column, pos: Column, joiner: str) -> Column:
     """Elements (word, pos) of a group's side: from the first to the last content word they become one.
 
     at: sorted positions; words and pos of the sentence. Words are joined by the joiner, codes by /; function words outside stay.
     """
-    items = F.transform(at, lambda i: F.struct(F.get(words, i).alias("word"), F.get(pos, i).alias("pos")))
-    n = F.size(items)
+    item = lambda i: F.struct(F.get(words, i).alias("word"), F.get(pos, i).alias("pos"))
+    items = F.transform(at, item)
+    n = F.size(at)
     content = F.filter(F.transform(items, lambda t, k: F.when(t["pos"] != "", k + 1)), lambda k: k.isNotNull())
     a, b = F.array_min(content), F.array_max(content)
     middle = F.slice(items, a, b - a + 1)
     codes = F.array_join(F.filter(F.transform(middle, lambda t: t["pos"]), lambda p: p != ""), "/")
     one = F.struct(F.array_join(F.transform(middle, lambda t: t["word"]), joiner).alias("word"), codes.alias("pos"))
     joined = F.concat(F.slice(items, F.lit(1), a - 1), F.array(one), F.slice(items, b + 1, n - b))
-    return F.when(F.size(content) > 1, joined).otherwise(items)
+    # most sides are one word, and then nothing of this is looked at
+    return F.when(n == 1, F.array(item(F.get(at, F.lit(0))))).when(F.size(content) > 1, joined).otherwise(items)
 
 
 def head_codes(elements1: Column, elements2: Column) -> Column:
@@ -272,7 +269,11 @@ def head_codes(elements1: Column, elements2: Column) -> Column:
         head = F.try_element_at(F.filter(elements, lambda t: t["pos"] != ""), F.lit(-1))
         return F.coalesce(F.split(head["pos"], "/"), F.array().cast("array<string>"))
 
-    return F.array_sort(F.array_distinct(F.filter(F.array_intersect(codes(elements1), codes(elements2)), lambda p: p != "")))
+    # a function word alone on either side, or two single words of one code, need no sets
+    none, first = F.array().cast("array<string>"), lambda e: F.get(e, F.lit(0))["pos"]
+    single = (F.size(elements1) == 1) & (F.size(elements2) == 1) & ~F.contains(first(elements1), F.lit("/")) & ~F.contains(first(elements2), F.lit("/"))
+    alone = F.when((first(elements1) == first(elements2)) & (first(elements1) != ""), F.array(first(elements1))).otherwise(none)
+    return F.when(single, alone).otherwise(F.sort_array(F.array_distinct(F.filter(F.array_intersect(codes(elements1), codes(elements2)), lambda p: p != ""))))
 
 
 def phrase_candidates(elements: Column, joiner: str, most: int = MAX_PHRASE) -> Column:
@@ -283,9 +284,9 @@ def phrase_candidates(elements: Column, joiner: str, most: int = MAX_PHRASE) ->
     places = F.transform(elements, lambda t, k: k)
     others = F.filter(places, lambda k: k != head)
     one = F.array(F.array(head))
-    two = F.transform(others, lambda k: F.array_sort(F.array(k, head)))
-    three = F.flatten(F.transform(others, lambda k: F.transform(F.filter(others, lambda m: m > k), lambda m: F.array_sort(F.array(k, m, head)))))
-    by_length = F.concat(*[F.array_sort(three), F.array_sort(two), one][3 - min(3, max(1, most)) :])
+    two = F.transform(others, lambda k: F.sort_array(F.array(k, head)))
+    three = F.flatten(F.transform(others, lambda k: F.transform(F.filter(others, lambda m: m > k), lambda m: F.sort_array(F.array(k, m, head)))))
+    by_length = F.concat(*[F.sort_array(three), F.sort_array(two), one][3 - min(3, max(1, most)) :])
     phrase = lambda idx: F.array_join(F.transform(idx, lambda k: F.get(elements, k)["word"]), joiner)
     return F.when(head.isNotNull() & (n > 0), F.transform(by_length, lambda idx: F.struct(idx.alias("idx"), phrase(idx).alias("phrase"))).cast("array<struct<idx:array<int>,phrase:string>>")).otherwise(F.array().cast("array<struct<idx:array<int>,phrase:string>>"))
 
@@ -304,7 +305,7 @@ def longest_match(candidates: DataFrame, listed: DataFrame, overrides: DataFrame
         each = lookup(each, over, ["pos", "phrase"]).withColumn("word", F.coalesce("normalized", "word")).drop("normalized")
     hits = lookup(each, listed, ["pos", "word"], "inner")
     # a group's hits are few: those of its first listed place are taken from all, so one shuffle does
-    every = hits.groupBy("row_pos", "g", "side").agg(F.array_sort(F.collect_list(F.struct("place", "pos", F.col("word").alias("norm"), "id", "phrase"))).alias("hits"))
+    every = hits.groupBy("row_pos", "g", "side").agg(F.sort_array(F.collect_list(F.struct("place", "pos", F.col("word").alias("norm"), "id", "phrase"))).alias("hits"))
     first = F.filter("hits", lambda h: h["place"] == F.col("hits")[0]["place"])
     found = F.transform(first, lambda h: F.struct(h["pos"].alias("pos"), h["norm"].alias("norm"), h["id"].alias("id")))
     return every.select("row_pos", "g", "side", F.col("hits")[0]["phrase"].alias("phrase"), found.alias("found"))
@@ -329,8 +330,9 @@ def aligned_groups(rows: DataFrame, config: PairConfig) -> DataFrame:
     ignored1 = negated(F.col("w1"), config.negators1)
     if config.be_verb:
         ignored1 = F.concat(ignored1, be_before_verb(F.col("w1"), F.col("p1")))
-    groups = dropped(F.col("groups"), ignored1, negated(F.col("w2"), config.negators2))
-    each = rows.select("row_pos", "w1", "p1", "w2", "p2", F.explode(groups).alias("x"))
+    # ignored positions are found once a row, before its groups part
+    each = rows.select("row_pos", "w1", "p1", "w2", "p2", ignored1.alias("i1"), negated(F.col("w2"), config.negators2).alias("i2"), F.explode("groups").alias("x"))
+    each = each.where(~F.arrays_overlap("x.src", "i1") & ~F.arrays_overlap("x.trg", "i2"))
     sides = each.select("row_pos", F.try_element_at("x.src", F.lit(1)).alias("g"), collapsed(F.col("x.src"), F.col("w1"), F.col("p1"), config.joiner1).alias("e1"), collapsed(F.col("x.trg"), F.col("w2"), F.col("p2"), config.joiner2).alias("e2"))
     return sides.withColumn("codes", head_codes(F.col("e1"), F.col("e2")))
 

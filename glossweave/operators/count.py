@@ -31,7 +31,7 @@ def relation_totals(facts: DataFrame) -> DataFrame:
 def collect_examples(facts: DataFrame) -> DataFrame:
     """With examples, the corpus ids in order of the rows, and first, the first fact's (row_pos, seq)."""
     some = facts.groupBy(*KEY, F.pmod(F.xxhash64("row_pos"), F.lit(SALT)).alias("_salt")).agg(F.count("*").alias("count"), F.collect_list(F.struct("row_pos", "seq", "id")).alias("seen"))
-    whole = some.groupBy(*KEY).agg(F.sum("count").alias("count"), F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"))
+    whole = some.groupBy(*KEY).agg(F.sum("count").alias("count"), F.sort_array(F.flatten(F.collect_list("seen"))).alias("seen"))
     first = F.struct(F.col("seen")[0]["row_pos"].alias("row_pos"), F.col("seen")[0]["seq"].alias("seq"))
     return whole.select(*KEY, "count", F.transform("seen", lambda x: x["id"]).alias("examples"), first.alias("first"))
 
@@ -63,7 +63,7 @@ def example_rows(facts: DataFrame, relations: DataFrame) -> DataFrame:
 def with_examples(totals: DataFrame, rows: DataFrame) -> DataFrame:
     """totals (relation_id, KEY, count) with the arrays of their example rows, in order of the rows."""
     some = rows.groupBy("pos", "relation_id", F.pmod(F.xxhash64("row_pos"), F.lit(SALT)).alias("_salt")).agg(F.collect_list(F.struct("row_pos", "seq", "id")).alias("seen"))
-    seen = some.groupBy("pos", "relation_id").agg(F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"))
+    seen = some.groupBy("pos", "relation_id").agg(F.sort_array(F.flatten(F.collect_list("seen"))).alias("seen"))
     empty = F.array().cast("array<string>")
     out = totals.join(seen, ["pos", "relation_id"], "left").withColumn("examples", F.coalesce(F.transform("seen", lambda x: x["id"]), empty))
     return out.select("relation_id", *KEY, "count", "examples")
@@ -133,7 +133,7 @@ def max_id(listed: DataFrame) -> DataFrame:
 
 def enriched(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Corpus rows with commands: array of (pos, relation_id, id1, word1, id2, word2) in order; rows without facts have none."""
-    found = facts.groupBy("row_pos").agg(F.array_sort(F.collect_list(F.struct("seq", "pos", "relation_id", "id1", "word1", "id2", "word2"))).alias("commands"))
+    found = facts.groupBy("row_pos").agg(F.sort_array(F.collect_list(F.struct("seq", "pos", "relation_id", "id1", "word1", "id2", "word2"))).alias("commands"))
     return rows.drop("commands").join(found, "row_pos", "left").withColumn("commands", F.coalesce("commands", F.array().cast("array<struct<seq:int,pos:string,relation_id:bigint,id1:bigint,word1:string,id2:bigint,word2:string>>")))
 
 

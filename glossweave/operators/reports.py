@@ -15,7 +15,7 @@ def norm_changes(words: DataFrame) -> DataFrame:
 
 def alignments(corpus: DataFrame, facts: DataFrame) -> DataFrame:
     """row_pos, s1, s2 and the line 'w1 - w2  ...' of its facts in order, empty without any."""
-    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.concat("word1", F.lit(" - "), "word2").alias("x")))), lambda f: f["x"]), "  ")
+    line = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", F.concat("word1", F.lit(" - "), "word2").alias("x")))), lambda f: f["x"]), "  ")
     return corpus.select("row_pos", "s1", "s2").join(facts.groupBy("row_pos").agg(line.alias("line")), "row_pos", "left").withColumn("line", F.coalesce("line", F.lit("")))
 
 

@@ -540,7 +540,7 @@ def ja_nbest(ranked: DataFrame) -> DataFrame:
 
     ranked: key, rank, norm, matched.
     """
-    ranks = ranked.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "norm", "matched"))).alias("r"))
+    ranks = ranked.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rank", "norm", "matched"))).alias("r"))
     run = F.filter(F.col("r"), lambda x, i: (x["rank"] == i + 1) & (x["rank"] <= 5))
     hit = F.get(F.filter(run, lambda x: x["matched"]), F.lit(0))
     return ranks.select("key", hit["norm"].alias("norm")).where("norm IS NOT NULL")
