@@ -23,7 +23,8 @@ GROUPS = "array<struct<src:array<int>,trg:array<int>>>"
 #: Bytes of the table of vectors up to which every task holds it.
 VECTOR_BYTES = 64 << 20
 VECTOR_COLUMNS = ("n1", "n2", "v1", "v2")
-#: Pairs of words that go on together.
+#: Words of either side in a tile of products, and pairs of words that go on together.
+TILE = 1024
 PAIRS_AT_ONCE = 1 << 16
 
 
@@ -49,6 +50,43 @@ def _probabilities(dots: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarr
     return e1 / e1.sum(1, keepdims=True), e2 / e2.sum(0, keepdims=True)
 
 
+def tiles(u: np.ndarray, v: np.ndarray, scale: float | None, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray | None, np.ndarray | None]]:
+    """(first row, first column, products, both probabilities) of u @ v.T, a tile at a time; without a scale no probabilities.
+
+    The maxima and the sums of the exponentials of whole rows and columns come from a first pass over the tiles, each new maximum scaling the sum so far. So what is
+    held at once is a tile and four vectors, however long the sentences are.
+    """
+    size = size or TILE
+    if len(u) <= size and len(v) <= size:
+        dots = u @ v.T
+        yield 0, 0, dots, *(_probabilities(dots, scale) if scale is not None else (None, None))
+        return
+    places = [(a, b) for a in range(0, len(u), size) for b in range(0, len(v), size)]
+    product = lambda a, b: u[a : a + size] @ v[b : b + size].T
+    tops, sums = [np.full(len(x), -np.inf) for x in (u, v)], [np.zeros(len(x)) for x in (u, v)]
+    for a, b in places if scale is not None else ():
+        dots = product(a, b)
+        for side, (at, across) in enumerate(((slice(a, a + size), 1), (slice(b, b + size), 0))):
+            top = np.maximum(tops[side][at], dots.max(across))
+            sums[side][at] = sums[side][at] * np.exp((tops[side][at] - top) * scale) + np.exp((dots - np.expand_dims(top, across)) * scale).sum(across)
+            tops[side][at] = top
+    for a, b in places:
+        dots = product(a, b)
+        if scale is None:
+            yield a, b, dots, None, None
+            continue
+        rows, columns = slice(a, a + size), slice(b, b + size)
+        yield a, b, dots, np.exp((dots - tops[0][rows, None]) * scale) / sums[0][rows, None], np.exp((dots - tops[1][None, columns]) * scale) / sums[1][None, columns]
+
+
+def linked(u: np.ndarray, v: np.ndarray, scale: float, threshold: float, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns, in their order, where both probabilities are above the threshold."""
+    found = [(a + i, b + j) for a, b, _, p1, p2 in tiles(u, v, scale, size) for i, j in [np.nonzero((p1 > threshold) & (p2 > threshold))]]
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((j, i)) if len(found) > 1 else slice(None)
+    return i[order], j[order]
+
+
 def _flat(column: pa.Array) -> tuple[list[int], np.ndarray]:
     """Offsets of a list column and its values; null rows are empty."""
     offsets = np.asarray(column.offsets)
@@ -109,15 +147,14 @@ def pair_products(rows: DataFrame, vectors: DataFrame, scale: float | None = Non
             parts, n = [], 0
             for row_pos, ((at1, u), (at2, v)) in zip(batch.column(batch.schema.get_field_index("row_pos")).to_pylist(), sides(batch), strict=True):
                 if len(at1) and len(at2):
-                    dots = u @ v.T
-                    probs = _probabilities(dots, scale) if scale is not None else ()
-                    i, j = np.nonzero(np.ones(dots.shape, bool) if threshold is None else (probs[0] > threshold) & (probs[1] > threshold))
-                    if len(i):
-                        parts.append([np.full(len(i), row_pos), at1[i].astype(np.int32), at2[j].astype(np.int32), dots[i, j].astype(np.int64), *(p[i, j] for p in probs)])
-                    n += len(i)
-                if n >= PAIRS_AT_ONCE:
-                    yield joined(parts)
-                    parts, n = [], 0
+                    for a, b, dots, *probs in tiles(u, v, scale):
+                        i, j = np.nonzero(np.ones(dots.shape, bool) if threshold is None else (probs[0] > threshold) & (probs[1] > threshold))
+                        if len(i):
+                            parts.append([np.full(len(i), row_pos), at1[a + i].astype(np.int32), at2[b + j].astype(np.int32), dots[i, j].astype(np.int64), *(p[i, j] for p in probs if p is not None)])
+                        n += len(i)
+                        if n >= PAIRS_AT_ONCE:
+                            yield joined(parts)
+                            parts, n = [], 0
             if parts:
                 yield joined(parts)
 
@@ -204,8 +241,7 @@ def sentence_links(rows: DataFrame, vectors: DataFrame, scale: float, threshold:
             for r, ((at1, u), (at2, v)) in enumerate(sides(batch)):
                 found = []
                 if len(at1) and len(at2):
-                    p1, p2 = _probabilities(u @ v.T, scale)
-                    i, j = np.nonzero((p1 > threshold) & (p2 > threshold))
+                    i, j = linked(u, v, scale, threshold)
                     i, j = at1[i], at2[j]
                     if pieces:
                         i, j = (of[offsets[r] : offsets[r + 1]][x] for (offsets, of), x in zip(words, (i, j), strict=True))

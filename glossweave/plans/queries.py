@@ -15,7 +15,7 @@ from glossweave.functions import text as tx
 from glossweave.functions.normalize import norm_ja, norm_ko, norm_zh
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import lattice, reports, translation
+from glossweave.operators import lattice, lemmas, reports, translation
 from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
@@ -479,6 +479,26 @@ def norm_lemma(spark, d):
     return lookup(words.select("row_pos", "idx", "pos", "word"), lemmas, ["pos", "word"]).select("row_pos", "idx", "pos", F.coalesce("norm", "word").alias("norm"))
 
 
+UNSEEN = """_lw AS (SELECT DISTINCT pos, word, lemma FROM tokens WHERE side = 1 AND word = lower(word)),
+_known AS (SELECT * FROM _lw WHERE substr(md5(word), 2, 1) < '8'),
+_agree AS (SELECT pos, word, lemma, len(list_filter(range(0, least(length(word), length(lemma)) + 1), lambda k: substr(word, 1, k::INT) = substr(lemma, 1, k::INT))) - 1 AS k FROM _known),
+_cut AS (SELECT pos, word, length(word) - k AS cut, substr(lemma, k + 1) AS added FROM _agree),
+_each AS (SELECT *, unnest(range(cut, least(length(word), cut + 3) + 1)) AS n FROM _cut),
+_counted AS (SELECT pos, right(word, n) AS suffix, cut, added, count(*) AS pairs FROM _each GROUP BY ALL HAVING count(*) >= 2),
+_rules AS (SELECT * FROM _counted QUALIFY row_number() OVER (PARTITION BY pos, suffix ORDER BY pairs DESC, cut, added) = 1),
+_unseen AS (SELECT DISTINCT pos, word FROM _lw WHERE substr(md5(word), 2, 1) >= '8'),
+_fit AS (SELECT u.pos, u.word, arg_max({'cut': r.cut, 'added': r.added}, length(r.suffix)) AS x FROM _unseen u JOIN _rules r ON r.pos = u.pos AND suffix(u.word, r.suffix) GROUP BY u.pos, u.word)"""
+
+
+@query(["corpus", "tokens"], f", {UNSEEN} SELECT pos, word, coalesce(substr(word, 1, length(word) - f.x.cut) || f.x.added, word) AS lemma FROM _unseen LEFT JOIN _fit f USING (pos, word)")
+def norm_lemma_unseen(spark, d):
+    """The words in lower case are dealt by their md5: rules mined from one half give the lemmas of the other."""
+    words = _side1(spark, d).where("word = lower(word)").select("pos", "word", "lemma").distinct()
+    seen = F.substring(F.md5("word"), 2, 1) < "8"
+    words = stored(words, "lemma-pairs")
+    return lemmas.lemmas_by_rule(words.where(~seen), lemmas.mined_rules(words.where(seen)))
+
+
 @query(["corpus", "tokens"], "SELECT row_pos, string_agg(lemma, ' ' ORDER BY idx) AS norm FROM tokens WHERE side = 1 GROUP BY row_pos")
 def norm_multiword(spark, d):
     """The sentence as one phrase: every token by its lemma, joined again."""
