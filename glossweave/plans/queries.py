@@ -15,7 +15,7 @@ from glossweave.functions import text as tx
 from glossweave.functions.normalize import norm_ja, norm_ko, norm_zh
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import lattice, lemmas, reports, translation
+from glossweave.operators import lattice, lemmas, postings, reports, translation
 from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
@@ -787,6 +787,18 @@ def collect_examples(spark, d):
     return ct.collect_examples(inp.corpus_facts(spark, d)).select("pos", "id1", "id2", "count", F.array_join("examples", " ").alias("examples"))
 
 
+@query("relations", "SELECT relation_id, pos, id1, id2, count, array_to_string(examples, ' ') AS examples FROM relations")
+def example_postings(spark, d):
+    """The examples as posting segments, those of the later half of the positions appended, and out of these as arrays again."""
+    path, facts = work_dir(spark, "postings"), stored(inp.corpus_facts(spark, d), "facts")
+    relations = stored(ct.relation_ids(ct.relation_totals(facts)), "relations")
+    rows, middle = stored(ct.example_rows(facts, relations), "examples"), _middle(facts)
+    for half in (F.col("row_pos") < middle, F.col("row_pos") >= middle):
+        postings.segments(rows.where(half)).write.mode("append").parquet(path)
+    found = postings.example_rows_of(spark.read.schema(postings.SEGMENTS).parquet(path))
+    return ct.with_examples(relations, found).withColumn("examples", F.array_join("examples", " "))
+
+
 @query("relations", "SELECT pos, id1, id2, relation_id FROM relations")
 def relation_ids(spark, d):
     return ct.relation_ids(ct.relation_totals(inp.corpus_facts(spark, d))).select("pos", "id1", "id2", "relation_id")

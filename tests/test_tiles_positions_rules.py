@@ -1,4 +1,4 @@
-"""Tiled probabilities, bitmaps of positions, and lemma rules."""
+"""Tiled probabilities, bitmaps of positions, lemma rules, and posting segments."""
 
 import random
 from collections import Counter
@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossweave.operators import align as al
-from glossweave.operators import lemmas
+from glossweave.operators import count as ct
+from glossweave.operators import lemmas, postings
 from glossweave.streaming import relations as st
 
 
@@ -104,3 +105,24 @@ def test_rules_find_most_lemmas_that_they_have_not_seen(spark):
     right, changed, n = got.agg(F.count_if(F.col("lemma") == F.col("true")), F.count_if(F.col("word") != F.col("true")), F.count("*")).first()
     # words that stay would be right as they are
     assert right > 0.97 * n and n - right < 0.2 * changed
+
+
+def test_segments_hold_the_examples(spark, tmp_path):
+    """A relation in a third of all rows, null and odd ids, repeated positions."""
+    facts = spark.range(0, 60_000, 1, 4).select((F.col("id") * 3 + 5).alias("row_pos"), (F.col("id") % 3).cast("int").alias("seq"), F.when(F.col("id") % 977 == 0, None).otherwise(F.concat(F.lit("é'"), "id")).alias("id"), F.when(F.col("id") % 5 == 0, "v").otherwise("n").alias("pos"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("long").alias("relation_id"))
+    facts = facts.unionByName(facts.where("row_pos < 200"))
+    path = str(tmp_path / "segments")
+    for part in ("row_pos < 90000", "row_pos >= 90000"):
+        postings.segments(facts.where(part)).write.mode("append").parquet(path)
+    found = spark.read.schema(postings.SEGMENTS).parquet(path)
+    sizes = found.select(F.length("places") + F.length("ids")).agg(F.max("(length(places) + length(ids))"), F.count("*")).first()
+    hot = found.where("relation_id = 0").groupBy(F.spark_partition_id()).count().count()
+    assert sizes[0] < 1 << 20 and found.agg(F.max("n")).first()[0] <= postings.SEGMENT and hot > 1
+    show = lambda df: sorted(map(str, df.select("pos", "relation_id", "row_pos", "seq", "id").collect()))
+    assert show(postings.example_rows_of(found)) == show(facts)
+    assert show(postings.example_rows_of(found, 1000, 5000)) == show(facts.where("row_pos >= 1000 AND row_pos < 5000"))
+    assert found.where("last >= 1000 AND first < 5000").count() < found.count()
+    totals = facts.groupBy("pos", "relation_id").agg(F.count("*").alias("count")).withColumns({"id1": F.col("relation_id"), "id2": F.lit(0).cast("long")})
+    arrays = lambda rows: sorted(map(str, ct.with_examples(totals, rows).collect()))
+    assert arrays(postings.example_rows_of(found)) == arrays(facts)
+    assert postings.segments(facts.where("false")).count() == 0
