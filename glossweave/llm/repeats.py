@@ -19,7 +19,7 @@ executor's part is read anew; a scan of files does so, anything else is written
 
 Rows. Null text has no words. Any doc_id will do, null and repeated too. Repeated rows repeat each
 other's windows. Texts of fewer than WINDOW words stay. A very long text is a block of its own. Empty tables give no rows.
-Columns in `keep` come back as they are.
+Columns in `keep` come back as they are, but for one called as an output, which gives way to it.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from glossweave.llm.common import materialise, read_table, small_batches, text_o
 from glossweave.llm.shared_keys import SENT, arrange, buckets_for, flags, judge, send
 from glossweave.llm.words import BASE, HASH_BYTES, INVERSE, hashed_words, mix, powers
 
+#: What comes of each document; a kept column of such a name gives way to it.
+OUTPUTS = ("n_words", "n_removed", "kept_sha256", "kept_text")
 WINDOW = 35
 ROUNDS = 3
 GRAM = 3
@@ -288,9 +290,12 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with
     kept_text is the text itself, white space and all, where nothing was removed. scanned: docs is a plain scan of
     files, which gives the same rows in the same order each time; other rows may not, and are stored first.
     """
-    kept = [docs.schema[c] for c in keep]
+    keep = [c for c in keep if c.lower() not in OUTPUTS]
+    # the kept columns cross by other names, so that one of them may be called as what is made on the way
+    names = [f"kept_{i}" for i in range(len(keep))]
+    kept = [T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)]
     # both scans of an exchange read the same columns, so that Spark deals and orders their rows alike
-    texts = docs.select(text_or_empty().alias("text"), *keep)
+    texts = docs.select(text_or_empty().alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
     if not scanned:
         texts = materialise(texts, "repeats-texts")
     buckets = buckets_for(texts)
@@ -299,15 +304,15 @@ def remove_repeats(docs: DataFrame, keep=("doc_id",), window: int = WINDOW, with
     fields = [*kept, T.StructField("n_words", T.LongType()), T.StructField("done", T.StringType()), T.StructField("text", T.StringType()), T.StructField("ranges", T.BinaryType())]
     judged = rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_find_possible(window, buckets, _arrow(fields)), T.StructType(fields))
     judged = materialise(judged, "repeats-possible")
-    names = [*keep, "n_words"]
-    finished = judged.where("done IS NOT NULL").select(*names, F.lit(0).cast("long").alias("n_removed"), F.col("done").alias("kept_sha256"))
-    left = judged.where("done IS NULL").select(*names, "text", "ranges")
+    finished = judged.where("done IS NOT NULL").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("done").alias("kept_sha256"))
+    left = judged.where("done IS NULL").select(*names, "n_words", "text", "ranges")
     answers = judge(left.mapInArrow(_send_windows(window, buckets), SENT))
     fields = [*kept, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     fields += [T.StructField("kept_text", T.StringType())] if with_text else []
     blocks = left.mapInArrow(_packed_blocks, "block long, rows binary")
     removed = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_remove(window, buckets, _arrow(fields), with_text), T.StructType(fields))
-    return removed.unionByName(finished, allowMissingColumns=True)
+    whole = removed.unionByName(finished, allowMissingColumns=True)
+    return whole.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], *[c for c in whole.columns if c not in names])
 
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:

@@ -149,3 +149,14 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         assert (not out) == (name == "none")
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "None", *map(str, range(10, 18))])
+
+
+def test_repeats_keep_columns_of_any_name(spark):
+    words = " ".join(f"w{i}" for i in range(9))
+    df = spark.createDataFrame([(i, f"{words} x{i}", f"a{i}", i * 10) for i in range(3)], "doc_id long, text string, done string, n_removed long")
+    df = df.withColumns({"ranges": F.col("done"), "block": F.col("done"), "rows": F.col("done"), "kept_0": F.col("done"), "n_words": F.lit("mine")})
+    got = repeats.remove_repeats(df, keep=("doc_id", "done", "ranges", "text", "block", "rows", "kept_0", "n_words", "n_removed"), window=5, with_text=True)
+    assert got.columns == ["doc_id", "done", "ranges", "text", "block", "rows", "kept_0", "n_words", "n_removed", "kept_sha256", "kept_text"]
+    for r in got.collect():
+        assert (r.done, r.ranges, r.block, r.rows, r.kept_0) == (f"a{r.doc_id}",) * 5 and r.text == f"{words} x{r.doc_id}"
+        assert (r.n_words, r.n_removed, r.kept_text) == (10, 9, f"x{r.doc_id}")
