@@ -15,7 +15,7 @@ from glossweave.functions import text as tx
 from glossweave.functions.normalize import norm_ja, norm_ko, norm_zh
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import lattice, lemmas, postings, reports, translation
+from glossweave.operators import context_tags, lattice, lemmas, postings, reports, translation
 from glossweave.plans import inputs as inp
 from glossweave.plans import jobs
 from glossweave.plans.inputs import CONFIG, SQL
@@ -283,6 +283,15 @@ def lexicon_tag(spark, d):
     return tagged.select("row_pos", "idx", "word", F.coalesce("tag", F.lit("")).alias("tag"))
 
 
+@query()
+def tag_by_context(spark, d):
+    """Codes of the sentences' words by their neighbours, learnt from the second sides, where every fourth word's code is that of the word before it."""
+    rows = stored(inp.tokenised(spark, d)[0].select("row_pos", "w1", "w2", "p2"), "tagged")
+    learnt = F.transform("w2", lambda w, i: F.struct(w.alias("word"), F.when((F.length(w) % 4 == 0) & (i > 0), F.get("p2", i - 1)).otherwise(F.get("p2", i)).alias("pos")))
+    tagger = context_tags.ContextTagger(rows.select(learnt.alias("toks")))
+    return tagger.tags(rows.select("row_pos", F.col("w1").alias("words"))).where(F.size("toks") > 0).select("row_pos", tx.shown_tokens(F.col("toks")).alias("line"))
+
+
 def _tags(name: str) -> list[str]:
     return [t for tags in TAG_MAPS[name].values() for t in tags] + ["XX", "SYM"]
 
