@@ -160,3 +160,23 @@ def test_repeats_keep_columns_of_any_name(spark):
     for r in got.collect():
         assert (r.done, r.ranges, r.block, r.rows, r.kept_0) == (f"a{r.doc_id}",) * 5 and r.text == f"{words} x{r.doc_id}"
         assert (r.n_words, r.n_removed, r.kept_text) == (10, 9, f"x{r.doc_id}")
+
+
+def test_pipeline_carries_columns_of_any_name_and_breaks_ties_alike(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = [f"Plain text number {i}. It says little, and ends well. Here are words of {i * 7}." for i in range(24)]
+    docs = spark.createDataFrame([(i, t, "en", "ab"[i % 2]) for i, t in enumerate(texts)] + [(3, texts[3], "en", "b")], "doc_id long, text string, lang string, source string")
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumns({c: F.concat(F.lit(c), "doc_id") for c in ("size", "ids", "done", "score", "spans", "key", "hash", "word", "kept")})
+    sf = str(tmp_path)
+    spark.createDataFrame([(i, i % 2) for i in range(0, 24, 3)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+    got = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        one, two = stage(spark, got, sf), stage(spark, got.repartition(3), sf)
+        assert one.columns == docs.columns, name
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), name
+        got = common.materialise(one, name)
+    assert all(r.size == f"size{r.doc_id}" and r.kept == f"kept{r.doc_id}" for r in got.collect())
+    assert got.where("doc_id = 3").select("text").distinct().count() <= 1
+    last = corpus_pipeline.token_ids(spark, got, sf).collect()
+    assert len(last) == got.count()
