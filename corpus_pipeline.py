@@ -1,6 +1,11 @@
 """From raw documents to token ids: five stages, each over all that the one before kept.
 
 run(spark, sf_dir) writes each stage's documents as Parquet to the shared folder and reads them again for the next.
+
+Rows. A null text counts as empty in every stage: it gets a quality of its own, has no near-duplicate, nothing to replace, a size of 0 words and no tokens.
+Null ids, languages and sources are values like others. Repeated rows, alike in id and text, leave one; of a group of near-duplicates the row of the least id stays. Ties in the mix
+are drawn by a hash of id and text, so they fall alike in each run, and rows alike in both are taken alike. Columns beside those of `documents` go along up to the last
+stage, whatever they are called, but for `quality_score`. An empty table, or one of which no document is good, gives no rows.
 """
 
 from __future__ import annotations
