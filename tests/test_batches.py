@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from glossweave.config import PAIRS
 from glossweave.operators import align as al
-from glossweave.operators import reports
+from glossweave.operators import reports, translation
 from glossweave.plans import queries
 
 
@@ -64,3 +65,13 @@ def test_tags_are_made_once_for_each_word(spark):
     assert "get(transform(" not in plan and plan.count("md5(") <= 2
     toks = spark.createDataFrame([(1, [("a", "n"), ("b", "")])], "row_pos long, toks array<struct<word:string,pos:string>>")
     assert reports.tags(toks).first().line == "a:n b:N/A"
+
+
+def test_blocks_grow_with_words_and_not_with_pairs(spark, monkeypatch):
+    """A sentence of one word again and again is one pair; one of many pairs is parted."""
+    batch = pa.RecordBatch.from_pydict({"row_pos": [5, 6], "w1": [["la"] * 3000, list("abc")], "w2": [["li"] * 3000, list("xyzx")]})
+    monkeypatch.setattr(translation, "BLOCK_PAIRS", 4)
+    blocks = [translation._Block(x) for x in translation._cut(iter([batch]))]
+    assert max(b.n for b in blocks) == 4 and [len(b.places) for b in blocks] == [2, 4, 4, 4]
+    table = translation._expected(blocks[0], np.full(2, 1 << 24)).to_pylist()
+    assert [(x["w1"], x["c"]) for x in table] == [("", 3000 * (65536 // 3001)), ("la", 3000 * 3000 * (65536 // 3001))]
