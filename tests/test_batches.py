@@ -89,3 +89,20 @@ def test_words_are_counted_before_their_codes_are_made(spark):
     # the query's codes are made of a row for each distinct word
     plan = queries.QUERIES["token_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "md5(" in plan and "posexplode" not in plan
+
+
+def test_products_of_a_batch_against_each_row():
+    """Sentence pairs of about one length are multiplied together, with or without probabilities."""
+    rng = np.random.default_rng(4)
+    matrix = rng.integers(-9, 9, (30, 6)).astype(np.int16)
+    lengths = [[*rng.integers(0, 12, 60), 300, 0, 1100], [*rng.integers(0, 12, 60), 290, 4, 3]]
+    sides = [(np.concatenate([[0], np.cumsum(n)]), np.arange(sum(n)), rng.integers(0, 30, sum(n)), matrix) for n in lengths]
+    for scale in (None, 0.05):
+        got, calls = {}, 0
+        for of, a, b, dots, *probs in al.batch_products(sides, scale):
+            calls += 1
+            for at in zip(*np.nonzero(np.isfinite(dots)), strict=True):
+                got[int(of[at[0]]), int(a + at[1]), int(b + at[2])] = [x[at] for x in (dots, *probs) if x is not None]
+        expected = {(r, int(a + i), int(b + j)): [x[i, j] for x in (dots, *probs) if x is not None] for r, ((_, u), (_, v)) in enumerate(al._row_pairs(sides)) if len(u) and len(v) for a, b, dots, *probs in al.tiles(u, v, scale) for i in range(dots.shape[0]) for j in range(dots.shape[1])}
+        assert got.keys() == expected.keys() and all(np.allclose(got[k], x) for k, x in expected.items())
+        assert calls < 60
