@@ -131,3 +131,37 @@ def test_ids_are_looked_up_for_distinct_words(spark):
     """No norm is made of a token: the join to the tokens is by the word alone."""
     plan = queries.QUERIES["id_lookup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" in plan and "md5(" not in plan and plan.count("Join") == 1
+
+
+def test_phrases_of_a_batch_against_column_functions(spark):
+    rng = random.Random(5)
+    rows = [(k, [{"word": rng.choice("abcd"), "pos": rng.choice(["", "n", "n/v"])} for _ in range(rng.choice([0, 1, 1, 2, 3, 5]))]) for k in range(300)]
+    df = spark.createDataFrame(rows, f"k long, e {al.ELEMENTS}")
+    for most in (1, 2, 3):
+        expected = {r.k: r.c for r in df.select("k", F.transform(al.phrase_candidates(F.col("e"), " ", most), lambda c: c["phrase"]).alias("c")).collect()}
+        table = df.toArrow().combine_chunks()
+        got = al._phrases(table.column("e").combine_chunks(), " ", most).to_pylist()
+        assert dict(zip(table.column("k").to_pylist(), got, strict=True)) == expected
+
+
+def test_facts_come_from_one_pass_over_the_corpus(spark):
+    """Words, links, groups and candidates are made in one task; nothing between them is a row."""
+    plan = inputs.phrased_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "links" not in plan
+
+
+def test_word_list_counts_a_batch_at_once(spark):
+    """No token is a row: what is grouped are the words of a batch with their counts."""
+    plan = inputs.word_list(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate explode(filter" not in plan
+    batch = pa.record_batch([pa.array([["a", "b", "a", ","], [], ["a", "b"], None]), pa.array([["n", "n", "v", ""], [], ["n", "n"], None])], names=["w1", "p1"])
+    assert sorted(map(tuple, (r.values() for r in inputs.phrase_counts(batch).to_pylist()))) == [("n", "a", 2), ("n", "a b", 2), ("n", "b", 2), ("v", "a", 1)]
+
+
+def test_a_list_at_hand_is_looked_up_by_hashes_in_order(spark):
+    """A batch makes no table of the whole list, and a word of the same hash that is not the word itself is no hit."""
+    hand = al.list_at_hand(spark.createDataFrame([("n", w, k) for k, w in enumerate("abc")], "pos string, word string, id long"), ("pos", "word", "id")).value
+    assert (np.diff(hand[0]) > 0).all()
+    at = [al._places(hand, pa.array(["n", "n"]), pa.array(["a", x]), np.array([hand[0][hand[1].to_pylist().index("n\ta")]] * 2)) for x in ("a", "z")]
+    assert at[0].tolist() == [at[1][0]] * 2 and at[1].tolist()[1] == -1
+    assert hand[2][int(at[1][0])].as_py() == 0
