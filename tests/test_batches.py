@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from glossweave.config import PAIRS
+from glossweave.functions.normalize import norm_ja, norm_ja_batch
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
 from glossweave.operators import reports, translation
@@ -165,3 +166,21 @@ def test_a_list_at_hand_is_looked_up_by_hashes_in_order(spark):
     at = [al._places(hand, pa.array(["n", "n"]), pa.array(["a", x]), np.array([hand[0][hand[1].to_pylist().index("n\ta")]] * 2)) for x in ("a", "z")]
     assert at[0].tolist() == [at[1][0]] * 2 and at[1].tolist()[1] == -1
     assert hand[2][int(at[1][0])].as_py() == 0
+
+
+def test_norms_of_a_batch_of_morphemes_against_the_column_function(spark):
+    rng = random.Random(6)
+    fields = ("midasi", "repname", "hinsi", "bunrui", "katuyou1", "genkei")
+    values = (("あ", "い", ""), ("う/う", "え", "/", "お/a/b"), ("名詞", "動詞", "形容詞", "副詞", "助詞"), ("名詞性名詞接尾辞", "*"), ("ナ形容詞", "*"), ("静かだ", "静かな", "だ", "", "き"))
+    known = [tuple(rng.choice(v) for v in values) for _ in range(40)]
+    rows = [[rng.randrange(40) for _ in range(rng.choice([0, 1, 1, 2, 4]))] for _ in range(200)]
+    df = spark.createDataFrame([(k, [dict(zip(fields, known[m], strict=True)) for m in x]) for k, x in enumerate(rows)], f"k int, m array<struct<{','.join(f + ':string' for f in fields)}>>")
+    each = df.withColumn("pos", F.explode(F.array(*[F.lit(p) for p in "nvar"]))).select("k", "pos", norm_ja(F.col("pos"), F.col("m")).alias("n")).select("k", "pos", "n.*")
+    got = norm_ja_batch({f: pa.array(c, pa.string()) for f, c in zip(fields, zip(*known, strict=True), strict=True)}, np.array([m for x in rows for m in x]), np.array([len(x) for x in rows])).to_pylist()
+    assert {(k, f["pos"]): (f["norm"], f["matched"]) for k, x in enumerate(got) for f in x} == {(r.k, r.pos): (r.norm, r.matched) for r in each.collect()}
+
+
+def test_morphemes_are_no_rows_on_their_way_to_norms(spark):
+    """Sentences give their norms at once."""
+    plan = lambda q: queries.QUERIES[q](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "repname" not in plan("norm_ja") and "transform(" not in plan("norm_ja")
