@@ -181,6 +181,8 @@ def test_norms_of_a_batch_of_morphemes_against_the_column_function(spark):
 
 
 def test_morphemes_are_no_rows_on_their_way_to_norms(spark):
-    """Sentences give their norms at once."""
+    """Sentences give their norms at once, and of ranked analyses only those that count are made."""
     plan = lambda q: queries.QUERIES[q](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "repname" not in plan("norm_ja") and "transform(" not in plan("norm_ja")
+    ranks = plan("norm_ja_nbest")
+    assert ranks.index("ArrowEvalPython") < ranks.index("<= 5)")
