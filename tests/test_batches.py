@@ -11,7 +11,7 @@ from glossweave.config import PAIRS
 from glossweave.functions.normalize import norm_ja, norm_ja_batch
 from glossweave.operators import align as al
 from glossweave.operators import count as ct
-from glossweave.operators import reports, translation
+from glossweave.operators import postings, reports, translation
 from glossweave.plans import inputs, queries
 
 
@@ -186,3 +186,11 @@ def test_morphemes_are_no_rows_on_their_way_to_norms(spark):
     assert "repname" not in plan("norm_ja") and "transform(" not in plan("norm_ja")
     ranks = plan("norm_ja_nbest")
     assert ranks.index("ArrowEvalPython") < ranks.index("<= 5)")
+
+
+def test_segments_of_rare_relations_go_on_together():
+    """A batch of relations with an example each is a batch of segments, and again one of rows."""
+    rows = pa.record_batch([pa.array(["n"] * 500), pa.array(range(500)), pa.array(range(0, 1000, 2)), pa.array([1] * 500, pa.int32()), pa.array([None, *(f"{k}-é" for k in range(499))])], names=["pos", "relation_id", "row_pos", "seq", "id"])
+    cut = list(postings._cut(iter([rows.slice(0, 200), rows.slice(200)])))
+    assert [b.num_rows for b in cut] == [500]
+    assert [b.to_pylist() for b in postings._rows(iter(cut))] == [rows.to_pylist()]
